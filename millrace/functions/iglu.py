@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
-from millrace.functions.sqltext import let, lits
+from millrace.functions.sqltext import case_of, let, lit, lits
 
 # Tracker event codes and the event schemas they stand for.
 EVENT_CODES = {
@@ -44,8 +44,7 @@ def builtin_uri(vendor: str, name: str) -> str:
 
 def schema_for_code(x: str, vendor: str) -> str:
     """URI for a tracker event code; NULL for an unknown code."""
-    whens = " ".join(f"WHEN '{c}' THEN '{builtin_uri(vendor, n)}'" for c, n in EVENT_CODES.items())
-    return f"CASE {x} {whens} END"
+    return case_of(x, {code: lit(builtin_uri(vendor, name)) for code, name in EVENT_CODES.items()})
 
 
 def uri_parts(x: str) -> str:

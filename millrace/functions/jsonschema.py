@@ -12,7 +12,7 @@ import re
 from itertools import count
 from typing import Any, NamedTuple
 
-from millrace.functions.sqltext import first_not_null, let, lit, lits
+from millrace.functions.sqltext import first_not_null, if_chain, let, lit, lits
 
 TYPES = ("string", "integer", "number", "boolean", "null", "object", "array")
 MAX_DOCUMENT_BYTES = 128 * 1024
@@ -85,12 +85,39 @@ class _Compiler:
         if not rules:
             return "CAST(NULL AS STRING)"
         body = rules[0] if len(rules) == 1 else f"coalesce({', '.join(rules)})"
+        flat = self.flat_object(schema, v)
+        if flat:
+            body = f"IF({flat}, CAST(NULL AS STRING), {body})"
         # Bind only the views of the value that some rule reads.
         for name, view in ((v.t, type_name(v.x)), (v.a, as_array(v.x)), (v.m, as_map(v.x))):
             if re.search(rf"\b{name}\b", body):
                 body = let(view, name, body)
         return let(x, v.x, body)
 
+    def flat_object(self, schema: dict, v: _Value) -> str | None:
+        """One test of the value's type text for a closed object with plain scalar properties.
+
+        It is enough to prove the object valid; when it fails the full rules say why.
+        """
+        plain = {"STRING": "string", "BOOLEAN": "boolean", "VOID": "null", "BIGINT": "integer"}
+        properties = schema.get("properties", {})
+        if schema.get("additionalProperties") is not False or not properties or len(properties) < 8:
+            return None
+        if set(schema) - {"type", "properties", "required", "additionalProperties", "description", "$schema", "self"}:
+            return None
+        same: dict[str, list[str]] = {}
+        for name, sub in properties.items():
+            if not re.fullmatch(r"[a-z_]+", name) or set(sub) - {"type", "description"} or "type" not in sub:
+                return None
+            names = sub["type"] if isinstance(sub["type"], list) else [sub["type"]]
+            if set(names) - set(plain.values()):
+                return None
+            same.setdefault("|".join(t for t, n in plain.items() if n in names), []).append(name)
+        one = "|".join(f"(?:{'|'.join(names)}): (?:{types})" for types, names in same.items())
+        tests = [f"{v.t} rlike {lit(f'^OBJECT<(?:{one})(?:, (?:{one}))*>$')}"]
+        tests += [f"{v.t} rlike {lit(f'[< ]{name}: ')}" for name in schema.get("required", [])]
+        return " AND ".join(tests)
+
     def value_rules(self, schema: dict, v: _Value) -> list[str]:
         x, t = v.x, v.t
         rules = []
@@ -184,7 +211,7 @@ class _Compiler:
         branches = []
         for key, names in same.items():
             inner = self.violation(json.loads(key), f"{e}.value")
-            branches.append(f"WHEN {e}.key IN ({lits(names)}) THEN concat({e}.key, ': ', {inner})")
+            branches.append((f"{e}.key IN ({lits(names)})", f"concat({e}.key, ': ', {inner})"))
         by_pattern = []
         for pattern, sub in patterns.items():
             inner = self.violation(sub, f"{e}.value")
@@ -203,7 +230,7 @@ class _Compiler:
         if not branches and rest == "CAST(NULL AS STRING)":
             named_rule = None
         else:
-            named_rule = f"CASE {' '.join(branches)} ELSE {rest} END" if branches else rest
+            named_rule = if_chain(branches, rest)
         rules = ([named_rule] if named_rule else []) + by_pattern
         if not rules:
             return None

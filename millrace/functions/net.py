@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.functions.sqltext import let, lit, lits
+from millrace.functions.sqltext import if_chain, let, lit, lits
 from millrace.functions.text import query_param
 
 # --- IP addresses -----------------------------------------------------------------------------------
@@ -206,35 +206,25 @@ def _matches(ua: str, texts: list[str]) -> str:
     return " AND ".join(f"contains({ua}, {lit(t)})" for t in texts)
 
 
-def _family(ua: str, rules: list[tuple[str, list[str], str]]) -> str:
-    whens = " ".join(f"WHEN {_matches(ua, texts)} THEN {lit(family)}" for family, texts, _ in rules)
-    return f"CASE {whens} ELSE 'Other' END"
+def _first_rule(ua: str, rules: list[tuple[str, list[str], str]]) -> str:
+    """``struct<family, major>`` of the first rule that matches."""
 
+    def found(family: str, pattern: str) -> str:
+        version = f"nullif(regexp_extract({ua}, {lit(pattern)}, 1), '')" if "(" in pattern else lit(pattern)
+        return f"named_struct('family', {lit(family)}, 'major', {version})"
 
-def _major(ua: str, rules: list[tuple[str, list[str], str]]) -> str:
-    def version(pattern: str) -> str:
-        if "(" in pattern:
-            return f"nullif(regexp_extract({ua}, {lit(pattern)}, 1), '')"
-        return lit(pattern)
-
-    whens = " ".join(f"WHEN {_matches(ua, texts)} THEN {version(p)}" for _, texts, p in rules)
-    return f"CASE {whens} END"
-
-
-def browser_family(ua: str) -> str:
-    return _family(ua, BROWSERS)
-
-
-def browser_version(ua: str) -> str:
-    return _major(ua, BROWSERS)
+    return if_chain(
+        [(_matches(ua, texts), found(family, pattern)) for family, texts, pattern in rules],
+        "named_struct('family', 'Other', 'major', CAST(NULL AS STRING))",
+    )
 
 
-def os_family(ua: str) -> str:
-    return _family(ua, SYSTEMS)
+def browser(ua: str) -> str:
+    return _first_rule(ua, BROWSERS)
 
 
-def os_version(ua: str) -> str:
-    return _major(ua, SYSTEMS)
+def operating_system(ua: str) -> str:
+    return _first_rule(ua, SYSTEMS)
 
 
 def device_family(ua: str) -> str:
@@ -250,12 +240,10 @@ def device_family(ua: str) -> str:
 
 def user_agent_info(ua: str) -> str:
     """Families and major versions as a map, NULL when nothing about the agent is recognised."""
-    fields = (
-        f"struct({browser_family('ua0')} AS bf, {os_family('ua0')} AS sf, {device_family('ua0')} AS df)"
-    )
+    parts = f"named_struct('b', {browser('ua0')}, 's', {operating_system('ua0')}, 'd', {device_family('ua0')})"
     body = (
-        "CASE WHEN uf.bf <> 'Other' OR uf.sf <> 'Other' OR uf.df <> 'Other' THEN map("
-        f"'browser_family', uf.bf, 'browser_version', {browser_version('ua0')},"
-        f" 'os_family', uf.sf, 'os_version', {os_version('ua0')}, 'device_family', uf.df) END"
+        "IF(uf.b.family <> 'Other' OR uf.s.family <> 'Other' OR uf.d <> 'Other', map("
+        "'browser_family', uf.b.family, 'browser_version', uf.b.major,"
+        " 'os_family', uf.s.family, 'os_version', uf.s.major, 'device_family', uf.d), NULL)"
     )
-    return let(ua, "ua0", let(fields, "uf", body))
+    return let(ua, "ua0", f"IF(ua0 IS NULL, NULL, {let(parts, 'uf', body)})")

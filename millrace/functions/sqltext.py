@@ -23,8 +23,17 @@ def first_not_null(array: str) -> str:
     return f"try_element_at(filter({array}, z -> z IS NOT NULL), 1)"
 
 
+def if_chain(branches: Iterable[tuple[str, str]], otherwise: str = "NULL") -> str:
+    """Nested ``IF``: the value of the first condition that holds.
+
+    Inside a lambda a ``CASE`` looks its branches up by position in a linked list, so its cost grows with the
+    square of their number; nested ``IF`` does not.
+    """
+    text = otherwise
+    for condition, value in reversed(list(branches)):
+        text = f"IF({condition}, {value}, {text})"
+    return text
+
+
 def case_of(subject: str, branches: dict[str, str], otherwise: str = "NULL") -> str:
-    if not branches:
-        return otherwise
-    whens = " ".join(f"WHEN {lit(k)} THEN {v}" for k, v in branches.items())
-    return f"CASE {subject} {whens} ELSE {otherwise} END"
+    return if_chain([(f"{subject} = {lit(k)}", v) for k, v in branches.items()], otherwise)

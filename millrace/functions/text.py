@@ -76,10 +76,9 @@ def base64_json(x: str, urlsafe: bool = False) -> str:
 
 def to_int(x: str) -> str:
     """Integer text (sign, surrounding blanks and ``_`` between digits allowed) to BIGINT, else NULL."""
-    clean = f"trim({x})"
     return (
-        f"CASE WHEN {clean} rlike '^[+-]?[0-9]+(_[0-9]+)*$'"
-        f" THEN try_cast(replace({clean}, '_', '') AS BIGINT) END"
+        f"IF({x} IS NULL, NULL, IF(trim({x}) rlike '^[+-]?[0-9]+(_[0-9]+)*$',"
+        f" try_cast(replace({x}, '_', '') AS BIGINT), NULL))"
     )
 
 

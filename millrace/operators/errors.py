@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.iglu import uri_problem
-from millrace.functions.sqltext import case_of, let, lit
+from millrace.functions.sqltext import case_of, if_chain, let, lit
 from millrace.model import RAW_COLUMNS
 from millrace.sources.registry import Rules
 
@@ -43,11 +43,13 @@ def uri_error(rules: Rules, uri: str) -> str:
         f"CASE WHEN why IS NOT NULL THEN {error('value', 'why')}"
         f" ELSE {error('not_found', f'concat({lit('Schema not found in any registry: ')}, {uri})')} END",
     )
-    return (
-        f"CASE WHEN {uri} IS NULL THEN {error('unprocessable', lit('schema is not a text'))}"
-        f" WHEN NOT {rules.is_known(uri)} THEN {checks}"
-        f" WHEN {invalid} IS NOT NULL THEN {error('invalid_schema', f'concat({lit('Invalid Schema: ')}, {invalid})')}"
-        " END"
+    return if_chain(
+        [
+            (rules.is_usable(uri), NO_ERROR),
+            (f"{uri} IS NULL", error("unprocessable", lit("schema is not a text"))),
+            (f"NOT {rules.is_known(uri)}", checks),
+        ],
+        error("invalid_schema", f"concat({lit('Invalid Schema: ')}, {invalid})"),
     )
 
 

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from millrace.config import PipelineConfig
 from millrace.functions import iglu, net, text
-from millrace.functions.sqltext import first_not_null, let, lit
+from millrace.functions.sqltext import first_not_null, if_chain, let, lit
 from millrace.operators.errors import ERROR_TYPE, NO_ERROR, error, uri_error, value_error, violation_error
 from millrace.operators.mappings import (
     BASE_FIELDS,
     CAMPAIGN_PARAMS,
     CLICK_IDS,
     EVENT_FIELDS,
+    FALLIBLE,
     bad_cast,
     cast,
 )
@@ -26,6 +27,8 @@ from millrace.sources.registry import PAYLOAD_PREFIX, Rules
 
 EMPTY_MAP = "CAST(map() AS MAP<STRING, STRING>)"
 NO_VARIANT = "CAST(NULL AS VARIANT)"
+# Numbers and times cast once and carried along.
+NUMBERS = ["created_ms", "sent_ms", "true_tstamp", "visit"]
 
 
 # --- Payload level ----------------------------------------------------------------------------------
@@ -105,12 +108,11 @@ def with_items(df: DataFrame, rules: Rules) -> DataFrame:
         + violation_error(rules, "body_doc.uri", "body_doc.value")
         + ") END"
     )
-    item_params = "transform_values(CAST(pi AS MAP<STRING, VARIANT>), (mk, mv) -> CAST(mv AS STRING))"
-    merged = let(item_params, "ip", text.merge_maps("params", "ip"))
+    merged = text.merge_maps("params", "ip")
     with_schema = let("map('schema', {0})", "sm", text.merge_maps("params", "sm"))
     items = (
         "CASE WHEN payload_err IS NOT NULL THEN NULL ELSE CASE body_shape"
-        f" WHEN 'payload' THEN transform(try_cast(body_pair.data AS ARRAY<VARIANT>), pi ->"
+        f" WHEN 'payload' THEN transform(try_cast(body_pair.data AS ARRAY<MAP<STRING, STRING>>), ip ->"
         f" named_struct('params', {merged}, 'event', {NO_VARIANT}))"
         f" WHEN 'whole' THEN array(named_struct('params', {with_schema.format('outer_schema')}, 'event', body_json))"
         " WHEN 'single' THEN array(named_struct('params', "
@@ -180,28 +182,24 @@ def with_schema(df: DataFrame, config: PipelineConfig) -> DataFrame:
     )
 
 
-def _known_field(field: str, options: list[tuple[str, str, str]]) -> str:
-    """Value of ``field`` while projecting event data: the last mapping that applies, else the raw parameter.
+def projected_data(rules: Rules, config: PipelineConfig) -> str:
+    """Event data built from the parameters the schema lists, as VARIANT.
 
-    ``options`` holds (condition, cast, parameter) in mapping order.
+    A mapped field takes its cast value when its parameter is there, else the parameter of the same name.
+    Only fields that some schema lists are spelled out.
     """
-    whens = " ".join(
-        f"WHEN {condition} AND {_param(key)} IS NOT NULL THEN CAST({cast(kind, _param(key))} AS VARIANT)"
-        for condition, kind, key in reversed(options)
-    )
-    return f"CASE {whens} ELSE CAST({_param(field)} AS VARIANT) END"
-
 
-def projected_value(field: str, config: PipelineConfig) -> str:
-    """Value an event field takes when event data is built from parameters, as VARIANT."""
-    options: dict[str, list[tuple[str, str, str]]] = {}
-    for key, (kind, target) in BASE_FIELDS.items():
-        options.setdefault(target, []).append(("true", kind, key))
-    for name, mapping in EVENT_FIELDS.items():
+    def mapped(mapping: dict[str, tuple[str, str]]) -> dict[str, str]:
+        options: dict[str, list[str]] = {}
         for key, (kind, target) in mapping.items():
-            options.setdefault(target, []).append((f"it.parts.name = '{name}'", kind, key))
-    values = {target: _known_field(target, found) for target, found in options.items()}
-    values |= {
+            options.setdefault(target, []).insert(0, f"CAST({cast(kind, _param(key))} AS VARIANT)")
+        return {t: f"coalesce({', '.join(o)}, NULL)" for t, o in options.items() if t in rules.property_names}
+
+    def entries(values: dict[str, str]) -> str:
+        pairs = ", ".join(f"{lit(name)}, {sql}" for name, sql in values.items())
+        return f"map({pairs})" if pairs else "CAST(map() AS MAP<STRING, VARIANT>)"
+
+    fixed = {
         "v_etl": f"CAST({lit(config.etl_version)} AS VARIANT)",
         "v_collector": f"CAST(coalesce({_param('cv')}, collector) AS VARIANT)",
         "collector_tstamp": f"CAST({text.millis_to_timestamp('timestamp')} AS VARIANT)",
@@ -211,8 +209,17 @@ def projected_value(field: str, config: PipelineConfig) -> str:
         "event_version": "CAST(it.parts.version AS VARIANT)",
         "schema": "CAST(it.schema AS VARIANT)",
     }
-    whens = " ".join(f"WHEN {lit(name)} THEN {sql}" for name, sql in values.items())
-    return f"CASE {field} {whens} ELSE CAST(it.params[{field}] AS VARIANT) END"
+    common = mapped(BASE_FIELDS) | {t: v for t, v in fixed.items() if t in rules.property_names}
+    named = if_chain(
+        [(f"it.parts.name = {lit(name)}", entries(common | mapped(m))) for name, m in EVENT_FIELDS.items()],
+        entries(common),
+    )
+    listed = f"map_filter({named}, (fk, fv) -> fv IS NOT NULL AND array_contains(it.fields, fk))"
+    plain = (
+        "transform_values(map_filter(it.params, (fk, fv) -> fv IS NOT NULL AND array_contains(it.fields, fk)),"
+        " (fk, fv) -> CAST(fv AS VARIANT))"
+    )
+    return f"to_variant_object({let(listed, 'ld', text.merge_maps(plain, 'ld'))})"
 
 
 def with_event_data(df: DataFrame, rules: Rules, config: PipelineConfig) -> DataFrame:
@@ -222,30 +229,43 @@ def with_event_data(df: DataFrame, rules: Rules, config: PipelineConfig) -> Data
         ["params", "event", "is_wrapped", "wrapped_data", "schema", "schema_err"],
         {
             "parts": iglu.uri_parts("it.schema"),
+            "created_ms": text.to_int(_param("dtm")),
+            "sent_ms": text.to_int(_param("stm")),
+            "true_tstamp": f"IF({_param('ttm')} IS NULL, NULL, {text.to_tstamp(_param('ttm'))})",
+            "visit": text.to_int(_param("vid")),
             "lookup_err": f"CASE WHEN it.schema_err IS NULL THEN {uri_error(rules, 'it.schema')} END",
             "given": f"coalesce(it.event, CAST({_param('event')} AS VARIANT))",
             "fields": f"CASE WHEN NOT it.is_wrapped AND it.event IS NULL AND {_param('event')} IS NULL"
             f" THEN {rules.fields('it.schema')} END",
         },
     )
-    entries = f"transform(it.fields, fd -> named_struct('key', fd, 'value', {projected_value('fd', config)}))"
-    projected = f"to_variant_object(map_from_entries(filter({entries}, en -> en.value IS NOT NULL)))"
-    bad_base = " OR ".join(bad_cast(kind, _param(key)) for key, (kind, _) in BASE_FIELDS.items() if kind in ("int", "tstamp"))
-    bad_event = " ".join(
-        f"WHEN '{name}' THEN " + " OR ".join(bad_cast(kind, _param(key)) for key, (kind, _) in mapping.items())
-        for name, mapping in EVENT_FIELDS.items()
-        if any(kind in ("int", "float") for kind, _ in mapping.values())
+    projected = projected_data(rules, config)
+    bad_base = (
+        f"({_param('dtm')} IS NOT NULL AND ({text.millis_to_timestamp('it.created_ms')}) IS NULL)"
+        f" OR ({_param('stm')} IS NOT NULL AND ({text.millis_to_timestamp('it.sent_ms')}) IS NULL)"
+        f" OR ({_param('ttm')} IS NOT NULL AND it.true_tstamp IS NULL)"
+        f" OR ({_param('vid')} IS NOT NULL AND it.visit IS NULL)"
+    )
+    bad_event = if_chain(
+        [
+            (
+                f"it.parts.name = {lit(name)}",
+                " OR ".join(bad_cast(k, _param(p)) for p, (k, _) in mapping.items() if k in FALLIBLE),
+            )
+            for name, mapping in EVENT_FIELDS.items()
+            if any(kind in FALLIBLE for kind, _ in mapping.values())
+        ],
+        "false",
     )
     unset = "it.lookup_err IS NULL AND NOT it.is_wrapped AND it.given IS NULL AND it.fields IS NULL"
     return _step(
         df,
-        ["params", "is_wrapped", "schema", "schema_err", "lookup_err", "parts"],
+        ["params", "is_wrapped", "schema", "schema_err", "lookup_err", "parts", *NUMBERS],
         {
             "data": "CASE WHEN it.is_wrapped THEN it.wrapped_data WHEN it.given IS NOT NULL THEN it.given"
             f" WHEN it.fields IS NOT NULL THEN {projected} END",
             "cast_err": f"CASE WHEN {bad_base} THEN {value_error('a number or timestamp is malformed')} END",
-            "event_cast_err": f"CASE WHEN CASE it.parts.name {bad_event} ELSE false END"
-            f" THEN {value_error('a number is malformed')} END",
+            "event_cast_err": f"IF({bad_event}, {value_error('a number is malformed')}, NULL)",
             "projection_err": f"CASE WHEN {unset} THEN "
             + error("unprocessable", "concat('schema lists no properties: ', it.schema)")
             + " END",
@@ -259,7 +279,7 @@ def with_contexts(df: DataFrame, rules: Rules) -> DataFrame:
         df,
         [
             "params", "is_wrapped", "schema", "schema_err", "lookup_err", "parts", "data",
-            "cast_err", "event_cast_err", "projection_err",
+            "cast_err", "event_cast_err", "projection_err", *NUMBERS,
         ],
         {
             "sent": f"CASE WHEN {_param('cx')} IS NOT NULL THEN {text.base64_json(_param('cx'))}"
@@ -289,7 +309,7 @@ def with_contexts(df: DataFrame, rules: Rules) -> DataFrame:
         df,
         [
             "params", "is_wrapped", "schema", "schema_err", "lookup_err", "parts", "data",
-            "cast_err", "event_cast_err", "projection_err",
+            "cast_err", "event_cast_err", "projection_err", *NUMBERS,
         ],
         {"contexts_err": err, "sent_contexts": f"coalesce({listed}, {no_contexts})"},
     )
@@ -306,7 +326,7 @@ def with_contexts(df: DataFrame, rules: Rules) -> DataFrame:
         df,
         [
             "params", "is_wrapped", "schema", "schema_err", "parts", "data",
-            "cast_err", "event_cast_err", "projection_err", "contexts_err", "sent_contexts",
+            "cast_err", "event_cast_err", "projection_err", "contexts_err", "sent_contexts", *NUMBERS,
         ],
         {"checks": f"CASE WHEN coalesce(it.schema_err, it.cast_err) IS NULL THEN {checks} END"},
     )
@@ -321,7 +341,7 @@ def with_contexts(df: DataFrame, rules: Rules) -> DataFrame:
     )
     return _step(
         df,
-        ["params", "schema", "parts", "data", "sent_contexts"],
+        ["params", "schema", "parts", "data", "sent_contexts", *NUMBERS],
         {
             "err": "coalesce(it.schema_err, it.cast_err, it.checks[0].lookup,"
             " CASE WHEN it.is_wrapped THEN it.checks[0].value END,"
@@ -384,7 +404,7 @@ def with_derived_contexts(df: DataFrame, config: PipelineConfig) -> DataFrame:
     bad_ip = let(ip, "ia", f"ia IS NOT NULL AND NOT ({net.is_ip('ia')})") if config.geo_enabled else "false"
     df = _step(
         df,
-        ["params", "schema", "parts", "data", "sent_contexts", "err"],
+        ["params", "schema", "parts", "data", "sent_contexts", "err", *NUMBERS],
         {
             "address": ip,
             "campaign": let(page_url(), "pu", campaign),
@@ -409,7 +429,7 @@ def with_derived_contexts(df: DataFrame, config: PipelineConfig) -> DataFrame:
     sent = "transform(it.sent_contexts, sc -> named_struct('schema', sc.schema, 'data', sc.data))"
     return _step(
         df,
-        ["params", "schema", "parts", "data", "address"],
+        ["params", "schema", "parts", "data", "address", *NUMBERS],
         {
             "contexts": f"concat({sent}, array_compact(array({derived('campaign', campaign_uri)},"
             f" {derived('device', device_uri)})))",
@@ -422,34 +442,30 @@ def with_derived_contexts(df: DataFrame, config: PipelineConfig) -> DataFrame:
 # --- Atomic rows ------------------------------------------------------------------------------------
 
 
-def session_id(contexts: str) -> tuple[str, str]:
-    """Session id of the last session context and whether its type is wrong."""
-    value = _session_value(contexts, "sessionId")
-    return (
-        f"CASE WHEN schema_of_variant({value}) = 'STRING' THEN CAST({value} AS STRING) END",
-        f"coalesce(schema_of_variant({value}) NOT IN ('STRING', 'VOID'), false)",
-    )
+def session_values(contexts: str) -> str:
+    """``struct<id, idx, id_bad, idx_bad>`` of the last session context; NULL without one."""
+    named = f"filter({contexts}, sx -> contains(sx.schema, '/client_session/'))"
 
+    def last(key: str) -> str:
+        found = f"filter(transform(ss, sx -> variant_get(sx.data, '$.{key}')), sx -> sx IS NOT NULL)"
+        return f"try_element_at({found}, -1)"
 
-def session_index(contexts: str) -> tuple[str, str]:
-    value = _session_value(contexts, "sessionIndex")
-    number = let(
-        value,
-        "sv",
-        "CASE WHEN schema_of_variant(sv) = 'BIGINT' THEN CAST(sv AS BIGINT)"
-        " WHEN schema_of_variant(sv) = 'BOOLEAN' THEN IF(CAST(sv AS BOOLEAN), 1L, 0L)"
-        f" WHEN schema_of_variant(sv) = 'STRING' THEN {text.to_int('CAST(sv AS STRING)')}"
-        " WHEN try_cast(sv AS DOUBLE) = floor(try_cast(sv AS DOUBLE)) THEN try_cast(sv AS BIGINT) END",
+    index = (
+        "CASE WHEN sv.xt = 'BIGINT' THEN CAST(sv.x AS BIGINT)"
+        " WHEN sv.xt = 'BOOLEAN' THEN IF(CAST(sv.x AS BOOLEAN), 1L, 0L)"
+        f" WHEN sv.xt = 'STRING' THEN {text.to_int('CAST(sv.x AS STRING)')}"
+        " WHEN try_cast(sv.x AS DOUBLE) = floor(try_cast(sv.x AS DOUBLE)) THEN try_cast(sv.x AS BIGINT) END"
     )
-    return number, let(value, "sw", f"sw IS NOT NULL AND schema_of_variant(sw) <> 'VOID' AND ({number}) IS NULL")
-
-
-def _session_value(contexts: str, key: str) -> str:
-    named = f"filter({contexts}, sx -> split(sx.schema, '/')[1] = 'client_session')"
-    return (
-        f"try_element_at(filter(transform({named}, sx -> variant_get(sx.data, '$.{key}')),"
-        " sx -> sx IS NOT NULL), -1)"
+    result = let(
+        index,
+        "si",
+        "named_struct('id', IF(sv.it = 'STRING', CAST(sv.i AS STRING), NULL), 'idx', si,"
+        " 'id_bad', coalesce(sv.it NOT IN ('STRING', 'VOID'), false),"
+        " 'idx_bad', coalesce(sv.xt <> 'VOID', false) AND si IS NULL)",
     )
+    typed = "named_struct('i', sp.i, 'x', sp.x, 'it', schema_of_variant(sp.i), 'xt', schema_of_variant(sp.x))"
+    values = f"named_struct('i', {last('sessionId')}, 'x', {last('sessionIndex')})"
+    return let(named, "ss", f"IF(size(ss) = 0, NULL, {let(values, 'sp', let(typed, 'sv', result))})")
 
 
 def best_timestamp(true_ts: str, created_ms: str, sent_ms: str, collector_ms: str) -> str:
@@ -467,89 +483,79 @@ def with_atomic(df: DataFrame, config: PipelineConfig) -> DataFrame:
     """Assemble the atomic fields and check that the required ones are there."""
     structured = ["category", "action", "label", "property", "value"]
     views = ", ".join(f"{name}: VARIANT" for name in structured)
+    base = {target: cast(kind, _param(key)) for key, (kind, target) in BASE_FIELDS.items()}
+    # A parameter named like a time field counts as that time, but only as text.
+    true_text = f"IF({_param('ttm')} IS NULL, {_param('true_tstamp')}, NULL)"
+    corrected = best_timestamp("it.true_tstamp", "it.created_ms", "it.sent_ms", "timestamp")
     df = _step(
         df,
-        ["params", "schema", "parts", "data", "address", "contexts", "err"],
+        ["params", "schema", "parts", "data", "address", "contexts", "err", *NUMBERS],
         {
             "flat": f"try_cast(it.data AS STRUCT<{views}>)",
-            "created_ms": text.to_int(_param("dtm")),
-            "sent_ms": text.to_int(_param("stm")),
-            "session_id": session_id("it.contexts")[0],
-            "session_id_bad": session_id("it.contexts")[1],
-            "session_idx": session_index("it.contexts")[0],
-            "session_idx_bad": session_index("it.contexts")[1],
+            "session": session_values("it.contexts"),
+            "true_text": true_text,
+            "tstamp": f"IF(({true_text}) IS NULL, {corrected}, {text.lenient_timestamp(_param('true_tstamp'))})",
+            "collector_tstamp": text.millis_to_timestamp("timestamp"),
+            "platform": f"IF({_param('platform')} IS NULL, coalesce({_param('p')}, 'web'), {_param('p')})",
         },
     )
-    base = {target: cast(kind, _param(key)) for key, (kind, target) in BASE_FIELDS.items()}
-    true_ts = f"coalesce({base['true_tstamp']}, {text.lenient_timestamp(_param('true_tstamp'))})"
-    leaked_true = f"({_param('ttm')} IS NULL AND {_param('true_tstamp')} IS NOT NULL)"
-    tstamp = (
-        f"CASE WHEN {leaked_true} THEN {text.lenient_timestamp(_param('true_tstamp'))}"
-        f" ELSE {best_timestamp(base['true_tstamp'], 'it.created_ms', 'it.sent_ms', 'timestamp')} END"
-    )
-    # A device time that is only a parameter of that name is text; subtracting it is not possible.
-    text_time = " OR ".join(
-        f"({_param(key)} IS NULL AND {_param(field)} IS NOT NULL)"
-        for key, field in (("dtm", "dvce_created_tstamp"), ("stm", "dvce_sent_tstamp"))
-    )
-    both_times = " AND ".join(
-        f"coalesce({_param(key)}, {_param(field)}) IS NOT NULL"
-        for key, field in (("dtm", "dvce_created_tstamp"), ("stm", "dvce_sent_tstamp"))
-    )
-    no_true = f"{_param('ttm')} IS NULL AND {_param('true_tstamp')} IS NULL"
-    platform = f"CASE WHEN {_param('platform')} IS NULL THEN coalesce({_param('p')}, 'web') ELSE {_param('p')} END"
-    address = f"CASE WHEN full_ip THEN {base['user_ipaddress']} ELSE {net.redact_ip('it.address')} END"
+    device_times = (("dtm", "dvce_created_tstamp"), ("stm", "dvce_sent_tstamp"))
+    text_time = " OR ".join(f"({_param(k)} IS NULL AND {_param(f)} IS NOT NULL)" for k, f in device_times)
+    both_times = " AND ".join(f"coalesce({_param(k)}, {_param(f)}) IS NOT NULL" for k, f in device_times)
+    no_true = "it.true_tstamp IS NULL AND it.true_text IS NULL"
     missing = (
-        "array_compact(array("
-        "CASE WHEN hostname IS NULL THEN 'collector_host' END,"
-        f" CASE WHEN ({platform}) IS NULL THEN 'platform' END,"
-        f" CASE WHEN {leaked_true} AND ({true_ts}) IS NULL THEN 'tstamp' END,"
-        " CASE WHEN it.session_id_bad THEN 'session_id' END,"
-        " CASE WHEN it.session_idx_bad THEN 'session_idx' END))"
+        "array_compact(array(IF(hostname IS NULL, 'collector_host', NULL), IF(it.platform IS NULL, 'platform', NULL),"
+        " IF(it.tstamp IS NULL, 'tstamp', NULL), IF(it.session.id_bad, 'session_id', NULL),"
+        " IF(it.session.idx_bad, 'session_idx', NULL)))"
     )
     incomplete = let(
         missing,
         "ms",
-        "CASE WHEN size(ms) > 0 THEN "
+        "IF(size(ms) > 0, "
         + error(
             "value",
             "concat('Invalid atomic event: ', size(ms), ' errors in [\\'', array_join(ms, '\\', \\''), '\\']')",
         )
-        + " END",
+        + ", NULL)",
     )
-    fields = {
-        "err": "coalesce(it.err,"
-        f" CASE WHEN {no_true} AND {both_times} AND ({text_time}) THEN "
+    suspect = (
+        "hostname IS NULL OR it.platform IS NULL OR it.tstamp IS NULL OR it.collector_tstamp IS NULL"
+        f" OR coalesce(it.session.id_bad OR it.session.idx_bad, false) OR ({no_true} AND ({text_time}))"
+    )
+    problems = (
+        f"coalesce(IF({no_true} AND {both_times} AND ({text_time}), "
         + error("unprocessable", lit("device times are not timestamps"))
-        + " END,"
-        f" CASE WHEN ({text.millis_to_timestamp('timestamp')}) IS NULL OR (({tstamp}) IS NULL AND NOT {leaked_true})"
-        f" THEN {error('unprocessable', lit('timestamp out of range'))} END,"
-        f" {incomplete})",
+        + ", NULL), IF(it.collector_tstamp IS NULL OR (it.tstamp IS NULL AND it.true_text IS NULL), "
+        + error("unprocessable", lit("timestamp out of range"))
+        + f", NULL), {incomplete})"
+    )
+    fields = {
+        "err": f"IF(it.err IS NOT NULL, it.err, IF({suspect}, {problems}, NULL))",
         "address": "it.address",
         "event_id": f"coalesce({base['event_id']}, uuid())",
         "collector_host": "hostname",
         "collector_auth": "collector_auth",
         "app_id": base["app_id"],
-        "platform": platform,
+        "platform": "it.platform",
         "event_vendor": "it.parts.vendor",
         "event_name": "it.parts.name",
         "event_version": "it.parts.version",
-        "tstamp": tstamp,
-        "collector_tstamp": text.millis_to_timestamp("timestamp"),
+        "tstamp": "it.tstamp",
+        "collector_tstamp": "it.collector_tstamp",
         "dvce_created_tstamp": text.millis_to_timestamp("it.created_ms"),
         "dvce_sent_tstamp": text.millis_to_timestamp("it.sent_ms"),
-        "true_tstamp": base["true_tstamp"],
+        "true_tstamp": "it.true_tstamp",
         "v_tracker": base["v_tracker"],
         "v_collector": f"coalesce({_param('cv')}, collector)",
         "v_etl": lit(config.etl_version),
         "name_tracker": base["name_tracker"],
-        "user_ipaddress": address,
+        "user_ipaddress": f"IF(full_ip, {base['user_ipaddress']}, {net.redact_ip('it.address')})",
         "user_id": base["user_id"],
-        "session_id": "it.session_id",
-        "session_idx": "it.session_idx",
+        "session_id": "it.session.id",
+        "session_idx": "it.session.idx",
         "domain_userid": base["domain_userid"],
         "domain_sessionid": base["domain_sessionid"],
-        "domain_sessionidx": base["domain_sessionidx"],
+        "domain_sessionidx": "it.visit",
         "network_userid": base["network_userid"],
         "useragent": base["useragent"],
         "language": base["language"],
@@ -557,5 +563,8 @@ def with_atomic(df: DataFrame, config: PipelineConfig) -> DataFrame:
         "event": "named_struct('schema', it.schema, 'data', CAST(it.data AS STRING))",
     }
     for name in structured:
-        fields[name] = f"CASE WHEN schema_of_variant(it.flat.{name}) = 'STRING' THEN CAST(it.flat.{name} AS STRING) END"
+        value = f"it.flat.{name}"
+        fields[name] = (
+            f"IF({value} IS NOT NULL, IF(schema_of_variant({value}) = 'STRING', CAST({value} AS STRING), NULL), NULL)"
+        )
     return _step(df, [], fields)

@@ -22,7 +22,7 @@ from millrace.functions.jsonschema import (
     property_names,
     violation,
 )
-from millrace.functions.sqltext import case_of, lits
+from millrace.functions.sqltext import case_of, if_chain, lits
 from millrace.model import ATOMIC_COLUMNS, ATOMIC_REQUIRED
 
 REGISTRY_SCHEMA = "uri string, document string, priority int"
@@ -192,10 +192,10 @@ class Rules:
 
     def violation(self, uri: str, x: str) -> str:
         """First broken rule of ``x`` under the schema ``uri``; NULL when valid or when the URI is unknown."""
-        whens = [
-            f"WHEN {uri} IN ({lits(uris)}) THEN {violation(document, x)}" for uris, document in self._same_rules
-        ]
-        return f"CASE {' '.join(whens)} END" if whens else "CAST(NULL AS STRING)"
+        return if_chain(
+            [(f"{uri} IN ({lits(uris)})", violation(document, x)) for uris, document in self._same_rules],
+            "CAST(NULL AS STRING)",
+        )
 
     def fields(self, uri: str) -> str:
         """Property names of the schema; NULL when it is unknown or has no properties."""
@@ -204,8 +204,17 @@ class Rules:
             names = property_names(document)
             if names is not None:
                 listed = f"array({lits(names)})" if names else "CAST(array() AS ARRAY<STRING>)"
-                branches.append(f"WHEN {uri} IN ({lits(uris)}) THEN {listed}")
-        return f"CASE {' '.join(branches)} END" if branches else "CAST(NULL AS ARRAY<STRING>)"
+                branches.append((f"{uri} IN ({lits(uris)})", listed))
+        return if_chain(branches, "CAST(NULL AS ARRAY<STRING>)")
+
+    @cached_property
+    def property_names(self) -> set[str]:
+        """Every top-level property of any schema an event can be built for."""
+        atomic = [d for u, d in self.documents.items() if u.split("/")[1] == "atomic"]
+        return {n for d in self.documents.values() if d not in atomic for n in property_names(d) or []}
+
+    def is_usable(self, uri: str) -> str:
+        return f"coalesce({uri} IN ({lits(self.documents)}), false)" if self.documents else "false"
 
     def is_known(self, uri: str) -> str:
         return f"coalesce({uri} IN ({lits(self.known)}), false)" if self.known else "false"
