@@ -12,6 +12,7 @@ import hashlib
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from millrace.config import PipelineConfig
 from millrace.functions import net, text
@@ -58,7 +59,7 @@ def signature_holds(token: str, pem: str) -> bool:
     return opened == b"\x00\x01" + b"\xff" * (size - len(tail) - 3) + b"\x00" + tail
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def _verified(tokens: pd.Series, keys: pd.Series) -> pd.Series:
     return pd.Series([bool(t) and bool(k) and signature_holds(t, k) for t, k in zip(tokens, keys)])
 
