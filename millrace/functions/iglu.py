@@ -78,8 +78,8 @@ def context_column(x: str) -> str:
         f"split(substring({x}, 6), '/')",
         "cc",
         "concat('context_', lower(replace(cc[0], '.', '_')), '_', "
-        + snake_case("cc[1]")
-        + ", '_', split(cc[3], '-')[0])",
+        + snake_case("get(cc, 1)")
+        + ", '_', split(get(cc, 3), '-')[0])",
     )
 
 

@@ -105,8 +105,8 @@ ANONYMOUS_USER_ID = "00000000-0000-0000-0000-000000000000"
 def header_value(headers: str, name: str) -> str:
     """Value of the first header with this name; names compare without case."""
     return (
-        f"trim(split(try_element_at(filter({headers}, h -> lower(split(h, ':', 2)[0]) = {lit(name)}), 1),"
-        " ':', 2)[1])"
+        f"trim(get(split(try_element_at(filter({headers}, h -> lower(split(h, ':', 2)[0]) = {lit(name)}), 1),"
+        " ':', 2), 1))"
     )
 
 

@@ -75,11 +75,11 @@ def with_auth_subject(raw: DataFrame, config: PipelineConfig, keys: DataFrame |
     """
     leeway = config.auth_leeway_seconds
     header = f"{net.headers_map('headers')}['authorization']"
-    claims = text.base64_json("split(_token, '[.]')[1]", urlsafe=True)
-    algorithm = text.base64_json("split(_token, '[.]')[0]", urlsafe=True)
+    claims = text.base64_json("get(split(_token, '[.]'), 1)", urlsafe=True)
+    algorithm = text.base64_json("get(split(_token, '[.]'), 0)", urlsafe=True)
     df = (
         raw.withColumn("_header", F.expr(header))
-        .withColumn("_token", F.expr("CASE WHEN startswith(lower(_header), 'bearer ') THEN split(_header, ' ')[1] END"))
+        .withColumn("_token", F.expr("CASE WHEN startswith(lower(_header), 'bearer ') THEN get(split(_header, ' '), 1) END"))
         .withColumn("_claims", F.expr(claims))
         .withColumn("_alg", F.expr(f"try_variant_get({algorithm}, '$.alg', 'string')"))
         .withColumn("issuer", F.expr("try_variant_get(_claims, '$.iss', 'string')"))

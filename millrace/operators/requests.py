@@ -71,12 +71,14 @@ def split_payloads(raw: DataFrame, config: PipelineConfig) -> tuple[DataFrame, D
     starts = (
         "aggregate(transform(_items, d -> octet_length(d)),"
         " named_struct('starts', array(0), 'used', 0, 'n', 0, 'i', 0), (acc, w) ->"
-        f" IF(acc.n = 0 OR _head + acc.used + acc.n + w <= {limit},"
+        f" IF(acc.n = 0 OR hs + acc.used + acc.n + w <= {limit},"
         "  named_struct('starts', acc.starts, 'used', acc.used + w, 'n', acc.n + 1, 'i', acc.i + 1),"
         "  named_struct('starts', array_append(acc.starts, acc.i), 'used', w, 'n', 1, 'i', acc.i + 1)),"
         " acc -> acc.starts)"
     )
-    too_large = f"exists(_items, d -> _head + octet_length(d) > {limit})"
+    # Bind the size of an empty body first: a column named inside a lambda may be worked out per element.
+    starts = let("_head", "hs", starts)
+    too_large = let("_head", "hs", f"exists(_items, d -> hs + octet_length(d) > {limit})")
     err = (
         f"CASE WHEN _whole <= {limit} THEN {NO_ERROR}"
         f" WHEN _base >= {limit} THEN {error('too_large', lit('record without body is too large'))}"

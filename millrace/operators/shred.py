@@ -46,7 +46,7 @@ def matches_whitelist(uri: str, allowed: Sequence[Allowed] | None) -> str:
     for a in allowed:
         test = f"startswith({uri}, {lit(f'iglu:{a.vendor}/{a.name}/')})"
         if a.version != "*":
-            test += f" AND startswith(split({uri}, '/')[3], {lit(a.version)})"
+            test += f" AND startswith(get(split({uri}, '/'), 3), {lit(a.version)})"
         tests.append(f"({test})")
     return f"({' OR '.join(tests)})" if tests else "false"
 

@@ -235,8 +235,13 @@ def raw_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             "ti_qu": "CAST(l_quantity AS BIGINT)",
         }
     )
+    # Few bytes but much work per row: fix the number of partitions, or they are merged for being small.
+    spark = orders.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    orders = orders.repartition(parts, "o_orderkey")
     lines = (
         lineitem.select("l_orderkey", "l_linenumber", F.expr(item).alias("item"))
+        .repartition(parts, "l_orderkey")
         .groupBy("l_orderkey")
         .agg(F.expr("transform(array_sort(collect_list(struct(l_linenumber, to_json(item) AS item))), l -> l.item)").alias("items"))
     )
