@@ -33,7 +33,9 @@ def lookup_join(
         salts = F.explode(F.array([F.lit(i) for i in range(config.lookup_salts)]))
         side, keys = table.withColumn("_salt", salts), [*on, "_salt"]
         # Take the salt from the row itself: a retried task then sends each row to the same place.
-        left = facts.withColumn("_salt", F.expr(f"CAST(pmod(xxhash64(*), {config.lookup_salts}) AS INT)"))
+        hashable = [c for c, kind in facts.dtypes if "map<" not in kind and "variant" not in kind]
+        salt = f"CAST(pmod(xxhash64({', '.join(hashable)}), {config.lookup_salts}) AS INT)"
+        left = facts.withColumn("_salt", F.expr(salt))
     side = side.select([F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in side.columns])
     test = " AND ".join([f"{k} = _r_{k}" for k in keys] + ([condition] if condition else []))
     return left.join(side, F.expr(test), "left").drop("_salt", *[f"_r_{k}" for k in keys])

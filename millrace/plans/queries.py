@@ -621,12 +621,12 @@ def sessions_by_gap(spark, sf):
 
 @query("""
 SELECT DISTINCT 'n' || user_id AS usr FROM events WHERE event_type = 'purchase'
-EXCEPT SELECT 'n' || user_id FROM events WHERE event_type = 'click' AND event_id % 2 = 0
+EXCEPT SELECT 'n' || user_id FROM events WHERE event_type = 'click' AND event_id % 97 = 0
 """)
-def buyers_without_even_clicks(spark, sf):
+def buyers_without_clicks(spark, sf):
     atomic = _atomic(spark, sf, ("purchase", "click"))
     buyers = atomic.where("event_name = 'transaction'").selectExpr("network_userid AS usr")
-    clickers = atomic.where(f"event_name = 'link_click' AND {_NUMBER} % 2 = 0").selectExpr("network_userid AS usr")
+    clickers = atomic.where(f"event_name = 'link_click' AND {_NUMBER} % 97 = 0").selectExpr("network_userid AS usr")
     return buyers.distinct().join(clickers, "usr", "left_anti")
 
 
@@ -684,11 +684,15 @@ def collector_routes(spark, sf):
     return routed.selectExpr("event_id", "r.endpoint", "r.vendor", f"{net.redirect_target('qs')} AS target")
 
 
-@query("""
-SELECT doc_id, len(string_split(text, chr(10)))::BIGINT AS items, true AS fits FROM documents
+@query(f"""
+WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+     sized AS (SELECT doc_id, count(*) AS n, max(strlen(to_json(line)::VARCHAR)) + 58 + length(doc_id::VARCHAR)
+                 + strlen('{{"schema":"{feed.PAYLOAD}","data":[]}}') <= 20000 AS fits
+               FROM lines GROUP BY doc_id)
+SELECT doc_id, CASE WHEN fits THEN n ELSE 0 END AS items, fits FROM sized
 """)
 def payload_size_split(spark, sf):
-    """Documents as payloads with one item per line, split at 20 kB."""
+    """Documents as payloads with one item per line, split at 20 kB; a longer line is an error."""
     config = PipelineConfig(max_record_bytes=20_000)
     docs = feed.spread(feed.table(spark, sf, "documents"))
     body = f"to_json(named_struct('schema', {lit(feed.PAYLOAD)}, 'data', split(text, '\\n')))"
