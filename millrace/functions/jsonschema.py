@@ -85,13 +85,15 @@ class _Compiler:
         if not rules:
             return "CAST(NULL AS STRING)"
         body = rules[0] if len(rules) == 1 else f"coalesce({', '.join(rules)})"
+        # Bind only the views of the value that some rule reads, the costly ones only where the short test fails.
+        for name, view in ((v.a, as_array(v.x)), (v.m, as_map(v.x))):
+            if re.search(rf"\b{name}\b", body):
+                body = let(view, name, body)
         flat = self.flat_object(schema, v)
         if flat:
             body = f"IF({flat}, CAST(NULL AS STRING), {body})"
-        # Bind only the views of the value that some rule reads.
-        for name, view in ((v.t, type_name(v.x)), (v.a, as_array(v.x)), (v.m, as_map(v.x))):
-            if re.search(rf"\b{name}\b", body):
-                body = let(view, name, body)
+        if re.search(rf"\b{v.t}\b", body):
+            body = let(type_name(v.x), v.t, body)
         return let(x, v.x, body)
 
     def flat_object(self, schema: dict, v: _Value) -> str | None:

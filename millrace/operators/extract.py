@@ -291,9 +291,8 @@ def with_contexts(df: DataFrame, rules: Rules) -> DataFrame:
         "transform(try_cast(variant_get(it.sent, '$.data') AS ARRAY<VARIANT>), cv -> named_struct("
         f"'schema', CASE WHEN schema_of_variant({uri}) = 'STRING' THEN CAST({uri} AS STRING) END,"
         " 'data', variant_get(cv, '$.data'),"
-        f" 'missing', CASE WHEN try_cast(cv AS MAP<STRING, VARIANT>) IS NULL"
-        f" THEN {error('unprocessable', lit('a context is not an object'))}"
-        f" WHEN {uri} IS NULL THEN {value_error('Missing schema in contexts')}"
+        f" 'missing', CASE WHEN {uri} IS NULL THEN IF(try_cast(cv AS MAP<STRING, VARIANT>) IS NULL,"
+        f" {error('unprocessable', lit('a context is not an object'))}, {value_error('Missing schema in contexts')})"
         f" WHEN variant_get(cv, '$.data') IS NULL THEN {value_error('Missing data in contexts')} END))"
     )
     err = (
@@ -313,7 +312,7 @@ def with_contexts(df: DataFrame, rules: Rules) -> DataFrame:
         ],
         {"contexts_err": err, "sent_contexts": f"coalesce({listed}, {no_contexts})"},
     )
-    not_object = "try_cast(dc.data AS MAP<STRING, VARIANT>) IS NULL"
+    not_object = f"NOT {rules.implies_object('dc.schema')} AND try_cast(dc.data AS MAP<STRING, VARIANT>) IS NULL"
     event_doc = f"named_struct('schema', it.schema, 'data', it.data, 'missing', {NO_ERROR})"
     checks = (
         f"transform(concat(array({event_doc}), it.sent_contexts), (dc, di) -> named_struct("

@@ -197,6 +197,11 @@ class Rules:
             "CAST(NULL AS STRING)",
         )
 
+    def implies_object(self, uri: str) -> str:
+        """Whether the schema itself only admits objects."""
+        uris = [u for u, d in self.documents.items() if d.get("type") == "object"]
+        return f"coalesce({uri} IN ({lits(uris)}), false)" if uris else "false"
+
     def fields(self, uri: str) -> str:
         """Property names of the schema; NULL when it is unknown or has no properties."""
         branches = []
