@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from millrace.llm import shards, url_rules
+from millrace.llm import bpe, exact_dedup, packing, shards, url_rules
 
 QUERIES = {
     "op1_url_filters": url_rules.op1_url_filters,
+    "op2_best_fit_packing": packing.op2_best_fit_packing,
+    "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op6_sharding": shards.op6_sharding,
+    "op9_byte_bpe": bpe.op9_byte_bpe,
 }
 
-ORACLES = {"op1_url_filters": url_rules.OP1_SQL}
+ORACLES = {
+    "op1_url_filters": url_rules.OP1_SQL,
+    "op4_exact_dedup": exact_dedup.OP4_SQL,
+}
