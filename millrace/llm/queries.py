@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from millrace.llm import bpe, exact_dedup, packing, shards, url_rules
+from millrace.llm import bpe, exact_dedup, fingerprints, language, near_dedup, packing, shards, url_rules
 
 QUERIES = {
     "op1_url_filters": url_rules.op1_url_filters,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op6_sharding": shards.op6_sharding,
+    "op7_minhash_fingerprints": fingerprints.op7_minhash_fingerprints,
+    "op8_language_id": language.op8_language_id,
     "op9_byte_bpe": bpe.op9_byte_bpe,
+    "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
 ORACLES = {
