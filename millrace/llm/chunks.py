@@ -28,13 +28,13 @@ def chunked(text: str) -> list[str]:
     return STARTS.split(text) if INSIDE.search(text) else text.split(" ")
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Parts of the batches with at most SLICE characters (or one row), and their texts, null as empty."""
+def slices(batches: Iterator[pa.RecordBatch], text: str, chars: int = SLICE) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Parts of the batches with at most ``chars`` characters (or one row), and their texts, null as empty."""
     for batch in batches:
         texts = [t or "" for t in batch.column(text).to_pylist()]
         start = size = 0
         for i, t in enumerate(texts):
-            if size + len(t) > SLICE and i > start:
+            if size + len(t) > chars and i > start:
                 yield batch.slice(start, i - start), texts[start:i]
                 start, size = i, 0
             size += len(t)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from millrace.llm import bpe, exact_dedup, fingerprints, language, near_dedup, packing, shards, url_rules
+from millrace.llm import bpe, exact_dedup, fingerprints, hmm, language, line_templates, near_dedup, packing, shards, url_rules
 
 QUERIES = {
     "op1_url_filters": url_rules.op1_url_filters,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
+    "op3_hmm_scoring": hmm.op3_hmm_scoring,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_line_templates": line_templates.op5_line_templates,
     "op6_sharding": shards.op6_sharding,
     "op7_minhash_fingerprints": fingerprints.op7_minhash_fingerprints,
     "op8_language_id": language.op8_language_id,
@@ -18,4 +20,5 @@ QUERIES = {
 ORACLES = {
     "op1_url_filters": url_rules.OP1_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op5_line_templates": line_templates.OP5_SQL,
 }
