@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from millrace.llm import shingles
 from millrace.llm.chunks import slices
-from millrace.llm.common import BROADCAST_ROWS, semi_join, staged, table
+from millrace.llm.common import BROADCAST_ROWS, free_name, semi_join, staged, table
 from millrace.llm.links import linked
 
 BANDS, ROWS = 48, 7
@@ -122,6 +122,16 @@ def near_duplicates(
     return documents, links
 
 
+def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows and columns of ``docs`` without near duplicates: of each component the row with the smallest id stays."""
+    documents, _ = near_duplicates(docs, k, percent, id_col, text_col, broadcast_rows)
+    gone = staged(documents.where(~F.col("kept")).select(F.col(id_col).alias("gone_id"), F.col("hash").alias("gone_hash")).distinct(), "gone")
+    small = gone.count() <= broadcast_rows
+    hash_name = free_name(docs, "__hash")
+    rows = docs.withColumn(hash_name, F.xxhash64(text_col))
+    return rows.join(F.broadcast(gone) if small else gone, rows[id_col].eqNullSafe(gone["gone_id"]) & (rows[hash_name] == gone["gone_hash"]), "left_anti").drop(hash_name)
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, _ = near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
     return documents.select("doc_id", "n_shingles", "component_id", "kept")
