@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.chunks import ChunkEncoder, slices
-from millrace.llm.common import table
+from millrace.llm.common import remembered, table
 
 #: Bytes of distinct matches that one recursive query gets at most (or one match).
 QUERY_BYTES = 1_000_000
@@ -174,14 +174,9 @@ class Bpe:
         return out
 
 
-_bpes: dict[tuple[str, str], Bpe] = {}
-
-
 def bpe(ranks_path: str, pattern: str) -> Bpe:
     """The worker's vocabulary of that file."""
-    if (ranks_path, pattern) not in _bpes:
-        _bpes[ranks_path, pattern] = Bpe(ranks_path, pattern)
-    return _bpes[ranks_path, pattern]
+    return remembered(("bpe", ranks_path, pattern), lambda: Bpe(ranks_path, pattern))
 
 
 def _id_and(df: DataFrame, id_col: str, *more: T.StructField) -> T.StructType:

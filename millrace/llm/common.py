@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +41,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remembered(name: Any, make: Callable[[], Any]) -> Any:
+    """What ``make`` gave in this worker process for the name, made anew only when there is none.
+
+    It is kept outside of the package's own modules, as those may travel with each task and arrive as new copies.
+    """
+    kept = vars(sys.modules.setdefault("_millrace_worker", types.ModuleType("_millrace_worker")))
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

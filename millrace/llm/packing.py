@@ -24,20 +24,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.chunks import ChunkEncoder, as_bytes, slices
-from millrace.llm.common import staged, table
-
-_encoders: dict[str, ChunkEncoder] = {}
-
+from millrace.llm.common import remembered, staged, table
 
 def chunk_encoder(path: str) -> ChunkEncoder:
     """The worker's encoder for a tokenizer file."""
-    if path not in _encoders:
+
+    def make() -> ChunkEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        _encoders[path] = ChunkEncoder(lambda texts: [as_bytes(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
-    return _encoders[path]
+        return ChunkEncoder(lambda texts: [as_bytes(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    return remembered(("chunk encoder", path), make)
 
 
 def best_two_fit(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:

@@ -7,6 +7,8 @@ from hashlib import blake2b
 import numpy as np
 import xxhash
 
+from millrace.llm.common import remembered
+
 #: Words that a worker remembers with their hashes; about 60 MB. It starts anew when they are reached.
 REMEMBERED = 400_000
 #: Shingles hashed at once, so that the arrays stay in the processor's cache.
@@ -21,9 +23,6 @@ class _WordHashes(dict):
         return value
 
 
-_words = _WordHashes()
-
-
 def words(text: str) -> list[bytes]:
     """Words between blanks, tabs, line and page breaks (0x20, 0x09 to 0x0D), with A-Z lower-cased."""
     return text.encode("utf-8", "surrogatepass").lower().split()
@@ -40,11 +39,12 @@ def shingle_hashes(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
 
     A text with fewer words is one shingle of all of them, and a text without words has none. Repeats are not removed.
     """
-    if len(_words) > REMEMBERED:
-        _words.clear()
+    hash_of = remembered("word hashes", _WordHashes)
+    if len(hash_of) > REMEMBERED:
+        hash_of.clear()
     cut = [words(t) for t in texts]
     n = np.array([len(c) for c in cut], np.int64)
-    flat = np.array([_words[w] for c in cut for w in c], np.uint64)
+    flat = np.array([hash_of[w] for c in cut for w in c], np.uint64)
     starts = np.cumsum(n) - n
     size = np.minimum(n, k)  # words in a shingle of the text
     many = np.maximum(n - k + 1, (n > 0).astype(np.int64))
