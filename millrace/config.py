@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 DEFAULT_VENDOR = "io.millrace"
 
@@ -31,9 +31,7 @@ class PipelineConfig:
     auth_claim: str = "sub"
     auth_audience: str | None = None
     auth_public_key: str | None = None
-    auth_issuer_keys: dict[str, str] = field(default_factory=dict)
     auth_leeway_seconds: int = 3600
 
-    # A lookup table is broadcast only when its estimated size stays under this; beyond it the join shuffles.
-    broadcast_limit_bytes: int = 256 * 1024 * 1024
-    lookup_salts: int = 16
+    # A lookup table is broadcast only when it has no more rows than this, counted; beyond it the join shuffles.
+    broadcast_limit_rows: int = 1_000_000

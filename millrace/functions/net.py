@@ -233,7 +233,8 @@ def device_family(ua: str) -> str:
     return (
         f"CASE WHEN {bots} THEN 'Spider' WHEN contains({ua}, 'iPhone') THEN 'iPhone'"
         f" WHEN contains({ua}, 'iPad') THEN 'iPad'"
-        f" WHEN contains({ua}, 'Android') THEN coalesce(nullif({model}, ''), 'Generic Smartphone')"
+        f" WHEN {ua} rlike 'Android [^;)]*; Tablet' THEN 'Generic Tablet'"
+        f" WHEN contains({ua}, 'Android') THEN coalesce(nullif(nullif({model}, ''), 'Mobile'), 'Generic Smartphone')"
         f" WHEN contains({ua}, 'Macintosh') THEN 'Mac' ELSE 'Other' END"
     )
 

@@ -77,8 +77,8 @@ def base64_json(x: str, urlsafe: bool = False) -> str:
 def to_int(x: str) -> str:
     """Integer text (sign, surrounding blanks and ``_`` between digits allowed) to BIGINT, else NULL."""
     return (
-        f"IF({x} IS NULL, NULL, IF(trim({x}) rlike '^[+-]?[0-9]+(_[0-9]+)*$',"
-        f" try_cast(replace({x}, '_', '') AS BIGINT), NULL))"
+        f"IF({x} IS NULL, NULL, IF({x} rlike '^\\\\s*[+-]?[0-9]+(_[0-9]+)*\\\\s*$',"
+        f" try_cast(regexp_replace({x}, '[_\\\\s]', '') AS BIGINT), NULL))"
     )
 
 

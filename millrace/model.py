@@ -21,7 +21,6 @@ RAW = T.StructType(
     ]
 )
 RAW_COLUMNS = RAW.fieldNames()
-RAW_REQUIRED = [f.name for f in RAW if not f.nullable]
 
 SELF_DESCRIBING = T.StructType(
     [T.StructField("schema", T.StringType()), T.StructField("data", T.StringType())]

@@ -10,12 +10,13 @@ import base64
 import hashlib
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from millrace.config import PipelineConfig
 from millrace.functions import net, text
+from millrace.functions.sqltext import lit
 from millrace.operators.lookup import lookup_join
 
 # Fixed value: ASN.1 prefix of a SHA-256 digest in an RSASSA-PKCS1-v1_5 signature.
@@ -46,11 +47,11 @@ def _unpad(part: str) -> bytes:
     return base64.urlsafe_b64decode(part + "=" * (-len(part) % 4))
 
 
-def signature_holds(token: str, pem: str) -> bool:
-    """RS256 check of a compact token."""
+def signature_holds(token: str, numbers: tuple[int, int] | None) -> bool:
+    """RS256 check of a compact token against a key's modulus and exponent."""
     try:
         head, claims, signature = token.split(".")
-        modulus, exponent = rsa_numbers(pem)
+        modulus, exponent = numbers or (0, 0)
         size = (modulus.bit_length() + 7) // 8
         opened = pow(int.from_bytes(_unpad(signature), "big"), exponent, modulus).to_bytes(size, "big")
     except (ValueError, IndexError):
@@ -59,19 +60,24 @@ def signature_holds(token: str, pem: str) -> bool:
     return opened == b"\x00\x01" + b"\xff" * (size - len(tail) - 3) + b"\x00" + tail
 
 
-@F.pandas_udf(BooleanType())
-def _verified(tokens: pd.Series, keys: pd.Series) -> pd.Series:
-    return pd.Series([bool(t) and bool(k) and signature_holds(t, k) for t, k in zip(tokens, keys)])
+def _numbers_or_none(pem: str) -> tuple[int, int] | None:
+    try:
+        return rsa_numbers(pem)
+    except (ValueError, IndexError):
+        return None
 
 
-def issuer_keys(spark: SparkSession, config: PipelineConfig) -> DataFrame:
-    return spark.createDataFrame(sorted(config.auth_issuer_keys.items()), "issuer string, issuer_key string")
+@F.pandas_udf(BooleanType())
+def _verified(tokens: pd.Series, keys: pd.Series) -> pd.Series:
+    parsed = {k: _numbers_or_none(k) for k in keys.dropna().unique()}  # each key of the batch once
+    return pd.Series([bool(t) and signature_holds(t, parsed.get(k)) for t, k in zip(tokens, keys)])
 
 
 def with_auth_subject(raw: DataFrame, config: PipelineConfig, keys: DataFrame | None = None) -> DataFrame:
     """Add ``collector_auth``: a claim of a valid RS256 token, NULL in every other case.
 
-    The key is the configured one, else the one listed for the token's issuer in ``keys``.
+    The key is the configured one, else the one listed for the token's issuer in ``keys``; of several keys of an issuer
+    the last in text order counts. A claim is named as it stands in the token, dots included.
     """
     leeway = config.auth_leeway_seconds
     header = f"{net.headers_map('headers')}['authorization']"
@@ -87,7 +93,7 @@ def with_auth_subject(raw: DataFrame, config: PipelineConfig, keys: DataFrame |
     if config.auth_public_key:
         df = df.withColumn("issuer_key", F.lit(config.auth_public_key))
     elif keys is not None:
-        df = lookup_join(df, keys, ["issuer"], config)
+        df = lookup_join(df, keys.groupBy("issuer").agg(F.max("issuer_key").alias("issuer_key")), ["issuer"], config)
     else:
         df = df.withColumn("issuer_key", F.lit(None).cast("string"))
     now = "unix_timestamp(current_timestamp())"
@@ -98,13 +104,13 @@ def with_auth_subject(raw: DataFrame, config: PipelineConfig, keys: DataFrame |
         f"coalesce(try_variant_get(_claims, '$.iat', 'double') <= {now} + {leeway}, true)",
     ]
     if config.auth_audience:
-        checks.append(f"try_variant_get(_claims, '$.aud', 'string') = '{config.auth_audience}'")
+        checks.append(f"try_variant_get(_claims, '$.aud', 'string') = {lit(config.auth_audience)}")
     # Rows without a token never reach Python.
     candidate = f"CASE WHEN {' AND '.join(checks)} THEN _token END"
     return (
         df.withColumn("_ok", _verified(F.expr(candidate), F.col("issuer_key")))
         .withColumn(
-            "collector_auth", F.expr(f"CASE WHEN _ok THEN try_variant_get(_claims, '$.{config.auth_claim}', 'string') END")
+            "collector_auth", F.expr(f"CASE WHEN _ok THEN try_cast(try_cast(_claims AS MAP<STRING, VARIANT>)[{lit(config.auth_claim)}] AS STRING) END")
         )
         .drop("_header", "_token", "_claims", "_alg", "issuer", "issuer_key", "_ok")
     )

@@ -2,23 +2,66 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.config import PipelineConfig
-from millrace.functions.sqltext import first_not_null, let, lit
+from millrace.functions.sqltext import first_not_null, lit
 from millrace.model import ATOMIC, ATOMIC_COLUMNS, RAW_COLUMNS
 from millrace.operators import extract
 from millrace.operators.auth import with_auth_subject
-from millrace.operators.errors import to_errors
+from millrace.operators.errors import NO_ERROR, error, to_errors, value_error
 from millrace.operators.geo import with_geo, without_geo
 from millrace.operators.lookup import lookup_join
 from millrace.sources.registry import Rules
 
-Enrichment = Callable[[DataFrame], DataFrame]
+
+
+@dataclass(frozen=True)
+class Enrichment:
+    """A custom step on every candidate event, before the verdict on its payload.
+
+    All values are SQL text; ``it`` is the event with its atomic fields, and the columns of the payload are there too.
+    Address lookups and the processing time come later. Steps run in the order they are listed, each on what the one
+    before left, and not on events that already failed.
+    """
+
+    values: Mapping[str, str] = field(default_factory=dict)  # atomic field: new value
+    contexts: Mapping[str, str] = field(default_factory=dict)  # schema: data as JSON text, NULL for no context
+    event: str | None = None  # new event data as JSON text
+    reject: str | None = None  # message that fails the payload, NULL for none
+
+    def __post_init__(self) -> None:
+        fixed = {"contexts", "event", "etl_tstamp", "geo_country", "geo_region", "geo_city"}
+        wrong = sorted(set(self.values) - (set(ATOMIC_COLUMNS) - fixed))
+        if wrong:
+            raise KeyError(f"a step cannot set {', '.join(wrong)}: only plain atomic fields")
+
+
+def context_data(uri: str) -> str:
+    """Data of the event's context of a schema as JSON text, for use in a step; NULL without one."""
+    return f"try_element_at(filter(it.contexts, c -> c.schema = {lit(uri)}), 1).data"
+
+
+def with_enrichments(df: DataFrame, steps: Sequence[Enrichment]) -> DataFrame:
+    """Run the steps on ``items``. A context that the event already has, or a message, becomes the event's error."""
+    for step in steps:
+        names = df.schema["items"].dataType.elementType.names
+        ok = "it.err IS NULL"
+        new = {n: f"IF({ok}, CAST({sql} AS {ATOMIC[n].dataType.simpleString()}), {f'it.{n}' if n in names else 'NULL'})" for n, sql in step.values.items()}
+        if step.event is not None:
+            new["event"] = f"IF({ok}, named_struct('schema', it.event.schema, 'data', CAST({step.event} AS STRING)), it.event)"
+        clashes = [f"IF(({sql}) IS NOT NULL AND array_contains(it.contexts.schema, {lit(uri)}), {value_error(f'Context {uri} already exists')}, NULL)" for uri, sql in step.contexts.items()]
+        rejected = [f"IF(({step.reject}) IS NOT NULL, {error('value', f'CAST({step.reject} AS STRING)')}, NULL)"] if step.reject else []
+        if step.contexts:
+            added = ", ".join(f"IF(({sql}) IS NOT NULL, named_struct('schema', {lit(uri)}, 'data', CAST({sql} AS STRING)), NULL)" for uri, sql in step.contexts.items())
+            new["contexts"] = f"IF({ok}, concat(it.contexts, array_compact(array({added}))), it.contexts)"
+        new["err"] = f"coalesce(it.err, {', '.join([*rejected, *clashes, NO_ERROR])})"
+        df = extract.rebuilt(df, [n for n in names if n not in new], new)
+    return df
 
 
 @dataclass(frozen=True)
@@ -32,10 +75,11 @@ class Dimensions:
 
 
 def with_host_config(df: DataFrame, host_config: DataFrame | None, config: PipelineConfig) -> DataFrame:
-    """Add ``full_ip``: whether the host keeps whole addresses. Hosts without a setting do not."""
+    """Add ``full_ip``: whether the host keeps whole addresses. Hosts without a setting, or with several of which one
+    says no, do not."""
     if host_config is None:
         return df.withColumn("full_ip", F.lit(False))
-    settings = host_config.groupBy("hostname").agg(F.max("enable_full_ip").alias("_full"))
+    settings = host_config.groupBy("hostname").agg(F.min("enable_full_ip").alias("_full"))
     joined = lookup_join(df, settings, ["hostname"], config)
     return joined.withColumn("full_ip", F.expr("coalesce(_full, false)")).drop("_full")
 
@@ -57,6 +101,7 @@ def process_raw(
     df = extract.with_contexts(df, rules)
     df = extract.with_derived_contexts(df, config)
     df = extract.with_atomic(df, config)
+    df = with_enrichments(df, dims.enrichments)
     first_item_error = first_not_null("items.err")
     return df.select(*RAW_COLUMNS, "items", F.expr(f"coalesce(payload_err, {first_item_error})").alias("err"))
 
@@ -71,15 +116,8 @@ def to_atomic(
         rows = with_geo(rows, dims.geo_ranges, config)
     else:
         rows = without_geo(rows)
-    rows = rows.withColumns(
-        {
-            "etl_tstamp": F.current_timestamp(),
-            "device_id": F.lit(None).cast("string"),
-            "tenant_id": F.lit(None).cast("string"),
-        }
-    )
-    for enrichment in dims.enrichments:
-        rows = enrichment(rows)
+    unset = {c: F.lit(None).cast("string") for c in ("device_id", "tenant_id") if c not in rows.columns}
+    rows = rows.withColumns({"etl_tstamp": F.current_timestamp(), **unset})
     return rows.select(*(["pos"] if with_position else []), *ATOMIC_COLUMNS)
 
 
@@ -89,32 +127,3 @@ def enrich_raw(
     """``(events, errors)``. Cache or write ``process_raw`` first when both are written in full."""
     processed = process_raw(raw, config, rules, dims)
     return to_atomic(processed, config, dims), to_errors(processed)
-
-
-# --- Helpers for custom enrichments -----------------------------------------------------------------
-
-
-def set_value(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Set one atomic field; only existing fields can be set."""
-    if name in ("contexts", "event"):
-        raise KeyError(f"Field {name} is not allowed to be set directly")
-    if name not in ATOMIC_COLUMNS:
-        raise KeyError(f"Field {name} is not part of the atomic event")
-    return df.withColumn(name, value.cast(ATOMIC[name].dataType))
-
-
-def add_context(df: DataFrame, uri: str, data_json: str) -> DataFrame:
-    """Append a context whose data is the SQL text ``data_json``; NULL data adds nothing.
-
-    A row that already holds a context of this schema raises, as its payload can no longer be rejected.
-    """
-    clash = f"raise_error({lit(f'Context {uri} already exists')})"
-    body = (
-        f"CASE WHEN nd IS NULL THEN contexts WHEN array_contains(contexts.schema, {lit(uri)}) THEN {clash}"
-        f" ELSE concat(contexts, array(named_struct('schema', {lit(uri)}, 'data', nd))) END"
-    )
-    return df.withColumn("contexts", F.expr(let(data_json, "nd", body)))
-
-
-def has_context(uri: str) -> Column:
-    return F.expr(f"array_contains(contexts.schema, {lit(uri)})")

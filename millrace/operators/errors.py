@@ -68,11 +68,18 @@ def reason(err: str) -> str:
 
 
 def raw_as_json(prefix: str = "") -> str:
-    """The raw record as one JSON object with nulls kept; the body appears as text."""
-    fields = ", ".join(
-        f"CAST({prefix}{c} AS STRING) AS {c}" if c == "body" else f"{prefix}{c} AS {c}" for c in RAW_COLUMNS
-    )
-    return f"to_json(struct({fields}), map('ignoreNullFields', 'false'))"
+    """The raw record as one JSON object with nulls kept.
+
+    The body appears as text; one that is not UTF-8 as base64, which ``body_encoding`` then says.
+    """
+
+    def record(body: str, more: str = "") -> str:
+        fields = ", ".join(f"{body} AS body" if c == "body" else f"{prefix}{c} AS {c}" for c in RAW_COLUMNS)
+        return f"to_json(struct({fields}{more}), map('ignoreNullFields', 'false'))"
+
+    text = f"CAST({prefix}body AS STRING)"
+    encoded = record(f"base64({prefix}body)", ", 'base64' AS body_encoding")
+    return f"IF({prefix}body IS NULL OR is_valid_utf8({text}), {record(text)}, {encoded})"
 
 
 def to_errors(df: DataFrame, err: str = "err") -> DataFrame:

@@ -130,7 +130,7 @@ def _param(name: str, item: str = "it") -> str:
     return f"{item}.params[{lit(name)}]"
 
 
-def _step(df: DataFrame, keep: list[str], new: dict[str, str]) -> DataFrame:
+def rebuilt(df: DataFrame, keep: list[str], new: dict[str, str]) -> DataFrame:
     """Rebuild every struct of ``items``: keep some fields and add new ones."""
     fields = [f"'{name}', it.{name}" for name in keep] + [f"'{name}', {sql}" for name, sql in new.items()]
     return df.withColumn("items", F.expr(f"transform(items, it -> named_struct({', '.join(fields)}))"))
@@ -140,7 +140,7 @@ def with_schema(df: DataFrame, config: PipelineConfig) -> DataFrame:
     """Event code or explicit schema of each item, else its unwrapped self-describing event."""
     coded = f"coalesce({_param('e')}, 'ue') <> 'ue'"
     code = iglu.schema_for_code(_param("e"), config.schema_vendor)
-    df = _step(
+    df = rebuilt(
         df,
         ["params", "event"],
         {
@@ -170,7 +170,7 @@ def with_schema(df: DataFrame, config: PipelineConfig) -> DataFrame:
         f" WHEN variant_get(it.wrapped, '$.data.data') IS NULL"
         f" THEN {value_error('Missing data in inner self describing event')} END"
     )
-    return _step(
+    return rebuilt(
         df,
         ["params", "event"],
         {
@@ -224,7 +224,7 @@ def projected_data(rules: Rules, config: PipelineConfig) -> str:
 
 def with_event_data(df: DataFrame, rules: Rules, config: PipelineConfig) -> DataFrame:
     """Event data: the unwrapped event, a given event, or the parameters the schema lists."""
-    df = _step(
+    df = rebuilt(
         df,
         ["params", "event", "is_wrapped", "wrapped_data", "schema", "schema_err"],
         {
@@ -258,7 +258,7 @@ def with_event_data(df: DataFrame, rules: Rules, config: PipelineConfig) -> Data
         "false",
     )
     unset = "it.lookup_err IS NULL AND NOT it.is_wrapped AND it.given IS NULL AND it.fields IS NULL"
-    return _step(
+    return rebuilt(
         df,
         ["params", "is_wrapped", "schema", "schema_err", "lookup_err", "parts", *NUMBERS],
         {
@@ -275,7 +275,7 @@ def with_event_data(df: DataFrame, rules: Rules, config: PipelineConfig) -> Data
 
 def with_contexts(df: DataFrame, rules: Rules) -> DataFrame:
     """Contexts sent by the tracker; the event and its contexts are then checked in one pass."""
-    df = _step(
+    df = rebuilt(
         df,
         [
             "params", "is_wrapped", "schema", "schema_err", "lookup_err", "parts", "data",
@@ -304,7 +304,7 @@ def with_contexts(df: DataFrame, rules: Rules) -> DataFrame:
         f" THEN {error('unprocessable', lit('contexts are not a list'))} END"
     )
     no_contexts = f"CAST(array() AS ARRAY<STRUCT<schema: STRING, data: VARIANT, missing: {ERROR_TYPE}>>)"
-    df = _step(
+    df = rebuilt(
         df,
         [
             "params", "is_wrapped", "schema", "schema_err", "lookup_err", "parts", "data",
@@ -321,7 +321,7 @@ def with_contexts(df: DataFrame, rules: Rules) -> DataFrame:
         f" coalesce({violation_error(rules, 'dc.schema', 'dc.data')},"
         f" CASE WHEN {not_object} THEN {value_error('data is not an object')} END) END))"
     )
-    df = _step(
+    df = rebuilt(
         df,
         [
             "params", "is_wrapped", "schema", "schema_err", "parts", "data",
@@ -338,7 +338,7 @@ def with_contexts(df: DataFrame, rules: Rules) -> DataFrame:
         + repeated
         + ", (ch, rp) -> coalesce(ch.lookup, ch.value, rp))"
     )
-    return _step(
+    return rebuilt(
         df,
         ["params", "schema", "parts", "data", "sent_contexts", *NUMBERS],
         {
@@ -401,7 +401,7 @@ def with_derived_contexts(df: DataFrame, config: PipelineConfig) -> DataFrame:
     wrong_url = let(page_url(), "pu", bad_url("pu")) if config.campaign_enabled else "false"
     ip = f"coalesce({net.first_ip(_param('ip'))}, {_param('user_ipaddress')})"
     bad_ip = let(ip, "ia", f"ia IS NOT NULL AND NOT ({net.is_ip('ia')})") if config.geo_enabled else "false"
-    df = _step(
+    df = rebuilt(
         df,
         ["params", "schema", "parts", "data", "sent_contexts", "err", *NUMBERS],
         {
@@ -426,7 +426,7 @@ def with_derived_contexts(df: DataFrame, config: PipelineConfig) -> DataFrame:
         )
 
     sent = "transform(it.sent_contexts, sc -> named_struct('schema', sc.schema, 'data', sc.data))"
-    return _step(
+    return rebuilt(
         df,
         ["params", "schema", "parts", "data", "address", *NUMBERS],
         {
@@ -486,7 +486,7 @@ def with_atomic(df: DataFrame, config: PipelineConfig) -> DataFrame:
     # A parameter named like a time field counts as that time, but only as text.
     true_text = f"IF({_param('ttm')} IS NULL, {_param('true_tstamp')}, NULL)"
     corrected = best_timestamp("it.true_tstamp", "it.created_ms", "it.sent_ms", "timestamp")
-    df = _step(
+    df = rebuilt(
         df,
         ["params", "schema", "parts", "data", "address", "contexts", "err", *NUMBERS],
         {
@@ -566,4 +566,4 @@ def with_atomic(df: DataFrame, config: PipelineConfig) -> DataFrame:
         fields[name] = (
             f"IF({value} IS NOT NULL, IF(schema_of_variant({value}) = 'STRING', CAST({value} AS STRING), NULL), NULL)"
         )
-    return _step(df, [], fields)
+    return rebuilt(df, [], fields)

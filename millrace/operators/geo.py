@@ -1,59 +1,72 @@
-"""Country, region and city of an address by range lookup."""
+"""Country, region and city of an address by range lookup.
+
+A range is cut into aligned blocks of 2, 4, 6 or 8 hex digits of the address, the largest that fit, so even a range of
+half of all addresses is a few hundred rows. An address looks up its block of each size. Everything that shares a block
+is one row there, so a lookup never multiplies events.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.config import PipelineConfig
 from millrace.functions import net
 from millrace.operators.lookup import lookup_join
 
-# Hex digits of the key that form a bucket: a /16 of IPv4 addresses, a /32 of IPv6 addresses.
-_V4_DIGITS, _V6_DIGITS = 4, 8
-
+GEO_FIELDS = ("geo_country", "geo_region", "geo_city")
+# Hex digits of a block after the mark of the address family; all 8 of IPv4, the first 8 of 32 of IPv6.
+DIGITS = (2, 4, 6, 8)
 
-def _bucket(key: str) -> str:
-    return f"substring({key}, 1, CASE WHEN startswith({key}, '4') THEN {2 + _V4_DIGITS} ELSE {2 + _V6_DIGITS} END)"
 
+def geo_blocks(ranges: DataFrame, digits: int) -> DataFrame:
+    """``(block, ranges)``: the blocks of this size and the ranges in them, the preferred one first.
 
-def geo_buckets(ranges: DataFrame) -> DataFrame:
-    """Prepare a table ``(start_ip, end_ip, country, region, city)`` for the lookup.
-
-    A range that spans several buckets is repeated once per bucket. Ranges must not overlap.
+    ``ranges`` has ``start_ip, end_ip, country, region, city``. Where ranges overlap, the one that starts last is
+    preferred, then the one that ends first: of nested ranges the innermost. Ranges with a malformed address or that end
+    before they start are left out.
     """
-    digits = f"CASE WHEN startswith(lo, '4') THEN {_V4_DIGITS} ELSE {_V6_DIGITS} END"
-    number = "CAST(conv(substring({0}, 3, {1}), 16, 10) AS BIGINT)"
-    first, last = number.format("lo", digits), number.format("hi", digits)
-    return (
+    number = "CAST(conv(substring({0}, 3, 8), 16, 10) AS BIGINT)"
+    parts = (
         ranges.selectExpr(
-            f"{net.ip_key('start_ip')} AS lo",
-            f"{net.ip_key('end_ip')} AS hi",
-            "country AS geo_country",
-            "region AS geo_region",
-            "city AS geo_city",
+            f"{net.ip_key('start_ip')} AS lo", f"{net.ip_key('end_ip')} AS hi", "country AS geo_country", "region AS geo_region", "city AS geo_city"
         )
-        .where("lo IS NOT NULL AND hi IS NOT NULL")
-        .withColumn("slot", F.expr(f"explode(sequence({first}, {last}))"))
-        .withColumn("bucket", F.expr(f"concat(substring(lo, 1, 2), lpad(hex(slot), {digits}, '0'))"))
-        .select("bucket", "lo", "hi", "geo_country", "geo_region", "geo_city")
+        .where("lo <= hi AND substring(lo, 1, 2) = substring(hi, 1, 2)")
+        .withColumn("part", F.expr(f"named_struct('a', {number.format('lo')}, 'b', {number.format('hi')})"))
     )
+    for size in DIGITS:
+        width = 16 ** (8 - size)
+        # whole blocks of this size inside the part, and what is left of it on either side
+        sized = parts.selectExpr("*", f"(part.a + {width - 1}) div {width} AS first", f"(part.b + 1) div {width} - 1 AS last")
+        if size == digits:
+            blocks = sized.where("first <= last").withColumn("number", F.expr("explode(sequence(first, last))"))
+            break
+        left = (
+            f"IF(first > last, array(part), filter(array(named_struct('a', part.a, 'b', first * {width} - 1),"
+            f" named_struct('a', (last + 1) * {width}, 'b', part.b)), p -> p.a <= p.b))"
+        )
+        parts = sized.withColumn("part", F.explode(F.expr(left))).drop("first", "last")
+    order = "translate(hi, '0123456789ABCDEF', 'FEDCBA9876543210') AS later_end"
+    found = blocks.selectExpr(
+        f"concat(substring(lo, 1, 2), lpad(hex(number), {digits}, '0')) AS block", f"struct(lo, {order}, hi, {', '.join(GEO_FIELDS)}) AS r"
+    )
+    return found.groupBy("block").agg(F.sort_array(F.collect_set("r"), asc=False).alias("ranges"))
 
 
-def overlapping_ranges(ranges: DataFrame) -> DataFrame:
-    """Ranges of a bucket that start before the previous one ends; a usable table has none."""
-    order = Window.partitionBy("bucket").orderBy("lo", "hi")
-    return geo_buckets(ranges).withColumn("before", F.lag("hi").over(order)).where("before >= lo")
-
-
-def with_geo(
-    events: DataFrame, ranges: DataFrame, config: PipelineConfig, address: str = "address"
-) -> DataFrame:
+def with_geo(events: DataFrame, ranges: DataFrame, config: PipelineConfig, address: str = "address") -> DataFrame:
     """Add ``geo_country``, ``geo_region`` and ``geo_city``; NULL where no range holds the address."""
-    keyed = events.withColumn("_ip", F.expr(net.ip_key(address))).withColumn("bucket", F.expr(_bucket("_ip")))
-    joined = lookup_join(keyed, geo_buckets(ranges), ["bucket"], config, condition="_ip BETWEEN lo AND hi")
-    return joined.drop("_ip", "bucket", "lo", "hi")
+    df = events.withColumn("_ip", F.expr(net.ip_key(address)))
+    found = []
+    for digits in DIGITS:
+        block, hit = f"_block{digits}", f"_hit{digits}"
+        blocks = geo_blocks(ranges, digits).select(F.col("block").alias(block), F.col("ranges").alias(f"_ranges{digits}"))
+        df = lookup_join(df.withColumn(block, F.expr(f"substring(_ip, 1, {digits + 2})")), blocks, [block], config)
+        match = f"try_element_at(filter(_ranges{digits}, r -> _ip BETWEEN r.lo AND r.hi), 1)"
+        df = df.withColumn(hit, F.expr(match)).drop(block, f"_ranges{digits}")
+        found.append(hit)
+    df = df.withColumn("_best", F.expr(f"array_max(array_compact(array({', '.join(found)})))"))
+    return df.withColumns({f: F.col(f"_best.{f}") for f in GEO_FIELDS}).drop("_ip", "_best", *found)
 
 
 def without_geo(events: DataFrame) -> DataFrame:
-    return events.withColumns({c: F.lit(None).cast("string") for c in ("geo_country", "geo_region", "geo_city")})
+    return events.withColumns({c: F.lit(None).cast("string") for c in GEO_FIELDS})

@@ -8,34 +8,18 @@ from pyspark.sql import functions as F
 from millrace.config import PipelineConfig
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def lookup_join(
-    facts: DataFrame,
-    table: DataFrame,
-    on: list[str],
-    config: PipelineConfig,
-    condition: str | None = None,
-) -> DataFrame:
-    """Left join ``facts`` with a reference table.
-
-    A table under the size limit is broadcast. A larger one is joined by shuffle on the key plus a salt:
-    every reference row is repeated once per salt and the facts of one key spread over all salts, so a key
-    holding a large share of the facts does not end up in one task.
+def is_small(table: DataFrame, rows: int) -> bool:
+    """Whether the table, as prepared, has ``rows`` rows at most. Counting stops there."""
+    return table.limit(rows + 1).count() <= rows
+
+
+def lookup_join(facts: DataFrame, table: DataFrame, on: list[str], config: PipelineConfig) -> DataFrame:
+    """Left join ``facts`` with a reference table that has one row per key.
+
+    A table of up to ``config.broadcast_limit_rows`` rows, counted on what is joined, is broadcast. A larger one is
+    joined by shuffle; adaptive execution then splits the facts of a key that holds a large share of them by their size,
+    however large that share is.
     """
-    if estimated_bytes(table) <= config.broadcast_limit_bytes:
-        side, keys = F.broadcast(table), on
-        left = facts
-    else:
-        salts = F.explode(F.array([F.lit(i) for i in range(config.lookup_salts)]))
-        side, keys = table.withColumn("_salt", salts), [*on, "_salt"]
-        # Take the salt from the row itself: a retried task then sends each row to the same place.
-        hashable = [c for c, kind in facts.dtypes if "map<" not in kind and "variant" not in kind]
-        salt = f"CAST(pmod(xxhash64({', '.join(hashable)}), {config.lookup_salts}) AS INT)"
-        left = facts.withColumn("_salt", F.expr(salt))
-    side = side.select([F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in side.columns])
-    test = " AND ".join([f"{k} = _r_{k}" for k in keys] + ([condition] if condition else []))
-    return left.join(side, F.expr(test), "left").drop("_salt", *[f"_r_{k}" for k in keys])
+    side = F.broadcast(table) if is_small(table, config.broadcast_limit_rows) else table
+    side = side.select([F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in side.columns])
+    return facts.join(side, F.expr(" AND ".join(f"{k} = _r_{k}" for k in on)), "left").drop(*[f"_r_{k}" for k in on])

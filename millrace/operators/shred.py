@@ -13,8 +13,6 @@ from millrace.functions import iglu
 from millrace.functions.sqltext import first_not_null, let, lit
 from millrace.model import ATOMIC_SCALARS
 
-MAX_CONTEXT_COLUMNS = 5000
-
 
 class Allowed(NamedTuple):
     vendor: str
@@ -33,7 +31,7 @@ def parse_whitelist(names: Sequence[str]) -> list[Allowed]:
     for name in names:
         parts = name.removeprefix("iglu:").split("/")
         if not 2 <= len(parts) <= 4:
-            raise ValueError(f"Invalid schema name: {name}. Provide at least com.vendor/name")
+            raise ValueError(f"{name!r} does not select a schema: vendor/name, vendor/name/format or a whole URI is needed")
         allowed.append(Allowed(parts[0], parts[1], parts[3] if len(parts) == 4 else "*"))
     return allowed
 
@@ -82,10 +80,7 @@ def context_columns(events: DataFrame, allowed: Sequence[Allowed] | None) -> lis
     names = (
         uris.where(matches_whitelist("uri", allowed)).selectExpr(f"{iglu.context_column('uri')} AS name").distinct()
     )
-    found = [r.name for r in names.limit(MAX_CONTEXT_COLUMNS + 1).collect()]
-    if len(found) > MAX_CONTEXT_COLUMNS:
-        raise ValueError(f"more than {MAX_CONTEXT_COLUMNS} context columns; select schemas by name")
-    return sorted(found)
+    return sorted(r.name for r in names.collect())  # a row per column of the result
 
 
 def flatten_atomic(
@@ -103,14 +98,14 @@ def flatten_atomic(
     left out, they are looked up in the data. ``shred_error`` tells where two sources supply the same field.
     """
     if not all_schemas and not schema_names:
-        raise ValueError("schema_names must be provided if all_schemas is False")
+        raise ValueError("select schemas by name, or all of them")
     allowed = None if all_schemas else parse_whitelist(schema_names)
     if columns is None:
         columns = context_columns(events, allowed)
     fixed = {*ATOMIC_SCALARS, "event", "contexts"}
     for t in [*event_fields, *context_fields]:
         if t.field in fixed:
-            raise ValueError(f"Field {t.field} already exists in output_dict")
+            raise ValueError(f"{t.field} is an atomic column and cannot be filled from {t.path}")
 
     selected = f"filter(contexts, c -> {matches_whitelist('c.schema', allowed)})"
     named = f"transform({selected}, c -> struct({iglu.context_column('c.schema')} AS k, c.data AS v))"
@@ -141,13 +136,13 @@ def flatten_atomic(
         )
         earlier = lifted.get(t.field, [])
         clash = " OR ".join([f"({later})"] + [f"(size(_data) > 0 AND ({e}) IS NOT NULL)" for e in earlier])
-        repeated.append(f"IF({clash}, {lit(f'Field {t.field} already exists in output_dict')}, NULL)")
+        repeated.append(f"IF({clash}, {lit(f'{t.field} has more than one source')}, NULL)")
         lifted.setdefault(t.field, []).append(found)
     for field, sources in lifted.items():
         in_event = [_lifted("_event", t.path) for t in event_fields if t.field == field]
         for n in range(1, len(in_event)):
             clash = " OR ".join(f"({e}) IS NOT NULL" for e in in_event[:n])
-            repeated.append(f"IF({clash}, {lit(f'Field {field} already exists in output_dict')}, NULL)")
+            repeated.append(f"IF({clash}, {lit(f'{field} has more than one source')}, NULL)")
     error = f"coalesce({', '.join(repeated)}, NULL)" if repeated else "CAST(NULL AS STRING)"
     return df.select(
         *ATOMIC_SCALARS,

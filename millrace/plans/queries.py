@@ -6,6 +6,7 @@ The SQL never goes through a payload: it states what the feed put in and what th
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -74,6 +75,8 @@ def _context(uri: str) -> str:
 
 
 _NUMBER = "CAST(regexp_extract(event_id, '^ev-([0-9]+)', 1) AS BIGINT)"
+# Place in the payload; the feed writes it into the ids of transaction items.
+_POS = "coalesce(try_cast(regexp_extract(event_id, '^ev-[0-9]+-([0-9]+)', 1) AS INT), 0) AS pos"
 
 
 # --- Scalar functions -------------------------------------------------------------------------------
@@ -352,41 +355,46 @@ def tracker_contexts(spark, sf):
     )
 
 
-@query("""
-SELECT event_id, CASE event_id % 4
+_ORACLE_CAMPAIGN = """CASE event_id % 4
   WHEN 0 THEN '{"campaign":"c' || user_id % 3 || '","medium":"email","source":"news"}'
   WHEN 1 THEN '{"click_id":"g' || event_id || '","network":"google"}'
-  WHEN 3 THEN '{"click_id":"f' || event_id || '","network":"facebook","term":"a b"}' END AS campaign
-FROM events WHERE event_type = 'view'
-""")
+  WHEN 3 THEN '{"click_id":"f' || event_id || '","network":"facebook","term":"a b"}' END"""
+
+
+@query(f"SELECT event_id, {_ORACLE_CAMPAIGN} AS campaign FROM events WHERE event_type = 'view'")
 def campaign_contexts(spark, sf):
     return _atomic(spark, sf, ("view",)).selectExpr(f"{_NUMBER} AS event_id", f"{_context(CAMPAIGN)} AS campaign")
 
 
-@query("""
-SELECT event_id, CASE WHEN user_id % 6 < 5 THEN '{"browser_family":' || CASE user_id % 6
+_ORACLE_DEVICE = """CASE WHEN user_id % 6 < 5 THEN '{"browser_family":' || CASE user_id % 6
     WHEN 0 THEN '"Chrome","browser_version":"120","device_family":"Other","os_family":"Windows","os_version":"10"'
     WHEN 1 THEN '"Mobile Safari","browser_version":"16","device_family":"iPhone","os_family":"iOS","os_version":"16"'
     WHEN 2 THEN '"Firefox","browser_version":"118","device_family":"Other","os_family":"Linux","os_version":null'
     WHEN 3 THEN '"Chrome Mobile","browser_version":"112","device_family":"Pixel 7","os_family":"Android","os_version":"13"'
     ELSE '"Python Requests","browser_version":"2","device_family":"Other","os_family":"Other","os_version":null' END
     || CASE WHEN event_type = 'view' THEN ',"screen_resolution":"1920x1080"}' ELSE '}' END
-  WHEN event_type = 'view' THEN '{"screen_resolution":"1920x1080"}' END AS device
-FROM events WHERE event_type IN ('view', 'signup')
+  WHEN event_type = 'view' THEN '{"screen_resolution":"1920x1080"}' END"""
+
+
+@query(f"""
+WITH x AS ({_EXPECTED_EVENTS})
+SELECT event_id, pos, {_ORACLE_DEVICE} AS device FROM x
 """)
 def device_contexts(spark, sf):
-    return _atomic(spark, sf, ("view", "signup")).selectExpr(f"{_NUMBER} AS event_id", f"{_context(DEVICE)} AS device")
+    return _atomic(spark, sf, with_position=True).selectExpr(f"{_NUMBER} AS event_id", "pos", f"{_context(DEVICE)} AS device")
 
 
-@query("""
-SELECT event_id, (epoch_us(ts) // 1000) - CASE WHEN event_type = 'view' AND event_id % 3 = 0 THEN 1000
-  WHEN event_type = 'view' AND event_id % 3 = 2 THEN 0 ELSE (event_id % 7) * 1000 END AS tstamp_ms,
-  CASE WHEN event_type <> 'view' OR event_id % 3 = 1 THEN (epoch_us(ts) // 1000) - 5000 END AS created_ms
-FROM events WHERE event_type IN ('view', 'click', 'signup')
+@query(f"""
+WITH x AS ({_EXPECTED_EVENTS})
+SELECT event_id, pos, (epoch_us(ts) // 1000) - CASE WHEN event_type = 'view' AND event_id % 3 = 0 THEN 1000
+  WHEN event_type = 'view' AND event_id % 3 = 2 OR event_type = 'purchase' THEN 0 ELSE (event_id % 7) * 1000 END AS tstamp_ms,
+  CASE WHEN event_type IN ('click', 'signup') OR (event_type = 'view' AND event_id % 3 = 1)
+    THEN (epoch_us(ts) // 1000) - 5000 END AS created_ms
+FROM x
 """)
 def best_timestamps(spark, sf):
-    return _atomic(spark, sf, ("view", "click", "signup")).selectExpr(
-        f"{_NUMBER} AS event_id", "unix_millis(tstamp) AS tstamp_ms", "unix_millis(dvce_created_tstamp) AS created_ms"
+    return _atomic(spark, sf, with_position=True).selectExpr(
+        f"{_NUMBER} AS event_id", "pos", "unix_millis(tstamp) AS tstamp_ms", "unix_millis(dvce_created_tstamp) AS created_ms"
     )
 
 
@@ -396,9 +404,9 @@ SELECT n_name, r_name, n_nationkey FROM nation JOIN region ON n_regionkey = r_re
 
 
 @query(f"""
-WITH e AS (SELECT event_id, user_id % 256 AS o2, event_id % 256 AS o3 FROM events WHERE event_type = 'view'),
+WITH x AS ({_EXPECTED_EVENTS}), e AS (SELECT event_id, pos, user_id % 256 AS o2, event_id % 256 AS o3 FROM x),
      r AS ({_RANGES})
-SELECT event_id, n_name AS geo_country, r_name AS geo_region,
+SELECT event_id, pos, n_name AS geo_country, r_name AS geo_region,
        n_name || CASE WHEN o2 % 10 = 0 OR (o2 % 10 = 1 AND o3 < 128) THEN '-lo' ELSE '-hi' END AS geo_city,
        '10.' || o2 || '.' || o3 || '.x' AS user_ipaddress
 FROM e LEFT JOIN r ON n_nationkey = o2 // 10 AND o2 % 10 < 5
@@ -407,21 +415,22 @@ def geo_events(spark, sf):
     config = PipelineConfig(geo_enabled=True)
     ranges = feed.geo_ranges(feed.table(spark, sf, "nation"), feed.table(spark, sf, "region"))
     dims = Dimensions(geo_ranges=ranges)
-    processed = process_raw(_raw(spark, sf, ("view",)), config, feed_rules(), dims)
-    return to_atomic(processed, config, dims).selectExpr(
-        f"{_NUMBER} AS event_id", "geo_country", "geo_region", "geo_city", "user_ipaddress"
+    processed = process_raw(_raw(spark, sf), config, feed_rules(), dims)
+    return to_atomic(processed, config, dims, with_position=True).selectExpr(
+        f"{_NUMBER} AS event_id", "pos", "geo_country", "geo_region", "geo_city", "user_ipaddress"
     )
 
 
-@query("""
-SELECT event_id, '10.' || user_id % 256 || '.' || event_id % 256 || CASE WHEN user_id % 5 % 2 = 0 THEN '.7' ELSE '.x' END
+@query(f"""
+WITH x AS ({_EXPECTED_EVENTS})
+SELECT event_id, pos, '10.' || user_id % 256 || '.' || event_id % 256 || CASE WHEN user_id % 5 % 2 = 0 THEN '.7' ELSE '.x' END
   AS user_ipaddress
-FROM events WHERE event_type = 'signup'
+FROM x
 """)
 def host_config_redaction(spark, sf):
     dims = Dimensions(host_config=feed.host_config(feed.table(spark, sf, "region")))
-    processed = process_raw(_raw(spark, sf, ("signup",)), CONFIG, feed_rules(), dims)
-    return to_atomic(processed, CONFIG, dims).selectExpr(f"{_NUMBER} AS event_id", "user_ipaddress")
+    processed = process_raw(_raw(spark, sf), CONFIG, feed_rules(), dims)
+    return to_atomic(processed, CONFIG, dims, with_position=True).selectExpr(f"{_NUMBER} AS event_id", "pos", "user_ipaddress")
 
 
 # --- Validation and errors --------------------------------------------------------------------------
@@ -489,39 +498,44 @@ def processing_outcomes(spark, sf):
 # --- Shredding and SQL over events ------------------------------------------------------------------
 
 
-@query("""
-SELECT event_id, '{}' AS event, 'w' || event_id % 11 AS web_page, NULL::VARCHAR AS session
-FROM events WHERE event_type = 'click'
+@query(f"""
+WITH x AS ({_EXPECTED_EVENTS})
+SELECT event_id, pos, '{{}}' AS event, CASE WHEN event_type = 'click' THEN 'w' || event_id % 11 END AS web_page, NULL::VARCHAR AS session
+FROM x
 """)
 def shred_selected_schemas(spark, sf):
     web, session = iglu.context_column_name(feed.WEB_PAGE), iglu.context_column_name(feed.SESSION)
     flat = flatten_atomic(
-        _atomic(spark, sf, ("click",)),
+        _atomic(spark, sf),
         schema_names=["com.snowplowanalytics.snowplow/web_page", f"{feed.SESSION.rsplit('/', 1)[0]}/2"],
         columns=[web, session],
     )
     return flat.selectExpr(
-        f"{_NUMBER} AS event_id", "event", f"get_json_object({web}, '$.id') AS web_page", f"{session} AS session"
+        f"{_NUMBER} AS event_id", _POS, "event", f"get_json_object({web}, '$.id') AS web_page", f"{session} AS session"
     )
 
 
-@query("""
-SELECT event_id, 'http://t.example.org/' || user_id AS target, CASE user_id % 6 WHEN 0 THEN 'Chrome'
-         WHEN 1 THEN 'Mobile Safari' WHEN 2 THEN 'Firefox' WHEN 3 THEN 'Chrome Mobile' WHEN 4 THEN 'Python Requests'
-       END AS browser,
-       '{"sessionId":"s' || user_id || '","sessionIndex":' || event_id % 9 || '}' AS session, NULL::VARCHAR AS shred_error
-FROM events WHERE event_type = 'click'
+@query(f"""
+WITH x AS ({_EXPECTED_EVENTS})
+SELECT event_id, pos, CASE WHEN event_type = 'click' THEN 'http://t.example.org/' || user_id END AS target,
+       CASE user_id % 6 WHEN 0 THEN 'Chrome' WHEN 1 THEN 'Mobile Safari' WHEN 2 THEN 'Firefox'
+         WHEN 3 THEN 'Chrome Mobile' WHEN 4 THEN 'Python Requests' END AS browser,
+       CASE WHEN event_type = 'click' THEN '{{"sessionId":"s' || user_id || '","sessionIndex":' || event_id % 9 || '}}' END AS session,
+       CASE WHEN event_type = 'click' THEN '{{"id":"w' || event_id % 11 || '"}}' END AS web_page,
+       CASE WHEN event_type = 'view' THEN {_ORACLE_CAMPAIGN} END AS campaign, {_ORACLE_DEVICE} AS device, NULL::VARCHAR AS shred_error
+FROM x
 """)
 def shred_all_schemas(spark, sf):
-    session = iglu.context_column_name(feed.SESSION)
+    """Every context schema as a column, the columns being looked up in the data."""
     flat = flatten_atomic(
-        _atomic(spark, sf, ("click",)),
+        _atomic(spark, sf),
         all_schemas=True,
         event_fields=[FieldTransformation("targetUrl", "target")],
         context_fields=[FieldTransformation("browser_family", "browser")],
-        columns=[session],
     )
-    return flat.selectExpr(f"{_NUMBER} AS event_id", "target", "browser", f"{session} AS session", "shred_error")
+    names = {"session": feed.SESSION, "web_page": feed.WEB_PAGE, "campaign": CAMPAIGN, "device": DEVICE}
+    columns = [f"{iglu.context_column_name(uri)} AS {name}" for name, uri in names.items()]
+    return flat.selectExpr(f"{_NUMBER} AS event_id", _POS, "target", "browser", *columns, "shred_error")
 
 
 @query("""
@@ -563,14 +577,14 @@ def events_per_day(spark, sf):
 
 @query("""
 WITH r AS (SELECT n_name, r_name, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey),
-     e AS (SELECT user_id % 256 AS o2 FROM events WHERE event_type = 'signup')
+     x AS (""" + _EXPECTED_EVENTS + """), e AS (SELECT user_id % 256 AS o2 FROM x)
 SELECT r_name AS geo_region, n_name AS geo_country, count(*) AS n, grouping(r_name) + grouping(n_name) AS level
 FROM e LEFT JOIN r ON n_nationkey = o2 // 10 AND o2 % 10 < 5 GROUP BY ROLLUP (r_name, n_name)
 """)
 def rollup_by_country(spark, sf):
-    config = PipelineConfig(geo_enabled=True, device_enabled=False)
+    config = PipelineConfig(geo_enabled=True)
     dims = Dimensions(geo_ranges=feed.geo_ranges(feed.table(spark, sf, "nation"), feed.table(spark, sf, "region")))
-    processed = process_raw(_raw(spark, sf, ("signup",)), config, feed_rules(), dims)
+    processed = process_raw(_raw(spark, sf), config, feed_rules(), dims)
     rolled = to_atomic(processed, config, dims).rollup("geo_region", "geo_country")
     return rolled.agg(
         F.count("*").alias("n"),
@@ -587,29 +601,36 @@ def top_pages(spark, sf):
     return pages.groupBy("page_url").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "page_url").limit(10)
 
 
-@query("""
-WITH c AS (SELECT 'h' || user_id % 5 || '.example.org' AS host, 'n' || user_id AS usr, count(*) AS n
-           FROM events WHERE event_type IN ('view', 'click') GROUP BY 1, 2)
+@query(f"""
+WITH x AS ({_EXPECTED_EVENTS}), c AS (SELECT 'h' || user_id % 5 || '.example.org' AS host, 'n' || user_id AS usr, count(*) AS n
+           FROM x GROUP BY 1, 2)
 SELECT host, usr, n, rank() OVER (PARTITION BY host ORDER BY n DESC) AS rnk FROM c
 """)
 def user_rank_per_host(spark, sf):
-    atomic = _atomic(spark, sf, ("view", "click"))
+    """Users of a host by their events.
+
+    A user's rank is one more than the users of the host with more events, so it follows from how many users have each
+    count. Those sums are what the window sorts, not the users, and a host with very many users is no large group.
+    """
+    atomic = _atomic(spark, sf)
     counted = atomic.groupBy(F.col("collector_host").alias("host"), F.col("network_userid").alias("usr")).agg(
         F.count("*").alias("n")
     )
-    order = Window.partitionBy("host").orderBy(F.desc("n"))
-    return counted.withColumn("rnk", F.rank().over(order).cast("bigint"))
+    users = counted.groupBy("host", "n").agg(F.count("*").alias("users"))
+    above = Window.partitionBy("host").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = users.select("host", "n", (F.coalesce(F.sum("users").over(above), F.lit(0)) + 1).alias("rnk"))
+    return counted.join(ranks, ["host", "n"]).select("host", "usr", "n", "rnk")
 
 
 @query("""
-WITH g AS (SELECT user_id, (epoch_us(ts) // 1000) AS ms,
+WITH x AS (""" + _EXPECTED_EVENTS + """), g AS (SELECT user_id, (epoch_us(ts) // 1000) AS ms,
              lag((epoch_us(ts) // 1000)) OVER (PARTITION BY user_id ORDER BY (epoch_us(ts) // 1000), event_id) AS prev
-           FROM events WHERE event_type = 'view')
+           FROM x)
 SELECT 'n' || user_id AS usr, count(*) FILTER (prev IS NULL OR ms - prev > 1800000) AS sessions, count(*) AS views
 FROM g GROUP BY 1
 """)
 def sessions_by_gap(spark, sf):
-    views = _atomic(spark, sf, ("view",)).selectExpr(
+    views = _atomic(spark, sf).selectExpr(
         "network_userid AS usr", "unix_millis(collector_tstamp) AS ms", f"{_NUMBER} AS id"
     )
     order = Window.partitionBy("usr").orderBy("ms", "id")
@@ -621,12 +642,12 @@ def sessions_by_gap(spark, sf):
 
 @query("""
 SELECT DISTINCT 'n' || user_id AS usr FROM events WHERE event_type = 'purchase'
-EXCEPT SELECT 'n' || user_id FROM events WHERE event_type = 'click' AND event_id % 97 = 0
+EXCEPT SELECT 'n' || user_id FROM events WHERE event_type = 'click'
 """)
 def buyers_without_clicks(spark, sf):
     atomic = _atomic(spark, sf, ("purchase", "click"))
     buyers = atomic.where("event_name = 'transaction'").selectExpr("network_userid AS usr")
-    clickers = atomic.where(f"event_name = 'link_click' AND {_NUMBER} % 97 = 0").selectExpr("network_userid AS usr")
+    clickers = atomic.where("event_name = 'link_click'").selectExpr("network_userid AS usr")
     return buyers.distinct().join(clickers, "usr", "left_anti")
 
 
@@ -791,7 +812,7 @@ SELECT 'h' || user_id % 5 || '.example.org' AS collector_domain, count(*) AS n,
 FROM events WHERE event_type = 'error' GROUP BY 1
 """)
 def error_json_round_trip(spark, sf):
-    errors = to_errors(process_raw(_raw(spark, sf, ("error",)), CONFIG, feed_rules()))
+    errors = to_errors(process_raw(_raw(spark, sf), CONFIG, feed_rules()))
     decoded = codecs.decode_errors(codecs.encode_errors(errors))
     return decoded.groupBy("collector_domain").agg(
         F.count("*").alias("n"), F.expr("count_if(raw IS NOT NULL OR tstamp IS NULL)").alias("unreadable")
@@ -799,11 +820,13 @@ def error_json_round_trip(spark, sf):
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder; a local one only where none is set."""
+    """A fresh folder below the cluster's shared checkpoint folder; only a local session may do without one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/millrace-{spark.sql('SELECT uuid()').first()[0]}"
-    return tempfile.mkdtemp(prefix="millrace-")
+    if not shared and spark.sparkContext.master.startswith("local["):
+        shared = tempfile.gettempdir()
+    if not shared:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{shared.rstrip('/')}/millrace-{uuid.uuid4().hex}"
 
 
 @query(f"""

@@ -399,8 +399,13 @@ def _text_times(schema: T.StructType) -> T.StructType:
 
 
 def encode_errors(errors: DataFrame) -> DataFrame:
-    fields = f"collector_domain, reason, {text.iso_utc('tstamp')} AS tstamp, CAST(payload AS STRING) AS payload"
-    return errors.selectExpr(f"CAST(to_json(struct({fields}), map('ignoreNullFields', 'false')) AS BINARY) AS value")
+    """One JSON object per error. A payload that is not UTF-8 text is base64, which ``payload_encoding`` then says."""
+    fields = f"collector_domain, reason, {text.iso_utc('tstamp')} AS tstamp"
+    plain = f"struct({fields}, CAST(payload AS STRING) AS payload)"
+    encoded = f"struct({fields}, base64(payload) AS payload, 'base64' AS payload_encoding)"
+    keep = "map('ignoreNullFields', 'false')"
+    record = f"IF(payload IS NULL OR is_valid_utf8(CAST(payload AS STRING)), to_json({plain}, {keep}), to_json({encoded}, {keep}))"
+    return errors.selectExpr(f"CAST({record} AS BINARY) AS value")
 
 
 def decode_errors(df: DataFrame) -> DataFrame:
@@ -408,7 +413,8 @@ def decode_errors(df: DataFrame) -> DataFrame:
     parsed = df.withColumn(
         "r",
         F.from_json(
-            F.col("value").cast("string"), "collector_domain STRING, reason STRING, tstamp STRING, payload STRING"
+            F.col("value").cast("string"),
+            "collector_domain STRING, reason STRING, tstamp STRING, payload STRING, payload_encoding STRING",
         ),
     )
     ok = "(r.collector_domain IS NOT NULL AND r.reason IS NOT NULL)"
@@ -416,7 +422,7 @@ def decode_errors(df: DataFrame) -> DataFrame:
         f"IF({ok}, r.collector_domain, NULL) AS collector_domain",
         f"IF({ok}, r.reason, NULL) AS reason",
         f"IF({ok}, try_cast(r.tstamp AS TIMESTAMP), NULL) AS tstamp",
-        f"IF({ok}, CAST(r.payload AS BINARY), NULL) AS payload",
+        f"IF({ok}, IF(r.payload_encoding = 'base64', try_to_binary(r.payload, 'base64'), CAST(r.payload AS BINARY)), NULL) AS payload",
         f"IF({ok}, NULL, value) AS raw",
     )
 

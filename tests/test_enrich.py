@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import PipelineConfig
-from millrace.operators.auth import signature_holds, with_auth_subject
-from millrace.operators.enrich import Dimensions, add_context, enrich_raw, process_raw, set_value, to_atomic
+from millrace.operators.auth import rsa_numbers, signature_holds, with_auth_subject
+from millrace.operators.enrich import Dimensions, Enrichment, context_data, enrich_raw, process_raw, to_atomic
 from millrace.operators.errors import outcome_counts, to_errors
-from millrace.operators.geo import overlapping_ranges, with_geo
+from millrace.operators.geo import DIGITS, geo_blocks, with_geo
 from millrace.operators.lookup import lookup_join
 from millrace.plans.feed import CONTEXTS, LINK_CLICK, PAYLOAD, SESSION, UNSTRUCT, WEB_PAGE
 
@@ -164,7 +164,6 @@ GEO = [
 def test_geo_lookup(spark, make_raw, rules):
     config = PipelineConfig(geo_enabled=True)
     ranges = spark.createDataFrame(GEO, "start_ip string, end_ip string, country string, region string, city string")
-    assert overlapping_ranges(ranges).count() == 0
     dims = Dimensions(geo_ranges=ranges)
     raw = make_raw(
         {"qs": "e=pv&url=a", "ip": "3.65.192.185"},
@@ -178,11 +177,11 @@ def test_geo_lookup(spark, make_raw, rules):
     assert "IP address" in errors.first().reason
 
 
-def test_large_lookup_is_salted_and_complete(spark):
+def test_large_lookup_is_shuffled_and_complete(spark):
     facts = spark.range(1000).selectExpr("id", "IF(id % 3 = 0, 'hot', concat('k', id % 7)) AS k")
     table = spark.range(1, 3).selectExpr("IF(id = 1, 'hot', 'k1') AS k", "id AS v")
     small = lookup_join(facts, table, ["k"], PipelineConfig())
-    large = lookup_join(facts, table, ["k"], PipelineConfig(broadcast_limit_bytes=0, lookup_salts=4))
+    large = lookup_join(facts, table, ["k"], PipelineConfig(broadcast_limit_rows=0))
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     assert sorted(small.collect()) == sorted(large.select(*small.columns).collect())
     assert large.count() == 1000
@@ -191,10 +190,24 @@ def test_large_lookup_is_salted_and_complete(spark):
 def test_geo_without_broadcast(spark):
     ranges = spark.createDataFrame(GEO, "start_ip string, end_ip string, country string, region string, city string")
     rows = spark.createDataFrame([("3.64.0.1",), ("3.67.0.0",), (None,)], "address string")
-    found = with_geo(rows, ranges, PipelineConfig(broadcast_limit_bytes=0))
+    found = with_geo(rows, ranges, PipelineConfig(broadcast_limit_rows=0))
     assert {(r.address, r.geo_country) for r in found.collect()} == {("3.64.0.1", "DE"), ("3.67.0.0", None), (None, None)}
 
 
+def test_wide_and_nested_ranges(spark):
+    """Whatever their width, ranges are few rows; the innermost one counts and no row is multiplied."""
+    schema = "start_ip string, end_ip string, country string, region string, city string"
+    ranges = [("0.0.0.0", "127.255.255.255", "low", "r", "c"), ("10.0.0.0", "10.255.255.255", "ten", "r", "c"), ("10.1.0.0", "10.1.255.255", "in", "r", "c"), ("10.1.0.7", "10.1.0.7", "one", "r", "c")]
+    ranges += [("::", "ffff:ffff:ffff:ffff:ffff:ffff:ffff:ffff", "all6", "r", "c"), ("2000::", "3fff:ffff:ffff:ffff:ffff:ffff:ffff:ffff", "third", "r", "c"), ("2001:db8:1::", "2001:db8:1:ffff::", "doc", "r", "c")]
+    ranges += [("9.0.0.9", "9.0.0.1", "turned", "r", "c"), ("x", "1.1.1.1", "bad", "r", "c"), ("10.0.0.0", "10.255.255.255", "ten", "r", "c")]
+    table = spark.createDataFrame(ranges, schema)
+    assert sum(geo_blocks(table, d).count() for d in DIGITS) < 2000
+    want = {"1.2.3.4": "low", "10.200.0.1": "ten", "10.1.3.4": "in", "10.1.0.7": "one", "10.1.0.8": "in", "200.0.0.1": None, "9.0.0.5": "low", "::1": "all6", "2002::1": "third", "2001:db8:1:5::": "doc", "2001:db8:2::": "third", "ffff::": "all6"}
+    rows = spark.createDataFrame([(ip,) for ip in want], "address string")
+    for config in (PipelineConfig(), PipelineConfig(broadcast_limit_rows=0)):
+        assert sorted(map(tuple, with_geo(rows, table, config).select("address", "geo_country").collect()), key=str) == sorted(want.items(), key=str)
+
+
 def test_host_config(spark, make_raw, config, rules):
     hosts = spark.createDataFrame([("full", True, False)], "hostname string, enable_full_ip boolean, enable_cookies boolean")
     raw = make_raw({"qs": "e=pv&url=x", "host": "full"}, {"qs": "e=pv&url=x", "host": "other"})
@@ -207,17 +220,26 @@ def test_custom_enrichment(make_raw, config, rules):
     uri = "iglu:org.example/note/jsonschema/1-0-0"
     dims = Dimensions(
         enrichments=[
-            lambda df: set_value(df, "tenant_id", F.lit("t1")),
-            lambda df: add_context(df, uri, "to_json(map('n', event_name))"),
+            Enrichment(values={"tenant_id": "'t1'"}, contexts={uri: "to_json(map('n', it.event_name))"}),
+            Enrichment(values={"user_id": context_data(uri)}, reject="IF(it.event.data LIKE '%reject%', 'not wanted', NULL)"),
         ]
     )
     events = to_atomic(process_raw(make_raw({"qs": "e=pv&url=x"}), config, rules, dims), config, dims)
     row = events.first()
-    assert row.tenant_id == "t1" and row.contexts[-1].schema == uri
-    with pytest.raises(KeyError):
-        set_value(events, "nope", F.lit(1))
-    with pytest.raises(KeyError):
-        set_value(events, "contexts", F.lit(1))
+    assert row.tenant_id == "t1" and row.contexts[-1].schema == uri and row.user_id == '{"n":"page_view"}'
+    for name in ("nope", "contexts", "geo_city"):
+        with pytest.raises(KeyError):
+            Enrichment(values={name: "1"})
+
+
+def test_custom_enrichment_takes_part_in_the_verdict(make_raw, config, rules):
+    uri = "iglu:org.example/note/jsonschema/1-0-0"
+    twice = [Enrichment(contexts={uri: "IF(it.event.data LIKE '%twice%', '{}', NULL)"})] * 2
+    dims = Dimensions(enrichments=[Enrichment(reject="IF(it.event.data LIKE '%reject%', 'not wanted', NULL)"), *twice])
+    raw = make_raw({"qs": "e=pv&url=fine"}, {"qs": "e=pv&url=reject"}, {"qs": "e=pv&url=twice"})
+    events, errors = enrich_raw(raw, config, rules, dims)
+    assert events.count() == 1
+    assert sorted(r.reason for r in errors.collect()) == [f"invalid event data: Context {uri} already exists", "invalid event data: not wanted"]
 
 
 # --- Bearer tokens ----------------------------------------------------------------------------------
@@ -272,7 +294,8 @@ def test_bearer_token(spark, make_raw, key):
     good = _token(key, {"iss": "https://a", "sub": "my_user", "aud": "x"})
     head, claims, signature = good.split(".")
     forged = ".".join([head, base64.urlsafe_b64encode(b'{"sub":"evil"}').decode().rstrip("="), signature])
-    assert signature_holds(good, key[2]) and not signature_holds(forged, key[2])
+    numbers = rsa_numbers(key[2])
+    assert signature_holds(good, numbers) and not signature_holds(forged, numbers) and not signature_holds(good, None)
 
     def auth(header):
         return {"qs": "e=pv&url=x", "headers": [header]}
@@ -290,3 +313,12 @@ def test_bearer_token(spark, make_raw, key):
     keys = spark.createDataFrame([("https://a", key[2])], "issuer string, issuer_key string")
     by_issuer = with_auth_subject(raw, PipelineConfig(auth_enabled=True, auth_audience="x"), keys)
     assert sorted([r.collector_auth for r in by_issuer.collect()], key=str) == [None, None, None, None, "my_user"]
+    twice = with_auth_subject(raw, PipelineConfig(auth_enabled=True), keys.union(keys))
+    assert twice.count() == 5
+
+
+def test_bearer_claims_are_taken_as_they_stand(spark, make_raw, key):
+    token = _token(key, {"https://claims.example/org.user": "u'1", "aud": "o'hare"})
+    raw = make_raw({"qs": "e=pv&url=x", "headers": [f"authorization: Bearer {token}"]})
+    config = PipelineConfig(auth_enabled=True, auth_public_key=key[2], auth_audience="o'hare", auth_claim="https://claims.example/org.user")
+    assert with_auth_subject(raw, config).first().collector_auth == "u'1"
