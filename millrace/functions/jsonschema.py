@@ -1,8 +1,9 @@
 """JSON Schema (2020-12) checks over VARIANT values, written as Spark SQL text.
 
 ``violation(document, x)`` yields an expression that is NULL for a valid value and otherwise names the
-first broken rule. Documents are compiled once while the plan is built; ``$ref`` is inlined, and a document
-that refers to itself is rejected. ``format`` is not asserted.
+first broken rule. Documents are compiled once while the plan is built; ``$ref`` is inlined. A document that refers to
+itself or uses a rule for which there is no such text raises ``NotCompiled``: it is checked as data instead
+(``schema_checker``). ``format`` is not asserted.
 """
 
 from __future__ import annotations
@@ -22,6 +23,14 @@ class InvalidSchema(ValueError):
     """The schema document itself is malformed."""
 
 
+class NotCompiled(ValueError):
+    """The document is fine, but its rules cannot be written as SQL text of bounded size."""
+
+
+#: Keywords that are rules, or name places that rules refer to, and are left to the checker of single values.
+CHECKED_ONLY = ("unevaluatedProperties", "unevaluatedItems", "dependentSchemas", "$dynamicRef", "$anchor", "$dynamicAnchor")
+
+
 def type_name(x: str) -> str:
     return f"schema_of_variant({x})"
 
@@ -77,6 +86,8 @@ class _Compiler:
             return "'no value is allowed'"
         if not isinstance(schema, dict):
             raise InvalidSchema(f"{json.dumps(schema)[:60]} is not a schema")
+        if any(key in schema for key in CHECKED_ONLY) or ("$id" in schema and schema is not self.root):
+            raise NotCompiled("a rule is checked as data only")
         v = _Value(self.name(), self.name(), self.name(), self.name())
         rules = self.value_rules(schema, v)
         rules += self.object_rules(schema, v)
@@ -288,7 +299,7 @@ class _Compiler:
         if "$ref" in schema:
             ref = schema["$ref"]
             if ref in self.open_refs:
-                raise InvalidSchema(f"{ref} refers to itself")
+                raise NotCompiled(f"{ref} refers to itself")
             self.open_refs.append(ref)
             rules.append(self.violation(self.resolve(ref), x))
             self.open_refs.pop()
@@ -296,12 +307,12 @@ class _Compiler:
 
     def resolve(self, ref: str) -> Any:
         if not isinstance(ref, str) or not ref.startswith("#"):
-            raise InvalidSchema(f"{ref!r} is not a local reference")
+            raise NotCompiled(f"{ref!r} is not a pointer")
         node = self.root
         for part in filter(None, ref[1:].split("/")):
             part = part.replace("~1", "/").replace("~0", "~")
             if not isinstance(node, dict) or part not in node:
-                raise InvalidSchema(f"{ref} does not exist")
+                raise NotCompiled(f"{ref} is not a pointer to a property")
             node = node[part]
         return node
 
@@ -338,19 +349,6 @@ def violation(document: Any, x: str) -> str:
     return _Compiler(document).violation(document, x)
 
 
-def check_document(document: Any) -> str | None:
-    """Why a schema document cannot be used, or None."""
-    if not isinstance(document, dict):
-        return "document is not an object"
-    if "$schema" not in document:
-        return "$schema is missing"
-    try:
-        violation(document, "x")
-    except InvalidSchema as e:
-        return str(e)
-    return None
-
-
 def property_names(document: dict) -> list[str] | None:
     """Names of the top-level properties in order; None when the document has no properties."""
     properties = document.get("properties")

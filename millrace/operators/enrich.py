@@ -16,6 +16,7 @@ from millrace.operators.auth import with_auth_subject
 from millrace.operators.errors import NO_ERROR, error, to_errors, value_error
 from millrace.operators.geo import with_geo, without_geo
 from millrace.operators.lookup import lookup_join
+from millrace.operators.schemas import with_registry
 from millrace.sources.registry import Rules
 
 
@@ -95,6 +96,8 @@ def process_raw(
     else:
         df = df.withColumn("collector_auth", F.lit(None).cast("string"))
     df = extract.with_params(df, config)
+    if rules.looks_up:
+        df = with_registry(df, rules, config)
     df = extract.with_items(df, rules)
     df = extract.with_schema(df, config)
     df = extract.with_event_data(df, rules, config)

@@ -53,10 +53,11 @@ def uri_error(rules: Rules, uri: str) -> str:
     )
 
 
-def violation_error(rules: Rules, uri: str, x: str) -> str:
-    """Error of checking ``x`` against its schema."""
+def violation_error(rules: Rules, uri: str, x: str, found: str = "") -> str:
+    """Error of checking ``x`` against its schema; ``found`` is what the check as data said, if there was one."""
+    compiled = rules.violation(uri, x)
     return let(
-        rules.violation(uri, x),
+        f"coalesce({compiled}, {found})" if found else compiled,
         "bad",
         f"CASE WHEN bad IS NOT NULL THEN {error('validation', f'concat({lit('Failed to validate ')}, {uri}, {lit(': ')}, bad)')} END",
     )

@@ -23,6 +23,7 @@ from millrace.operators.mappings import (
     bad_cast,
     cast,
 )
+from millrace.operators.schemas import open_document, violations
 from millrace.sources.registry import PAYLOAD_PREFIX, Rules
 
 EMPTY_MAP = "CAST(map() AS MAP<STRING, STRING>)"
@@ -94,6 +95,9 @@ def with_items(df: DataFrame, rules: Rules) -> DataFrame:
             ),
         )
     )
+    if rules.looks_up:
+        whole = f"array(array({open_document('body_doc.uri', 'body_doc.value')}))"
+        df = df.withColumn("body_found", F.get(F.get(violations(F.expr(f"IF(body_shape = 'whole', {whole}, NULL)")), F.lit(0)), F.lit(0)))
     body_err = (
         "CASE body_shape"
         f" WHEN 'form' THEN {error('unprocessable', lit('form data is not supported'))}"
@@ -105,7 +109,7 @@ def with_items(df: DataFrame, rules: Rules) -> DataFrame:
         " WHEN 'none' THEN NULL WHEN 'single' THEN NULL ELSE coalesce("
         + uri_error(rules, "body_doc.uri")
         + ", "
-        + violation_error(rules, "body_doc.uri", "body_doc.value")
+        + violation_error(rules, "body_doc.uri", "body_doc.value", "body_found" if rules.looks_up else "")
         + ") END"
     )
     merged = text.merge_maps("params", "ip")
@@ -133,7 +137,7 @@ def _param(name: str, item: str = "it") -> str:
 def rebuilt(df: DataFrame, keep: list[str], new: dict[str, str]) -> DataFrame:
     """Rebuild every struct of ``items``: keep some fields and add new ones."""
     fields = [f"'{name}', it.{name}" for name in keep] + [f"'{name}', {sql}" for name, sql in new.items()]
-    return df.withColumn("items", F.expr(f"transform(items, it -> named_struct({', '.join(fields)}))"))
+    return df.withColumn("items", F.expr(f"transform(items, (it, ii) -> named_struct({', '.join(fields)}))"))
 
 
 def with_schema(df: DataFrame, config: PipelineConfig) -> DataFrame:
@@ -314,11 +318,16 @@ def with_contexts(df: DataFrame, rules: Rules) -> DataFrame:
     )
     not_object = f"NOT {rules.implies_object('dc.schema')} AND try_cast(dc.data AS MAP<STRING, VARIANT>) IS NULL"
     event_doc = f"named_struct('schema', it.schema, 'data', it.data, 'missing', {NO_ERROR})"
+    found = ""
+    if rules.looks_up:
+        docs = f"transform(concat(array({event_doc}), it.sent_contexts), dc -> {open_document('dc.schema', 'dc.data')})"
+        df = df.withColumn("found", violations(F.expr(f"transform(items, it -> {docs})")))
+        found = "get(get(found, ii), di)"
     checks = (
         f"transform(concat(array({event_doc}), it.sent_contexts), (dc, di) -> named_struct("
         f"'lookup', CASE WHEN di = 0 THEN it.lookup_err ELSE coalesce(dc.missing, {uri_error(rules, 'dc.schema')}) END,"
         f" 'value', CASE WHEN dc.schema IS NOT NULL AND dc.data IS NOT NULL THEN"
-        f" coalesce({violation_error(rules, 'dc.schema', 'dc.data')},"
+        f" coalesce({violation_error(rules, 'dc.schema', 'dc.data', found)},"
         f" CASE WHEN {not_object} THEN {value_error('data is not an object')} END) END))"
     )
     df = rebuilt(

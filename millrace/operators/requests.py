@@ -46,11 +46,11 @@ def requests_to_raw(requests: DataFrame, config: PipelineConfig) -> DataFrame:
     )
 
 
-def split_payloads(raw: DataFrame, config: PipelineConfig) -> tuple[DataFrame, DataFrame]:
-    """``(payloads, errors)``: payloads above the size limit are split into several that fit.
+def sized_payloads(raw: DataFrame, config: PipelineConfig) -> DataFrame:
+    """Payloads within the size limit, larger ones split into several; ``err`` tells why one cannot be split.
 
-    Items are packed in order, each body taking as many as fit. ``errors`` holds the rows that cannot be
-    split, with the reason in ``err``.
+    Items are packed in order, each body taking as many as fit. One pass makes both kinds of rows: write or persist them
+    before they are separated. Items are written as canonical JSON (sorted keys, plain numbers), which counts for the size.
     """
     limit = config.max_record_bytes
     encode = RAW_ENCODERS[config.record_format]
@@ -94,8 +94,13 @@ def split_payloads(raw: DataFrame, config: PipelineConfig) -> tuple[DataFrame, D
         f" ELSE {let(starts, 'st', _batches())} END"
     )
     df = sized.withColumn("err", F.expr(err))
-    ok = df.where("err IS NULL").withColumn("body", F.explode(F.expr(bodies)))
-    return ok.select(*RAW_COLUMNS), df.where("err IS NOT NULL").select(*RAW_COLUMNS, "err")
+    return df.withColumn("body", F.explode(F.expr(f"IF(err IS NULL, {bodies}, array(body))"))).select(*RAW_COLUMNS, "err")
+
+
+def split_payloads(raw: DataFrame, config: PipelineConfig) -> tuple[DataFrame, DataFrame]:
+    """``(payloads, errors)`` of ``sized_payloads``; each of them runs it."""
+    sized = sized_payloads(raw, config)
+    return sized.where("err IS NULL").drop("err"), sized.where("err IS NOT NULL")
 
 
 def _batches() -> str:

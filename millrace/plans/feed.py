@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions.sqltext import lit
 from millrace.model import RAW_COLUMNS
-from millrace.sources.registry import registry_table
 
 TRACKER = "iglu:com.snowplowanalytics.snowplow"
 LINK_CLICK = f"{TRACKER}/link_click/jsonschema/1-0-1"
@@ -184,10 +183,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def feed_registry(spark: SparkSession) -> DataFrame:
-    return registry_table(spark, FEED_DOCUMENTS, priority=1)
-
-
 def user_agent_of(user: str) -> str:
     whens = " ".join(f"WHEN {i} THEN {lit(ua)}" for i, ua in enumerate(USER_AGENTS))
     return f"CASE {user} % {len(USER_AGENTS)} {whens} END"
@@ -235,13 +230,8 @@ def raw_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             "ti_qu": "CAST(l_quantity AS BIGINT)",
         }
     )
-    # Few bytes but much work per row: fix the number of partitions, or they are merged for being small.
-    spark = orders.sparkSession
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    orders = orders.repartition(parts, "o_orderkey")
     lines = (
         lineitem.select("l_orderkey", "l_linenumber", F.expr(item).alias("item"))
-        .repartition(parts, "l_orderkey")
         .groupBy("l_orderkey")
         .agg(F.expr("transform(array_sort(collect_list(struct(l_linenumber, to_json(item) AS item))), l -> l.item)").alias("items"))
     )
@@ -278,26 +268,6 @@ def raw_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
 
 
-def raw_from_pages(pages: DataFrame) -> DataFrame:
-    """One page view request per row of ``pages``, carrying the page's address."""
-    return pages.selectExpr(
-        "'CollectorPayload' AS schema",
-        "concat('172.16.', page_id % 256, '.9') AS ipAddress",
-        "1700000000000 + page_id AS timestamp",
-        "'UTF-8' AS encoding",
-        "'feed-1' AS collector",
-        f"{user_agent_of('page_id')} AS userAgent",
-        "CAST(NULL AS STRING) AS refererUri",
-        "'/i' AS path",
-        "concat('e=pv&p=web&eid=p-', page_id, '&url=', url_encode(url)) AS querystring",
-        "CAST(NULL AS BINARY) AS body",
-        "CAST(array() AS ARRAY<STRING>) AS headers",
-        "CAST(NULL AS STRING) AS contentType",
-        "concat('h', page_id % 5, '.example.org') AS hostname",
-        "CAST(NULL AS STRING) AS networkUserId",
-    )
-
-
 def geo_ranges(nation: DataFrame, region: DataFrame) -> DataFrame:
     """Two address ranges per nation: 10.(10n).0.0 up to 10.(10n+4).255.255, split at 10.(10n+1).128.0."""
     return nation.join(region, F.expr("n_regionkey = r_regionkey")).selectExpr(

@@ -17,15 +17,15 @@ from pyspark.sql import functions as F
 from millrace.config import PipelineConfig
 from millrace.functions import net
 from millrace.functions.sqltext import lit
-from millrace.model import ATOMIC_COLUMNS
+from millrace.model import ATOMIC_COLUMNS, RAW_COLUMNS
 from millrace.operators.auth import with_auth_subject
 from millrace.operators.enrich import Dimensions, Enrichment, process_raw, to_atomic
-from millrace.operators.errors import to_errors, undecodable_to_errors
+from millrace.operators.errors import reason, to_errors, undecodable_to_errors
 from millrace.operators.geo import with_geo
 from millrace.plans import feed
 from millrace.plans.queries import _EXPECTED_EVENTS, _NUMBER, CONFIG, _atomic, _raw, feed_rules, query, scratch_dir
 from millrace.sources import codecs
-from millrace.sources.registry import Rules, builtin_documents, registry_table, resolve
+from millrace.sources.registry import Rules, builtin_documents, load_rules, registry_table, resolve
 from millrace.sources.store import read_atomic, write_atomic
 from millrace.streaming.jobs import consume_errors, consume_events, enrich_stream, parquet_batch_writer
 
@@ -235,6 +235,82 @@ def registry_lookup(spark, sf):
     return found.selectExpr("CAST(substring(name, 2) AS BIGINT) AS supplier", "get_json_object(document, '$.description') AS source")
 
 
+def _single_bodies(spark: SparkSession, sf: str, uri: str, data: str, more: DataFrame | None = None, on: str = "true") -> DataFrame:
+    """Each event as a POST of one self-describing event; ``uri`` and ``data`` are SQL text."""
+    events = feed.table(spark, sf, "events")
+    events = events.join(more, F.expr(on), "left") if more is not None else events
+    fields = {c: "CAST(NULL AS STRING)" for c in ("userAgent", "refererUri", "querystring", "contentType")}
+    fields |= {"schema": "'CollectorPayload'", "ipAddress": "'10.0.0.1'", "timestamp": "unix_millis(CAST(ts AS TIMESTAMP))", "encoding": "'UTF-8'", "collector": "'c'", "path": "'/x/v1'"}
+    fields |= {"body": f"CAST(concat('{{\"schema\":\"', {uri}, '\",\"data\":', {data}, '}}') AS BINARY)", "headers": "CAST(array() AS ARRAY<STRING>)", "hostname": "'h'", "networkUserId": "concat('n', event_id)"}
+    return events.selectExpr(*[f"{fields[c]} AS {c}" for c in RAW_COLUMNS])
+
+
+def _part_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """A schema per part: its size limits a number, its brand is the only text allowed."""
+    document = (
+        f"to_json(named_struct('$schema', '{_META}', 'type', 'object', 'properties', named_struct('size', named_struct('type', 'integer', 'maximum', p_size),"
+        " 'brand', named_struct('const', p_brand)), 'required', array('size'), 'additionalProperties', false))"
+    )
+    return feed.table(spark, sf, "part").selectExpr("concat('iglu:org.part/p', p_partkey, '/jsonschema/1-0-0') AS uri", f"{document} AS document", "1 AS priority")
+
+
+@query("""
+WITH n AS (SELECT max(p_partkey) AS n FROM part), e AS (SELECT event_id, user_id, 1 + event_id % (SELECT n + 3 FROM n) AS k FROM events)
+SELECT event_id, CASE WHEN p_partkey IS NULL THEN 'schema not found: Schema not found in any registry: iglu:org.part/p' || k || '/jsonschema/1-0-0'
+  WHEN event_id % 3 = 0 THEN 'data validation error: Failed to validate iglu:org.part/p' || k || '/jsonschema/1-0-0: brand: value is not the expected value'
+  WHEN user_id % 60 > p_size THEN 'data validation error: Failed to validate iglu:org.part/p' || k || '/jsonschema/1-0-0: size: number breaks maximum' END AS reason,
+  CASE WHEN p_partkey IS NOT NULL AND user_id % 60 <= p_size AND event_id % 3 <> 0 THEN 'p' || k END AS event_name
+FROM e LEFT JOIN part ON p_partkey = k
+""")
+def registry_validation(spark, sf):
+    """Events against a registry with a schema per part, looked up by URI."""
+    rules = load_rules(spark, [_part_registry(spark, sf)], CONFIG.schema_vendor)
+    parts = feed.table(spark, sf, "part")
+    last = parts.agg(F.max("p_partkey").alias("last"))
+    keyed = parts.select("p_partkey", "p_brand").unionByName(last.selectExpr("explode(sequence(last + 1, last + 3)) AS p_partkey", "'none' AS p_brand"))
+    n = last.first()["last"] + 3
+    brand = "IF(event_id % 3 = 0, 'wrong', p_brand)"
+    raw = _single_bodies(
+        spark, sf, "concat('iglu:org.part/p', p_partkey, '/jsonschema/1-0-0')", f"to_json(named_struct('brand', {brand}, 'size', user_id % 60))", keyed, f"p_partkey = 1 + event_id % {n}"
+    )
+    processed = process_raw(raw, PipelineConfig(device_enabled=False), rules)
+    errors = to_errors(processed).selectExpr("CAST(substring(get_json_object(CAST(payload AS STRING), '$.networkUserId'), 2) AS BIGINT) AS event_id", "reason", "CAST(NULL AS STRING) AS event_name")
+    good = to_atomic(processed, CONFIG).selectExpr(f"{_EVENT_OF} AS event_id", "CAST(NULL AS STRING) AS reason", "event_name")
+    return good.unionByName(errors)
+
+
+_ADVANCED = {
+    "tree": {"type": "object", "properties": {"v": {"type": "integer"}, "next": {"$ref": "#"}}, "required": ["v"], "additionalProperties": False},
+    "depends": {"type": "object", "properties": {"card": {}}, "dependentSchemas": {"card": {"required": ["address"]}}},
+    "either": {"type": "object", "anyOf": [{"properties": {"a": {"type": "integer"}}, "required": ["a"]}, {"properties": {"b": {}}, "required": ["b"]}], "unevaluatedProperties": False},
+    "anchored": {"type": "object", "properties": {"l": {"prefixItems": [{"$ref": "#num"}], "unevaluatedItems": False}}, "$defs": {"n": {"$anchor": "num", "type": "number"}}},
+    "broken": {"type": "object", "unevaluatedProperties": 5},
+}
+
+
+@query("""
+SELECT event_id, CASE event_id % 10 WHEN 1 THEN 'data validation error: Failed to validate iglu:org.rules/tree/jsonschema/1-0-0: next: v: value is not of type integer'
+  WHEN 3 THEN 'data validation error: Failed to validate iglu:org.rules/depends/jsonschema/1-0-0: address is required'
+  WHEN 5 THEN 'data validation error: Failed to validate iglu:org.rules/either/jsonschema/1-0-0: c is not allowed'
+  WHEN 7 THEN 'data validation error: Failed to validate iglu:org.rules/anchored/jsonschema/1-0-0: l: no value is allowed'
+  WHEN 8 THEN 'invalid schema: Invalid Schema: 5 is not a schema' WHEN 9 THEN 'invalid schema: Invalid Schema: 5 is not a schema' END AS reason
+FROM events
+""")
+def schema_keywords(spark, sf):
+    """Recursive and anchored references, dependent schemas, unevaluated parts, an ill-formed document."""
+    registry = registry_table(spark, {f"iglu:org.rules/{name}/jsonschema/1-0-0": {"$schema": _META, **d} for name, d in _ADVANCED.items()}, 1)
+    name = "CASE event_id % 10 div 2 WHEN 0 THEN 'tree' WHEN 1 THEN 'depends' WHEN 2 THEN 'either' WHEN 3 THEN 'anchored' ELSE 'broken' END"
+    data = (
+        "CASE event_id % 10 WHEN 0 THEN concat('{\"v\":1,\"next\":{\"v\":', user_id, '}}') WHEN 1 THEN concat('{\"v\":1,\"next\":{\"v\":\"', user_id, '\"}}')"
+        " WHEN 2 THEN concat('{\"card\":', user_id, ',\"address\":\"a\"}') WHEN 3 THEN concat('{\"card\":', user_id, '}')"
+        " WHEN 4 THEN concat('{\"a\":', user_id, ',\"b\":\"', event_type, '\"}') WHEN 5 THEN concat('{\"a\":', user_id, ',\"c\":1}')"
+        " WHEN 6 THEN concat('{\"l\":[', user_id, ']}') WHEN 7 THEN concat('{\"l\":[', user_id, ',2]}') ELSE '{}' END"
+    )
+    raw = _single_bodies(spark, sf, f"concat('iglu:org.rules/', {name}, '/jsonschema/1-0-0')", data)
+    processed = process_raw(raw, PipelineConfig(device_enabled=False), load_rules(spark, [registry], CONFIG.schema_vendor))
+    return processed.selectExpr("CAST(substring(networkUserId, 2) AS BIGINT) AS event_id", f"IF(err IS NULL, NULL, {reason('err')}) AS reason")
+
+
 @query("""
 SELECT event_id, event_id % 3 = 0 AS valid, CASE event_id % 3 WHEN 1 THEN 'collector_host is required' WHEN 2 THEN 'event' END AS about FROM events
 """)

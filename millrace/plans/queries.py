@@ -18,7 +18,7 @@ from millrace.functions.sqltext import lit
 from millrace.operators.enrich import Dimensions, process_raw, to_atomic
 from millrace.operators.errors import outcome_counts, to_errors
 from millrace.operators.extract import campaign_params
-from millrace.operators.requests import requests_to_raw, split_payloads
+from millrace.operators.requests import requests_to_raw, sized_payloads
 from millrace.operators.shred import FieldTransformation, flatten_atomic, typed_data
 from millrace.plans import feed
 from millrace.session import configure
@@ -733,14 +733,12 @@ def payload_size_split(spark, sf):
         "'h' AS hostname",
         "CAST(doc_id AS STRING) AS networkUserId",
     )
-    ok, errors = split_payloads(raw, config)
-    sized = ok.selectExpr(
+    sized = sized_payloads(raw, config).selectExpr(
         "CAST(networkUserId AS BIGINT) AS doc_id",
-        "size(try_cast(variant_get(parse_json(CAST(body AS STRING)), '$.data') AS ARRAY<VARIANT>)) AS n",
-        f"octet_length({codecs.raw_avro()}) <= {config.max_record_bytes} AS fits",
+        "IF(err IS NULL, size(try_cast(variant_get(parse_json(CAST(body AS STRING)), '$.data') AS ARRAY<VARIANT>)), 0) AS n",
+        f"err IS NULL AND octet_length({codecs.raw_avro()}) <= {config.max_record_bytes} AS fits",
     )
-    lost = errors.selectExpr("CAST(networkUserId AS BIGINT) AS doc_id", "0 AS n", "false AS fits")
-    return sized.unionByName(lost).groupBy("doc_id").agg(F.sum("n").alias("items"), F.expr("every(fits)").alias("fits"))
+    return sized.groupBy("doc_id").agg(F.sum("n").alias("items"), F.expr("every(fits)").alias("fits"))
 
 
 _ROUND_TRIP = """

@@ -39,6 +39,11 @@ def kafka_sink_options(brokers: str, topic: str | None, queue: str) -> dict[str,
     return {"kafka.bootstrap.servers": brokers, "topic": topic}
 
 
+def batch_limit(fmt: str, n: int) -> dict[str, str]:
+    """Read option that bounds a micro-batch: messages of Kafka, files of a folder."""
+    return {"maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger": str(n)}
+
+
 def read_queue(
     spark: SparkSession, queue: str, fmt: str, options: dict[str, str], streaming: bool = True
 ) -> DataFrame:

@@ -1,35 +1,37 @@
 """The schema registry: built-in documents plus any number of schema tables.
 
-A registry row is ``(uri, document, priority)``; the lowest priority wins per URI. The registry is metadata
-of the job (one row per schema, not per event): it is resolved with Spark, then compiled into the plan.
+A registry row is ``(uri, document, priority)``; the lowest priority wins per URI, after the built-in documents. The
+few built-in documents are part of the plan. Registry tables stay tables, whatever their size: a job looks up the URIs
+that its payloads name, by joins, and checks data against what it found.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.config import DEFAULT_VENDOR
 from millrace.functions.iglu import uri_parts
 from millrace.functions.jsonschema import (
     MAX_DOCUMENT_BYTES,
-    check_document,
+    NotCompiled,
     property_names,
     violation,
 )
+from millrace.functions.schema_checker import read_document
 from millrace.functions.sqltext import case_of, if_chain, lits
 from millrace.model import ATOMIC_COLUMNS, ATOMIC_REQUIRED
 
 REGISTRY_SCHEMA = "uri string, document string, priority int"
 
-# Every schema becomes a branch of the plan, so a registry larger than this is refused rather than compiled.
-MAX_COMPILED_SCHEMAS = 2000
-
 _TRACKER_VENDOR = "com.snowplowanalytics.snowplow"
 PAYLOAD_PREFIX = f"iglu:{_TRACKER_VENDOR}/payload_data/jsonschema/1"
 
@@ -63,6 +65,7 @@ STRING_FIELDS = {
         "browser_family", "browser_version", "os_family", "os_version", "device_family",
     ],
 }
+# The integer fields of page pings, and the longest values of structured events.
 PAGE_PING_FIELDS = ["pp_xoffset_min", "pp_xoffset_max", "pp_yoffset_min", "pp_yoffset_max"]
 STRUCTURED_LIMITS = {"category": 150, "action": 500, "label": 500, "property": 500, "value": 500}
 
@@ -143,40 +146,105 @@ def read_schema_files(spark: SparkSession, path: str, priority: int = 1) -> Data
     )
 
 
-def resolve(tables: Iterable[DataFrame]) -> DataFrame:
-    """One document per URI: oversized documents are left out, then the lowest priority wins."""
+def _union(tables: Iterable[DataFrame]) -> DataFrame:
     union = None
     for table in tables:
         table = table.select("uri", "document", "priority")
         union = table if union is None else union.unionByName(table)
-    order = Window.partitionBy("uri").orderBy("priority", "document")
+    return union
+
+
+def oversized(tables: Iterable[DataFrame], max_bytes: int = MAX_DOCUMENT_BYTES) -> DataFrame:
+    """``(uri, bytes, priority)`` of the documents that ``resolve`` leaves out for their size."""
+    return _union(tables).selectExpr("uri", "octet_length(document) AS bytes", "priority").where(F.col("bytes") > max_bytes)
+
+
+def resolve(tables: Iterable[DataFrame], max_bytes: int = MAX_DOCUMENT_BYTES) -> DataFrame:
+    """One document per URI: larger ones than ``max_bytes`` are left out (see ``oversized``), then the lowest priority wins.
+
+    Of several documents with the lowest priority the first in text order is taken.
+    """
+    best = F.min(F.struct("priority", "document")).alias("best")
     return (
-        union.where((F.octet_length("document") <= MAX_DOCUMENT_BYTES) | (F.col("priority") == 0))
+        _union(tables)
+        .where(F.octet_length("document") <= max_bytes)
         .where(f"{uri_parts('uri')} IS NOT NULL")
-        .withColumn("rank", F.row_number().over(order))
-        .where("rank = 1")
-        .select("uri", "document", F.expr(uri_parts("uri")).alias("parts"))
+        .groupBy("uri")
+        .agg(best)
+        .select("uri", F.expr(uri_parts("uri")).alias("parts"), F.col("best.document").alias("document"))
         .select("uri", "parts.*", "document")
     )
 
 
+DESCRIBED = "uri string, document string, fields array<string>, is_object boolean, invalid string"
+
+
+def describe(documents: DataFrame) -> DataFrame:
+    """What a job needs to know of each ``(uri, document)``: its properties, whether it admits objects only, and why it is
+    ill-formed, if it is."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for uri, text in zip(batch.column("uri").to_pylist(), batch.column("document").to_pylist()):
+                checker, problem = read_document(text)
+                root = checker.root if checker else {}
+                rows.append({"uri": uri, "document": text, "fields": property_names(root), "is_object": root.get("type") == "object", "invalid": problem})
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    out = T.StructType.fromDDL(DESCRIBED)
+    schema = to_arrow_schema(out)
+    return documents.select("uri", "document").mapInArrow(read, out)
+
+
+class _Any:
+    """Has every name."""
+
+    def __contains__(self, name: object) -> bool:
+        return True
+
+
 @dataclass(frozen=True)
 class Rules:
-    """Compiled registry: SQL text that checks a value against the schema named by a URI."""
+    """SQL text that checks a value against the schema named by a URI.
+
+    ``documents`` and ``invalid`` are compiled into it. ``registry`` is a table ``(uri, document)`` of further schemas, and
+    ``extra`` are documents that could not be compiled; a job with either of them (``looks_up``) has a column ``reg`` with
+    those that a payload names, and the text refers to it.
+    """
 
     documents: dict[str, dict]
     invalid: dict[str, str]
+    extra: dict[str, dict] = field(default_factory=dict)
+    registry: DataFrame | None = None
 
     @classmethod
-    def compile(cls, documents: dict[str, object]) -> Rules:
-        valid, invalid = {}, {}
+    def compile(cls, documents: dict[str, object], registry: DataFrame | None = None) -> Rules:
+        valid, invalid, extra = {}, {}, {}
         for uri, document in documents.items():
-            problem = check_document(document)
-            if problem:
+            _, problem = read_document(json.dumps(document))
+            try:
+                if problem is None:
+                    violation(document, "x")
+                    valid[uri] = document
+            except NotCompiled:
+                extra[uri] = document
+            except ValueError as e:
+                problem = str(e)
+            if problem is not None:
                 invalid[uri] = problem
-            else:
-                valid[uri] = document
-        return cls(valid, invalid)
+        return cls(valid, invalid, extra, registry)
+
+    @property
+    def looks_up(self) -> bool:
+        return bool(self.extra) or self.registry is not None
+
+    def lookup_table(self, spark: SparkSession) -> DataFrame:
+        """``(uri, document)`` of all schemas that are not compiled."""
+        tables = [self.registry.select("uri", "document")] if self.registry is not None else []
+        if self.extra:
+            tables.append(registry_table(spark, self.extra).select("uri", "document"))
+        return tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1])
 
     @cached_property
     def known(self) -> list[str]:
@@ -200,7 +268,8 @@ class Rules:
     def implies_object(self, uri: str) -> str:
         """Whether the schema itself only admits objects."""
         uris = [u for u, d in self.documents.items() if d.get("type") == "object"]
-        return f"coalesce({uri} IN ({lits(uris)}), false)" if uris else "false"
+        compiled = f"coalesce({uri} IN ({lits(uris)}), false)" if uris else "false"
+        return f"({compiled} OR coalesce(reg[{uri}].is_object, false))" if self.looks_up else compiled
 
     def fields(self, uri: str) -> str:
         """Property names of the schema; NULL when it is unknown or has no properties."""
@@ -210,38 +279,32 @@ class Rules:
             if names is not None:
                 listed = f"array({lits(names)})" if names else "CAST(array() AS ARRAY<STRING>)"
                 branches.append((f"{uri} IN ({lits(uris)})", listed))
-        return if_chain(branches, "CAST(NULL AS ARRAY<STRING>)")
+        return if_chain(branches, f"reg[{uri}].fields" if self.looks_up else "CAST(NULL AS ARRAY<STRING>)")
 
     @cached_property
-    def property_names(self) -> set[str]:
+    def property_names(self) -> set[str] | _Any:
         """Every top-level property of any schema an event can be built for."""
+        if self.looks_up:
+            return _Any()
         atomic = [d for u, d in self.documents.items() if u.split("/")[1] == "atomic"]
         return {n for d in self.documents.values() if d not in atomic for n in property_names(d) or []}
 
     def is_usable(self, uri: str) -> str:
-        return f"coalesce({uri} IN ({lits(self.documents)}), false)" if self.documents else "false"
+        compiled = f"coalesce({uri} IN ({lits(self.documents)}), false)" if self.documents else "false"
+        found = f"coalesce(map_contains_key(reg, {uri}) AND reg[{uri}].invalid IS NULL, false)"
+        return f"({compiled} OR {found})" if self.looks_up else compiled
 
     def is_known(self, uri: str) -> str:
-        return f"coalesce({uri} IN ({lits(self.known)}), false)" if self.known else "false"
+        compiled = f"coalesce({uri} IN ({lits(self.known)}), false)" if self.known else "false"
+        return f"({compiled} OR coalesce(map_contains_key(reg, {uri}), false))" if self.looks_up else compiled
 
     def invalid_reason(self, uri: str) -> str:
-        return case_of(uri, {u: lits([r]) for u, r in self.invalid.items()}, "CAST(NULL AS STRING)")
+        return case_of(uri, {u: lits([r]) for u, r in self.invalid.items()}, f"reg[{uri}].invalid" if self.looks_up else "CAST(NULL AS STRING)")
 
 
-def load_rules(
-    spark: SparkSession, tables: Sequence[DataFrame] = (), vendor: str = DEFAULT_VENDOR
-) -> Rules:
-    """Compile the built-in documents and the given registry tables."""
+def load_rules(spark: SparkSession, tables: Sequence[DataFrame] = (), vendor: str = DEFAULT_VENDOR) -> Rules:
+    """The built-in documents, and the given registry tables by look-up. A built-in document comes before any table's."""
     builtin = builtin_documents(vendor)
     if not tables:
         return Rules.compile(builtin)
-    rows = resolve([registry_table(spark, builtin), *tables]).limit(MAX_COMPILED_SCHEMAS + 1).collect()
-    if len(rows) > MAX_COMPILED_SCHEMAS:
-        raise ValueError(f"the registry holds more than {MAX_COMPILED_SCHEMAS} schemas; pass fewer tables")
-    documents = {}
-    for row in sorted(rows, key=lambda r: r.uri):
-        try:
-            documents[row.uri] = json.loads(row.document)
-        except ValueError:
-            documents[row.uri] = None
-    return Rules.compile(documents)
+    return Rules.compile(builtin, resolve(tables).where(~F.col("uri").isin(list(builtin))).select("uri", "document"))

@@ -8,17 +8,16 @@ from pyspark.sql import functions as F
 from millrace.model import ATOMIC_COLUMNS
 
 
-def write_atomic(events: DataFrame, path: str, mode: str = "append", files_per_day: int | None = None) -> None:
+def write_atomic(events: DataFrame, path: str, mode: str = "append", gather: bool = True) -> None:
     """Parquet partitioned by day and event name.
 
-    Rows are written where they are, so a hot day or event name never has to pass through one task; each
-    task keeps its rows sorted by partition to hold one file open at a time. ``files_per_day`` asks for a
-    shuffle that gathers each day into about that many files instead.
+    Rows are gathered by day and name first, so a folder gets few files however many tasks there are. Adaptive execution
+    cuts a large day and merges small ones by their measured size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), so
+    a day that holds most rows is written by many tasks. Without ``gather`` every task writes its own files.
     """
     table = events.select(*ATOMIC_COLUMNS).withColumn("event_date", F.to_date("tstamp"))
-    if files_per_day:
-        spread = F.expr(f"CAST(pmod(xxhash64(event_id), {files_per_day}) AS INT)")
-        table = table.repartition("event_date", spread)
+    if gather:
+        table = table.hint("rebalance", "event_date", "event_name")
     table = table.sortWithinPartitions("event_date", "event_name")
     # The event name stays a column of the file as well as a folder.
     table.withColumn("name", F.col("event_name")).write.mode(mode).partitionBy("event_date", "name").parquet(path)

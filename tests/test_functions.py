@@ -3,6 +3,7 @@ import json
 import pytest
 from conftest import value
 
+from millrace.functions.schema_checker import Checker, read_document
 from millrace.functions import iglu, jsonschema, net, text
 
 
@@ -139,13 +140,56 @@ NESTED = {
 def test_json_schema(spark, data, valid):
     found = value(spark, jsonschema.violation(NESTED, f"parse_json('{json.dumps(data)}')"))
     assert (found is None) == valid
+    assert found == Checker({"$schema": "x", **NESTED}).violation(data)
 
 
-def test_document_check():
-    assert jsonschema.check_document({"$schema": "x", "type": "object"}) is None
-    assert jsonschema.check_document({"type": "object"})
-    assert jsonschema.check_document({"$schema": "x", "type": "nothing"})
-    assert jsonschema.check_document({"$schema": "x", "properties": {"a": {"$ref": "#"}}})
+@pytest.mark.parametrize(
+    "document,problem",
+    [
+        ({"$schema": "x", "type": "object"}, None),
+        ({"type": "object"}, "$schema is missing"),
+        ({"$schema": "x", "type": "nothing"}, "'nothing' is not a type"),
+        ({"$schema": "x", "properties": {"a": {"$ref": "#"}}}, None),
+        ({"$schema": "x", "properties": {"a": {"$ref": "#/$defs/b"}}}, "#/$defs/b does not exist"),
+        ({"$schema": "x", "$ref": "https://elsewhere.example/s"}, "'https://elsewhere.example/s' is not a local reference"),
+        ({"$schema": "x", "unevaluatedProperties": 5}, "5 is not a schema"),
+        ([], "document is not an object"),
+    ],
+)
+def test_document_check(document, problem):
+    assert read_document(json.dumps(document))[1] == problem
+
+
+TREE = {"type": "object", "properties": {"v": {"type": "integer"}, "next": {"$ref": "#"}}, "required": ["v"], "additionalProperties": False}
+DEPENDENT = {"type": "object", "properties": {"card": {}, "address": {}}, "dependentSchemas": {"card": {"required": ["address"]}}}
+EITHER = {"anyOf": [{"properties": {"a": {"type": "string"}}, "required": ["a"]}, {"properties": {"b": {"type": "integer"}}, "required": ["b"]}], "unevaluatedProperties": False}
+ANCHORED = {"prefixItems": [{"$ref": "#num"}], "contains": {"const": "x"}, "unevaluatedItems": False, "$defs": {"n": {"$anchor": "num", "type": "number"}}}
+NAMED = {"$id": "https://a.example/s", "items": {"$ref": "part"}, "$defs": {"p": {"$id": "part", "$dynamicAnchor": "it", "minimum": 2.5}}}
+
+
+@pytest.mark.parametrize(
+    "document,data,found",
+    [
+        (TREE, {"v": 1, "next": {"v": 2, "next": {"v": 3}}}, None),
+        (TREE, {"v": 1, "next": {"v": 2, "next": {"v": "x"}}}, "next: next: v: value is not of type integer"),
+        (DEPENDENT, {"address": 1}, None),
+        (DEPENDENT, {"card": 1}, "address is required"),
+        (EITHER, {"a": "x"}, None),
+        (EITHER, {"a": "x", "b": 1}, None),
+        (EITHER, {"a": "x", "b": "no"}, "b is not allowed"),
+        (EITHER, {"c": 1}, "no anyOf branch holds"),
+        (ANCHORED, [1, "x"], None),
+        (ANCHORED, [1, "x", 2], "no value is allowed"),
+        (ANCHORED, ["x"], "value is not of type number"),
+        (NAMED, [3, 2.5], None),
+        (NAMED, [2], "number breaks minimum"),
+    ],
+)
+def test_rules_that_are_checked_as_data(document, data, found):
+    document = {"$schema": "x", **document}
+    with pytest.raises(jsonschema.NotCompiled):
+        jsonschema.violation(document, "x")
+    assert Checker(document).violation(data) == found
 
 
 def test_odd_headers(spark):

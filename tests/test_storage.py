@@ -19,7 +19,7 @@ from millrace.operators.shred import (
 )
 from millrace.plans.feed import PAYLOAD
 from millrace.sources import codecs, queues
-from millrace.sources.registry import builtin_documents, load_rules, read_schema_files, registry_table
+from millrace.sources.registry import builtin_documents, describe, load_rules, oversized, read_schema_files, registry_table
 from millrace.sources.store import read_atomic, register_atomic, write_atomic
 from millrace.streaming.jobs import consume_errors, consume_events, enrich_stream, parquet_batch_writer
 
@@ -231,8 +231,10 @@ def test_registry_tables(spark, config, tmp_path):
     files = read_schema_files(spark, str(tmp_path), priority=2)
     override = registry_table(spark, {f"iglu:{config.schema_vendor}/page_view/jsonschema/1-0-0": {"$schema": "x"}}, 5)
     rules = load_rules(spark, [files, override], config.schema_vendor)
-    assert list(rules.documents["iglu:org.example/thing/jsonschema/1-0-0"]["properties"]) == ["url", "referrer"]
-    assert "iglu:org.example/thing/jsonschema/1-0-1" not in rules.known
+    assert [(r.uri, r.fields, r.is_object, r.invalid) for r in describe(rules.lookup_table(spark)).collect()] == [
+        ("iglu:org.example/thing/jsonschema/1-0-0", ["url", "referrer"], True, None)
+    ]
+    assert [(r.uri, r.priority) for r in oversized([files, override]).collect()] == [("iglu:org.example/thing/jsonschema/1-0-1", 2)]
     assert "properties" in rules.documents[f"iglu:{config.schema_vendor}/page_view/jsonschema/1-0-0"]
 
 
