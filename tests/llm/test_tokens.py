@@ -1,4 +1,5 @@
 import base64
+import json
 import zlib
 from collections import Counter, defaultdict
 
@@ -47,6 +48,16 @@ def test_any_mix_of_blanks_and_letters(library, tokenizer, texts):
     assert [np.frombuffer(i, "<u4").tolist() for i in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_special_tokens_and_slow_files(tokenizer):
+    texts = [*ODD, "a<|endoftext|> <|endoftext|> b", " <|endoftext|>x y"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(i, "<u4").tolist() for i in packing.chunk_encoder(JSON)(texts)] == want
+    spec = json.load(open(JSON))
+    assert packing._by_rank(tokenizer, spec)
+    spec["model"]["merges"][5:7] = spec["model"]["merges"][6:4:-1]
+    assert packing._by_rank(tokenizer, spec) is None
+
+
 def test_both_contractions_agree():
     vocabulary = bpe.bpe(RANKS, P.PATTERN)
     rng = np.random.default_rng(5)
