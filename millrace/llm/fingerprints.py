@@ -119,7 +119,7 @@ def edited_and_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = source.select(range_of("id").alias("range"), F.struct("id", "hash").alias("first")).groupBy("range").agg(F.max("first").alias("first")).orderBy("range").collect()  # a row per range
     before = [r["range"] for r in firsts[1:]] + [r["range"] for r in firsts[:1]]
     guests = [(r["first"]["id"], r["first"]["hash"], b) for r, b in zip(firsts, before)]
-    # two rows may be equal: one of them is guest enough
+
     guest = F.broadcast(spark.createDataFrame(guests, "guest_id long, guest_hash long, range int"))  # a row per range
     visiting = source.join(guest, F.col("id").eqNullSafe(F.col("guest_id")) & (F.col("hash") == F.col("guest_hash")))
     visiting = visiting.dropDuplicates(["range"]).select("range", F.lit(1).alias("guest"), "id", "hash", "text")

@@ -60,7 +60,7 @@ class WordBackoff:
         entries = sorted(set().union(*counts)) if counts else []
         totals = np.array([sum(c.values()) + 0.5 * len(entries) for c in counts])
         found = np.array([[c[e] for c in counts] for e in entries], float).reshape(len(entries), len(counts))
-        return dict(zip(entries, np.log(found + 0.5) - np.log(totals)))
+        return dict(zip(entries, np.log(found + 0.5) - np.log(np.maximum(totals, 0.5))))
 
     def word(self, word: str) -> np.ndarray:
         if word in self.words:

@@ -39,7 +39,7 @@ def brute(rows):
     return {d: (d[1] if d[1] is None else "\n".join(x for i, x in enumerate(d[1].split("\n")) if i not in gone[d]), len(gone[d])) for d in docs}
 
 
-LOG = "user {} logged in from host {} after {} failed attempts today"
+LOG = "there was a login by {} from host {} after {} failed attempts today"
 ROWS = [
     (1, "own first line of this very document here\n" + LOG.format("ann", "h1", 3) + "\nshort line\n"),
     (2, LOG.format("bob", "h2", 14) + "\nshort line\nanother line that no other document has got"),
