@@ -641,14 +641,15 @@ def sessions_by_gap(spark, sf):
 
 
 @query("""
-SELECT DISTINCT 'n' || user_id AS usr FROM events WHERE event_type = 'purchase'
-EXCEPT SELECT 'n' || user_id FROM events WHERE event_type = 'click'
+SELECT DISTINCT 'n' || user_id AS usr, ts::DATE AS day FROM events WHERE event_type = 'purchase'
+EXCEPT SELECT 'n' || user_id, ts::DATE FROM events WHERE event_type = 'click'
 """)
 def buyers_without_clicks(spark, sf):
-    atomic = _atomic(spark, sf, ("purchase", "click"))
-    buyers = atomic.where("event_name = 'transaction'").selectExpr("network_userid AS usr")
-    clickers = atomic.where("event_name = 'link_click'").selectExpr("network_userid AS usr")
-    return buyers.distinct().join(clickers, "usr", "left_anti")
+    """Buyers and the days on which they bought and did not click."""
+    atomic = _atomic(spark, sf).selectExpr("event_name", "network_userid AS usr", "to_date(collector_tstamp) AS day")
+    buyers = atomic.where("event_name = 'transaction'").select("usr", "day")
+    clickers = atomic.where("event_name = 'link_click'").select("usr", "day")
+    return buyers.distinct().join(clickers, ["usr", "day"], "left_anti")
 
 
 # --- Requests, codecs, streams ----------------------------------------------------------------------
