@@ -118,7 +118,7 @@ def test_edited_and_next(docs_of, odd_rows):
 def test_edited_of_repeated_null_single_and_no_rows(docs_of, odd_rows):
     assert len(fingerprints.edited_and_next(docs_of(odd_rows)).collect()) == len(odd_rows)
     (one,) = fingerprints.edited_and_next(docs_of([(5, "a b c d e f")])).collect()
-    assert one["edited_sha256"] == hashlib.sha256(b"a b c da b ").hexdigest() and one["near_next"] == 1
+    assert one["edited_sha256"] == hashlib.sha256(b"a b c d a b").hexdigest() and one["near_next"] == 1
     assert fingerprints.edited_and_next(docs_of([])).collect() == []
     assert len(fingerprints.edited_and_next(docs_of([(None, "a"), (None, None)])).collect()) == 2
 
