@@ -4,7 +4,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from millrace import PipelineConfig
 from millrace.operators.auth import rsa_numbers, signature_holds, with_auth_subject
