@@ -1,13 +1,14 @@
 """Near duplicates by b-bit MinHash.
 
 Each distinct shingle set gets minima of many permutations. Bands of whole minima give candidates; of each minimum only
-the lowest two bits are kept, packed into longs, 32 minima each. For a candidate pair the share of equal two-bit fields,
+two bits of a hash of it are kept, packed into longs, 32 minima each. The minimum's own low bits would not do: they depend
+on the low bits of its shingle alone, so unequal minima would be equal there by more or less than chance. For a candidate pair the share of equal two-bit fields,
 counted by bit operations and corrected for the quarter of fields that are equal by chance, estimates the similarity.
 Pairs whose estimate lies six standard errors below the threshold are let go; all others are verified on the full
-sets.
+sets. Sets of fewer than 32 shingles have no estimate, and their pairs are all verified.
 
 With 48 bands of 7 minima a pair at a similarity of 0.8 shares no band with a probability of 1.2e-5, and a pair at 0.9 of
-5e-14. A pair below the estimate's margin has a probability of about 1e-9.
+5e-14. If both sets have an estimate, one of 0.8 lies below the margin with a probability of about 1e-9 by the normal law.
 """
 
 from __future__ import annotations
@@ -28,11 +29,14 @@ from millrace.llm.links import linked
 BANDS, ROWS = 48, 7
 #: Minima of which two bits are kept, a multiple of 32.
 SIGNED = 320
+#: Sets of fewer shingles have no packed signature.
+LEAST_SIGNED = 32
 
 
 def packed(found: np.ndarray) -> np.ndarray:
-    """texts x (SIGNED / 32) longs: the lowest two bits of the first SIGNED minima."""
-    low = (found[:, :SIGNED] & np.uint32(3)).astype(np.uint64).reshape(len(found), SIGNED // 32, 32)
+    """texts x (SIGNED / 32) longs: two bits of a hash of each of the first SIGNED minima and its number."""
+    numbered = found[:, :SIGNED].astype(np.uint64) | np.arange(1, SIGNED + 1, dtype=np.uint64) << np.uint64(32)
+    low = (shingles.mixed(numbered) & np.uint64(3)).reshape(len(found), SIGNED // 32, 32)
     return np.bitwise_or.reduce(low << np.arange(0, 64, 2, dtype=np.uint64), axis=2).view(np.int64)
 
 
@@ -47,10 +51,11 @@ def estimate(a: Column, b: Column) -> Column:
 
 
 def likely(percent: int):
-    """Whether two signatures may belong to a pair at the threshold: six standard errors are allowed for."""
+    """Whether two signatures may belong to a pair at the threshold: six standard errors are allowed for. Without a
+    signature they may."""
     p = 0.25 + 0.75 * percent / 100
     floor = percent / 100 - 6 * (p * (1 - p) / SIGNED) ** 0.5 / 0.75
-    return lambda a, b: estimate(a, b) >= F.lit(floor)
+    return lambda a, b: F.coalesce(estimate(a, b) >= F.lit(floor), F.lit(True))
 
 
 def _signed(docs: DataFrame, k: int) -> DataFrame:
@@ -67,9 +72,9 @@ def _signed(docs: DataFrame, k: int) -> DataFrame:
             found = shingles.minima(np.concatenate(sets), n, a, b)
             none = n == 0
             lists = []
-            for values in (shingles.band_keys(found, BANDS, ROWS), packed(found)):
+            for values, without in ((shingles.band_keys(found, BANDS, ROWS), none), (packed(found), n < LEAST_SIGNED)):
                 ends = np.arange(len(n) + 1, dtype=np.int32) * values.shape[1]
-                lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()), mask=pa.array(none)))
+                lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()), mask=pa.array(without)))
             keys = pa.array([shingles.set_key(s) for s in sets], pa.int64(), mask=none)
             yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("hash"), pa.array(n), keys, *lists], [f.name for f in fields])
 

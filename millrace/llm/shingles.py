@@ -28,7 +28,7 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
@@ -50,18 +50,18 @@ def shingle_hashes(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     many = np.maximum(n - k + 1, (n > 0).astype(np.int64))
     first = np.repeat(starts, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
     width = np.repeat(size, many)
-    mixed = _mixed(flat)
+    hashed = mixed(flat)
     value = width.astype(np.uint64)
     for j in range(k):
         if j == 0:
-            value = value * _BASE + mixed[first]
+            value = value * _BASE + hashed[first]
         else:
             inside = width > j
             if inside.all():
-                value = value * _BASE + mixed[first + j]
+                value = value * _BASE + hashed[first + j]
             else:
-                value[inside] = value[inside] * _BASE + mixed[first[inside] + j]
-    return _mixed(value), many
+                value[inside] = value[inside] * _BASE + hashed[first[inside] + j]
+    return mixed(value), many
 
 
 def permutations(n: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -106,5 +106,5 @@ def band_keys(found: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """texts x bands: a hash of each band's minima and the band's number, as signed longs."""
     value = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(found), bands)).copy()
     for r in range(rows):
-        value = _mixed(value * _BASE + found[:, r : bands * rows : rows].astype(np.uint64))
+        value = mixed(value * _BASE + found[:, r : bands * rows : rows].astype(np.uint64))
     return value.view(np.int64)

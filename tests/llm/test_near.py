@@ -5,7 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from millrace.llm import fingerprints, shingles
+from millrace.llm import fingerprints, near_dedup, shingles
 from millrace.llm.links import components
 from millrace.llm.near_dedup import drop_near_duplicates, near_duplicates
 
@@ -66,6 +66,26 @@ def test_components_against_all_pairs(docs_of, odd_rows, k, limit):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got.collect())
 
 
+def test_packed_bits_of_unequal_minima_are_equal_by_chance():
+    rng = np.random.default_rng(5)
+    a, b = shingles.permutations(near_dedup.BANDS * near_dedup.ROWS)
+    n = 4000
+    common, own = rng.integers(0, 1 << 64, (n, 4), np.uint64), rng.integers(0, 1 << 64, n, np.uint64)
+    one = shingles.minima(common.ravel(), np.full(n, 4), a, b)
+    other = shingles.minima(np.column_stack([common, own]).ravel(), np.full(n, 5), a, b)
+    bits = [near_dedup.packed(x).view(np.uint8).reshape(n, -1) for x in (one, other)]
+    xor = np.unpackbits(bits[0] ^ bits[1], axis=1).reshape(n, -1, 2).any(axis=2)
+    chance = 1 - xor.sum(axis=1) / (one[:, : near_dedup.SIGNED] != other[:, : near_dedup.SIGNED]).sum(axis=1)
+    assert abs(chance.mean() - 0.25) < 0.01 and chance.std() < 0.07  # 0.25 of about 64 fields: 0.054
+
+
+def test_short_pairs_need_no_estimate(docs_of, monkeypatch):
+    monkeypatch.setattr(near_dedup, "estimate", lambda a, b: a[0] * 0.0)
+    words = "one two three four five six".split()
+    got, _ = near_duplicates(docs_of([(1, " ".join(words[:5])), (2, " ".join(words))]), k=2)
+    assert {r["component_id"] for r in got.collect()} == {1}
+
+
 def test_one_document_of_each_group_stays(docs_of, odd_rows):
     rows = odd_rows + chains(4)
     kept = drop_near_duplicates(docs_of(rows))
