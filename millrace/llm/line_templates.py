@@ -35,16 +35,30 @@ def _masked(lines: Column) -> Column:
     only searched, which is much cheaper."""
     fixed = F.transform(lines, lambda x: F.when(x.rlike("[0-9]"), F.regexp_replace(x, VARIABLE, "<*>")).otherwise(x))
     single = F.transform(fixed, lambda x: F.when(x.rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace(x, rf"{SPACES}+", " ")).otherwise(x))
-    return F.transform(single, F.trim)
+    return F.transform(single, lambda x: F.trim(x))  # F.trim itself would take the index as what to trim
 
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """id, hash, no, masked, leaf and key of every line with enough words."""
+def _exact(lines: Column) -> Column:
+    """As ``_masked``, but a line whose words are mostly variable keeps them, after a line feed, which no line holds."""
+
+    def one(masked: Column, line: Column) -> Column:
+        words = F.split(masked, " ")
+        mostly = masked.contains("<*>") & (2 * F.size(F.filter(words, lambda w: w == "<*>")) > F.size(words))
+        return F.when(mostly, F.concat(F.lit("\n"), F.trim(F.regexp_replace(line, rf"{SPACES}+", " ")))).otherwise(masked)
+
+    return F.zip_with(_masked(lines), lines, one)
+
+
+def _lines(docs: DataFrame, min_words: int, exact_variable: bool) -> DataFrame:
+    """id, hash, no, masked, leaf and key of every line with enough words, blank lines left out."""
+    cut = F.split("text", "\n")
     # masked before the explode: what is exploded is not worked out anew for each column made of it
-    lines = docs.select("id", "hash", F.posexplode(_masked(F.split("text", "\n"))).alias("no", "masked"))
+    lines = docs.select("id", "hash", F.posexplode(_exact(cut) if exact_variable else _masked(cut)).alias("no", "masked"))
     n = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
-    lines = lines.withColumn("n", n).where(F.col("n") >= min_words)
-    return lines.select("id", "hash", "no", "masked", F.xxhash64("n", F.substring_index("masked", " ", DEPTH)).alias("leaf"), F.xxhash64("masked").alias("key"))
+    lines = lines.withColumn("n", n).where((F.col("n") >= min_words) & (F.col("masked") != ""))
+    lead = F.substring_index("masked", " ", DEPTH)
+    lead = F.when(F.col("masked").startswith("\n"), F.col("masked")).otherwise(lead) if exact_variable else lead  # a leaf of its own
+    return lines.select("id", "hash", "no", "masked", F.xxhash64("n", lead).alias("leaf"), F.xxhash64("masked").alias("key"))
 
 
 def _template_lines(lines: DataFrame, weights: DataFrame, limit: int) -> DataFrame:
@@ -72,10 +86,12 @@ def drop_recurring_lines(
     lines_out: str = "n_lines",
     dropped_out: str = "n_dropped",
     broadcast_rows: int = BROADCAST_ROWS,
+    exact_variable: bool = False,
 ) -> DataFrame:
     """All rows and columns of ``docs`` with recurring lines cut from the text, plus the counts of lines and of dropped ones.
 
-    Lines end at line feeds. A line of fewer than ``min_words`` words never goes: short lines are alike by chance. A
+    Lines end at line feeds. A line of fewer than ``min_words`` words never goes, nor does a blank one. With
+    ``exact_variable`` a line whose words are mostly variable recurs only by its exact words; short ones need that. A
     template recurs when ``min_docs`` documents have it; the document with the smallest id keeps its lines (null ids are
     smallest, of equal ids the smaller hash of the text). Rows with one id and text are one document and lose the same
     lines. Null texts stay null with no lines; an empty text is one line. A column that already has an output's name keeps
@@ -84,7 +100,7 @@ def drop_recurring_lines(
     names = {c: free_name(docs, c) for c in ("__id", "__hash", "__drop", lines_out, dropped_out)}
     rows = docs.withColumns({names["__id"]: F.col(id_col), names["__hash"]: F.xxhash64(text_col)})
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
-    lines = _lines(source, min_words)
+    lines = _lines(source, min_words, exact_variable)
     light = staged(lines.drop("masked"), "lines")
     in_docs = light.select("leaf", "key", "id", "hash").distinct()
     shared = in_docs.select("leaf", "id", "hash").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("leaf")

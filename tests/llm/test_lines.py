@@ -81,3 +81,10 @@ def test_long_text_with_many_dropped_lines(docs_of):
     got = {r["doc_id"]: r["text"] for r in drop_recurring_lines(docs_of([(1, "\n".join(lines)), (2, "\n".join(["start", *lines, "end"]))])).collect()}
     assert hashlib.md5(got[1].encode()).digest() == hashlib.md5("\n".join(lines).encode()).digest()
     assert got[2] == "start\nend"
+
+
+def test_indented_lines_are_alike(docs_of):
+    line = "this line of ten words stands in all three documents"
+    rows = [(1, line), (2, f"  {line}\nown"), (3, f"own\n\t{line} \r")]
+    got = {r["doc_id"]: r["text"] for r in drop_recurring_lines(docs_of(rows)).collect()}
+    assert got == {1: line, 2: "own", 3: "own"} == {i: t for (i, _), (t, _) in brute(rows).items()}

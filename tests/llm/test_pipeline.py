@@ -30,6 +30,12 @@ def test_lines_that_go_take_effect(spark, docs_of):
     assert got == {1: f"{line}\none", 2: "two", 4: None, 5: ""}
 
 
+def test_short_lines_that_recur_go(spark, docs_of):
+    texts = ["Home | About\nown words of one\n\n12", "Home | About\nother words of two\n\n13", "MIT License\n\n12", "start\n MIT  License\nend"]
+    got = {r["doc_id"]: r["text"] for r in stage("line_dedup")(spark, docs_of(list(enumerate(texts))), SF).collect()}
+    assert got == {0: texts[0], 1: "other words of two\n\n13", 2: "MIT License\n", 3: "start\nend"}
+
+
 def test_run_is_the_stages_one_after_the_other(spark):
     docs = table(spark, SF, "documents")
     kept = []
