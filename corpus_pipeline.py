@@ -33,7 +33,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines of any length stay in their first document; a document that loses all its words goes."""
     dropped = free_name(docs, "n_dropped")
-    left = line_templates.drop_recurring_lines(docs, min_words=1, dropped_out=dropped, exact_variable=True)
+    left = line_templates.drop_recurring_lines(docs, min_words=1, dropped_out=dropped, exact_variable=True, several=True)
     return left.where((F.col(dropped) == 0) | F.col("text").rlike(line_templates.WORD)).select(docs.columns)
 
 

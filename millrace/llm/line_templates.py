@@ -61,20 +61,64 @@ def _lines(docs: DataFrame, min_words: int, exact_variable: bool) -> DataFrame:
     return lines.select("id", "hash", "no", "masked", F.xxhash64("n", lead).alias("leaf"), F.xxhash64("masked").alias("key"))
 
 
-def _template_lines(lines: DataFrame, weights: DataFrame, limit: int) -> DataFrame:
-    """(leaf, key) of the lines that belong to their leaf's template, in leaves with different lines."""
-    varied = staged(weights.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("leaf"), "varied")
-    texts = semi_join(lines.select("leaf", "key", "masked"), varied, "leaf", limit).dropDuplicates(["leaf", "key"]).join(weights, ["leaf", "key"])
-    words = staged(texts.select("leaf", "key", "docs", F.posexplode(F.split("masked", " ")).alias("pos", "word")), "words")
+def _agreeing(words: DataFrame, group: str, constants: bool) -> DataFrame:
+    """(group, leaf, key, docs) of the lines of each group that agree with the most frequent words of its positions.
+
+    With ``constants`` positions that are variable in both don't count. ``words`` has a row per position of each line."""
     mode = (
-        words.groupBy("leaf", "pos", "word")
+        words.groupBy(group, "pos", "word")
         .agg(F.sum("docs").alias("docs"))
-        .groupBy("leaf", "pos")
+        .groupBy(group, "pos")
         .agg(F.max(F.struct("docs", "word")).alias("most"))
-        .select("leaf", "pos", F.col("most.word").alias("constant"))
+        .select(group, "pos", F.col("most.word").alias("constant"))
     )
-    agreed = words.join(mode, ["leaf", "pos"]).groupBy("leaf", "key").agg(F.sum((F.col("word") == F.col("constant")).cast("long")).alias("same"), F.count(F.lit(1)).alias("n"))
-    return agreed.where(100 * F.col("same") >= AGREE * F.col("n")).select("leaf", "key", F.lit(True).alias("fits"))
+    same = F.col("word") == F.col("constant")
+    counts = ~(same & (F.col("word") == "<*>")) if constants else F.lit(True)
+    by = ["leaf", "key"] if group == "leaf" else [group, "leaf", "key"]
+    agreed = words.join(mode, [group, "pos"]).groupBy(*by).agg(F.sum((same & counts).cast("long")).alias("same"), F.sum(counts.cast("long")).alias("n"), F.first("docs").alias("docs"))
+    return agreed.where(100 * F.col("same") >= AGREE * F.col("n")).select(*by, "docs")
+
+
+def _further_templates(left: DataFrame, constants: bool) -> DataFrame:
+    """(leaf, key, template) of the lines that fit further templates of their leaf; ``left`` has those without one.
+
+    Two lines that agree in four fifths of the positions are equal in one of as many blocks of positions as they may
+    differ in, and one more. So lines with an equal block are a child of the leaf, each child has the template of its own
+    most frequent words, and a line goes to the heaviest that it fits. Lines that are alone with theirs try again among
+    what is left, until no child has two.
+    """
+    words = F.split("masked", " ")
+    left = staged(left.select("leaf", "key", "docs", words.alias("words"), F.floor(F.size(words) * (100 - AGREE) / 100).cast("int").alias("spare")).where(F.size("words") > DEPTH), "left")
+    start = f"{DEPTH} + j * (size(words) - {DEPTH}) div (spare + 1)"
+    end = f"{DEPTH} + (j + 1) * (size(words) - {DEPTH}) div (spare + 1)"
+    blocks = F.expr(f"transform(sequence(0, spare), j -> xxhash64(leaf, j, slice(words, cast({start} + 1 as int), cast(({end}) - ({start}) as int))))")
+    found = None
+    while True:
+        spread = staged(left.select("leaf", "key", F.explode(blocks).alias("child")), "children")
+        shared = spread.groupBy("child").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("child")
+        members = spread.join(shared, "child", "left_semi").join(left, ["leaf", "key"])
+        fits = staged(_agreeing(staged(members.select("child", "leaf", "key", "docs", F.posexplode("words").alias("pos", "word")), "child_words"), "child", constants), "child_fits")
+        weight = fits.groupBy("child").agg(F.sum("docs").alias("weight"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        best = staged(fits.join(weight, "child").groupBy("leaf", "key").agg(F.max(F.struct("weight", "child")).alias("best")).select("leaf", "key", F.col("best.child").alias("template")), "best")
+        several = best.groupBy("template").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("template")
+        new = staged(best.join(several, "template", "left_semi").select("leaf", "key", "template"), "templates")
+        found = new if found is None else found.union(new)
+        if new.isEmpty():
+            return found
+        left = staged(left.join(new, ["leaf", "key"], "left_anti"), "left")
+
+
+def _template_lines(lines: DataFrame, weights: DataFrame, limit: int, several: bool, constants: bool) -> DataFrame:
+    """(leaf, key, template) of the lines that belong to a template of their leaf, in leaves with different lines."""
+    varied = staged(weights.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("leaf"), "varied")
+    texts = semi_join(lines.select("leaf", "key", "masked"), varied, "leaf", limit).dropDuplicates(["leaf", "key"]).join(weights, ["leaf", "key"])
+    texts = staged(texts, "texts") if several else texts
+    words = staged(texts.select("leaf", "key", "docs", F.posexplode(F.split("masked", " ")).alias("pos", "word")), "words")
+    first = _agreeing(words, "leaf", constants).select("leaf", "key", F.lit(0).cast("long").alias("template"))
+    if not several:
+        return first
+    first = staged(first, "first")
+    return first.union(_further_templates(texts.join(first, ["leaf", "key"], "left_anti"), constants))
 
 
 def drop_recurring_lines(
@@ -87,12 +131,13 @@ def drop_recurring_lines(
     dropped_out: str = "n_dropped",
     broadcast_rows: int = BROADCAST_ROWS,
     exact_variable: bool = False,
+    several: bool = False,
 ) -> DataFrame:
     """All rows and columns of ``docs`` with recurring lines cut from the text, plus the counts of lines and of dropped ones.
 
     Lines end at line feeds. A line of fewer than ``min_words`` words never goes, nor does a blank one. With
-    ``exact_variable`` a line whose words are mostly variable recurs only by its exact words; short ones need that. A
-    template recurs when ``min_docs`` documents have it; the document with the smallest id keeps its lines (null ids are
+    ``exact_variable`` a line whose words are mostly variable recurs only by its exact words; short ones need that. With
+    ``several`` lines that do not fit their leaf's template may have further ones in common. A template recurs when ``min_docs`` documents have it; the document with the smallest id keeps its lines (null ids are
     smallest, of equal ids the smaller hash of the text). Rows with one id and text are one document and lose the same
     lines. Null texts stay null with no lines; an empty text is one line. A column that already has an output's name keeps
     it, and the output's gets underscores in front. An empty table gives no rows.
@@ -106,8 +151,8 @@ def drop_recurring_lines(
     shared = in_docs.select("leaf", "id", "hash").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("leaf")
     candidates = staged(light.join(shared, "leaf", "left_semi"), "candidates")
     weights = staged(candidates.select("leaf", "key", "id", "hash").distinct().groupBy("leaf", "key").agg(F.count(F.lit(1)).alias("docs")), "weights")
-    fitting = _template_lines(lines, weights, broadcast_rows)
-    placed = candidates.join(fitting, ["leaf", "key"], "left").select("id", "hash", "no", "leaf", F.when(F.col("fits"), F.lit(0)).otherwise(F.col("key")).alias("template"), F.coalesce("fits", F.lit(False)).alias("fits"))
+    fitting = _template_lines(lines, weights, broadcast_rows, several, False)
+    placed = candidates.join(fitting, ["leaf", "key"], "left").select("id", "hash", "no", "leaf", F.coalesce("template", "key").alias("template"), F.col("template").isNotNull().alias("fits"))
     placed = staged(placed, "placed")
     same = ["leaf", "template", "fits"]
     recurring = placed.select(*same, "id", "hash").distinct().groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "hash")).alias("first")).where(F.col("n") >= min_docs)

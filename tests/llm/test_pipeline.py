@@ -36,6 +36,13 @@ def test_short_lines_that_recur_go(spark, docs_of):
     assert got == {0: texts[0], 1: "other words of two\n\n13", 2: "MIT License\n", 3: "start\nend"}
 
 
+def test_leaf_with_several_templates(spark, docs_of):
+    families = ["there was a login by {} from the office today", "there was a crash in {} during our nightly run", "there was a parcel left {} beside that old door"]
+    texts = [f.format(w) for w in ("ann", "bob", "eve") for f in families] + ["there was a line that nothing else here resembled"]
+    got = {r["doc_id"]: r["text"] for r in stage("line_dedup")(spark, docs_of([(i, t + f"\nkept{chr(97 + i)}") for i, t in enumerate(texts)]), SF).collect()}
+    assert got == {i: f"{t}\nkept{chr(97 + i)}" if i in (0, 1, 2, 9) else f"kept{chr(97 + i)}" for i, t in enumerate(texts)}
+
+
 def test_run_is_the_stages_one_after_the_other(spark):
     docs = table(spark, SF, "documents")
     kept = []
