@@ -136,8 +136,8 @@ def drop_recurring_lines(
     """All rows and columns of ``docs`` with recurring lines cut from the text, plus the counts of lines and of dropped ones.
 
     Lines end at line feeds. A line of fewer than ``min_words`` words never goes, nor does a blank one. With
-    ``exact_variable`` a line whose words are mostly variable recurs only by its exact words; short ones need that. With
-    ``several`` lines that do not fit their leaf's template may have further ones in common. A template recurs when ``min_docs`` documents have it; the document with the smallest id keeps its lines (null ids are
+    ``exact_variable`` a line whose words are mostly variable recurs only by its exact words, and others agree by
+    their constant words; short ones need that. With ``several`` lines that do not fit their leaf's template may have further ones in common. A template recurs when ``min_docs`` documents have it; the document with the smallest id keeps its lines (null ids are
     smallest, of equal ids the smaller hash of the text). Rows with one id and text are one document and lose the same
     lines. Null texts stay null with no lines; an empty text is one line. A column that already has an output's name keeps
     it, and the output's gets underscores in front. An empty table gives no rows.
@@ -151,7 +151,7 @@ def drop_recurring_lines(
     shared = in_docs.select("leaf", "id", "hash").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("leaf")
     candidates = staged(light.join(shared, "leaf", "left_semi"), "candidates")
     weights = staged(candidates.select("leaf", "key", "id", "hash").distinct().groupBy("leaf", "key").agg(F.count(F.lit(1)).alias("docs")), "weights")
-    fitting = _template_lines(lines, weights, broadcast_rows, several, False)
+    fitting = _template_lines(lines, weights, broadcast_rows, several, exact_variable)
     placed = candidates.join(fitting, ["leaf", "key"], "left").select("id", "hash", "no", "leaf", F.coalesce("template", "key").alias("template"), F.col("template").isNotNull().alias("fits"))
     placed = staged(placed, "placed")
     same = ["leaf", "template", "fits"]
