@@ -2,7 +2,7 @@
 
 A payload names few schemas, and many payloads name the same ones. So the distinct sets of names are joined with the
 registry table, and each payload gets the schemas of its set as the map column ``reg``. The registry may have any number
-of rows; neither it nor the sets are gathered anywhere.
+of rows; the sets' schemas are broadcast only where their documents are few bytes in all.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from millrace.sources.registry import Rules, describe
 
 REG = "MAP<STRING, STRUCT<document: STRING, fields: ARRAY<STRING>, is_object: BOOLEAN, invalid: STRING>>"
 NO_REG = f"CAST(map() AS {REG})"
+REG_BYTES = "aggregate(map_values(reg), 0L, (n, e) -> n + coalesce(octet_length(e.document), 0))"
 
 
 def named_uris(rules: Rules) -> str:
@@ -47,7 +48,7 @@ def with_registry(df: DataFrame, rules: Rules, config: PipelineConfig) -> DataFr
     found = wanted.join(describe(held), "uri").groupBy("_named")
     entry = F.struct("uri", F.struct("document", "fields", "is_object", "invalid"))
     maps = found.agg(F.map_from_entries(F.collect_list(entry)).cast(REG).alias("reg"))  # as many as a payload names
-    return lookup_join(df, maps, ["_named"], config).withColumn("reg", F.expr(f"coalesce(reg, {NO_REG})")).drop("_named")
+    return lookup_join(df, maps, ["_named"], config, REG_BYTES).withColumn("reg", F.expr(f"coalesce(reg, {NO_REG})")).drop("_named")
 
 
 OPEN_DOCUMENT = "STRUCT<document: STRING, data: STRING>"

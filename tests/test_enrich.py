@@ -321,3 +321,16 @@ def test_bearer_claims_are_taken_as_they_stand(spark, make_raw, key):
     raw = make_raw({"qs": "e=pv&url=x", "headers": [f"authorization: Bearer {token}"]})
     config = PipelineConfig(auth_enabled=True, auth_public_key=key[2], auth_audience="o'hare", auth_claim="https://claims.example/org.user")
     assert with_auth_subject(raw, config).first().collector_auth == "u'1"
+
+
+def test_large_documents_are_not_broadcast(spark, config):
+    from pyspark.sql import functions as F
+
+    from millrace.operators import lookup, schemas
+
+    facts = spark.createDataFrame([(["a"],), (["b"],), (["c"],)], "_named array<string>")
+    entry = "named_struct('document', repeat('x', 1000), 'fields', array('f'), 'is_object', true, 'invalid', null)"
+    table = facts.limit(2).select("_named", F.expr(f"CAST(map(_named[0], {entry}) AS {schemas.REG})").alias("reg"))
+    found = [lookup.lookup_join(facts, table, ["_named"], config, schemas.REG_BYTES, n) for n in (2000, 1999)]
+    assert [d._jdf.queryExecution().analyzed().toString().count("broadcast") for d in found] == [1, 0]
+    assert sorted(map(str, found[0].collect())) == sorted(map(str, found[1].collect()))
