@@ -82,8 +82,3 @@ def make_raw(spark):
         return spark.createDataFrame(rows, RAW)
 
     return make
-
-
-def value(spark, sql):
-    """Result of one SQL expression."""
-    return spark.sql(f"SELECT {sql} AS r").first().r

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import value
+from sqlvalue import value
 
 from millrace.functions.schema_checker import Checker, read_document
 from millrace.functions import iglu, jsonschema, net, text
