@@ -20,6 +20,51 @@ def test_language_by_words_then_shorter_grams():
     assert language.WordBackoff({}).predict(["text"]) == [("und", 0.0)]
 
 
+def backoff(counts, words):
+    """Scores by language of each word, from dictionaries of words and n-grams and one word after the other."""
+    languages = sorted(counts)
+    marked = lambda w, n: f"<{w}>" if n > 1 else w
+    grams = lambda w, n: [marked(w, n)[i : i + n] for i in range(len(marked(w, n)) - n + 1)]
+    cut = lambda n: [sum((Counter({g: 1}) for w, times in counts[lang].items() for _ in range(times) for g in (grams(w, n) if n else [w])), Counter()) for lang in languages]
+    scores = {}
+    for n in (0, *language.GRAMS):
+        parts = cut(n)
+        entries = set().union(*parts)
+        scores[n] = {e: [math.log(c[e] + 0.5) - math.log(max(sum(c.values()) + 0.5 * len(entries), 0.5)) for c in parts] for e in entries}
+    out = []
+    for w in words:
+        for n in (0, *language.GRAMS):
+            found = [scores[n][g] for g in (grams(w, n) if n else [w]) if g in scores[n]]
+            if found:
+                out.append([sum(x) / len(found) for x in zip(*found)])
+                break
+        else:
+            out.append([0.0] * len(languages))
+    return out
+
+
+def test_language_scores_against_dictionaries(spark, docs_of, monkeypatch):
+    counts = {"aa": Counter({"house": 3, "the": 5, "über": 1, "日本": 2}), "bb": Counter({"haus": 2, "der": 4, "the": 1, "x": 1}), "cc": Counter()}
+    words = ["the", "hou", "houses", "derhaus", "日", "本日本", "q", "x", "xx", "ü", "日本語の長い", "𐐷"] + ["thed" * 50]
+    monkeypatch.setattr(language, "STRETCH", 7)
+    want = backoff(counts, words)
+    assert np.allclose(language.WordBackoff(counts).scored(words), want, atol=1e-5)
+    rows = [(i, " ".join(w for w, n in counts[lang].items() for _ in range(n)), lang) for i, lang in enumerate(counts)]
+    fitted = language.fit(docs_of(rows))  # the same counts, made in tasks
+    assert fitted.languages == ["aa", "bb", "cc"] and np.allclose(fitted.scored(words), want, atol=1e-5)
+    text = "the houses 12 q. derhaus, xx 日本語!"
+    sums = np.sum(backoff(counts, ["the", "houses", "q", "derhaus", "xx", "日本語"]), axis=0)
+    shares = np.exp((sums - sums.max()) / math.sqrt(6))
+    (lang, score), = fitted.predict([text])
+    assert lang == fitted.languages[int(sums.argmax())] and abs(score - shares.max() / shares.sum()) < 1e-4
+
+
+def test_numbers_and_signs_are_no_letters():
+    model = language.WordBackoff({"en": Counter({"the": 9}), "de": Counter({"der": 9})})
+    assert model.predict(["²", "½ ①", "Ⅷ", "٣", "__"]) == [("und", 0.0)] * 5
+    assert model.predict(["²the½"])[0][0] == "en"
+
+
 def test_languages_held_out(spark):
     got = language.op8_language_id(spark, SF).join(table(spark, SF, "documents").select("doc_id", "lang"), "doc_id").collect()
     assert len(got) == 1000
