@@ -28,9 +28,8 @@ def shared_dir(spark: SparkSession) -> str:
         return found.rstrip("/")
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
