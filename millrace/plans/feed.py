@@ -250,7 +250,8 @@ def raw_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         f"concat('{{\"schema\":\"{PAYLOAD}\",\"data\":[', array_join(concat(array(to_json({head})),"
         " coalesce(items, array())), ','), ']}')"
     )
-    return orders.join(lines, F.expr("o_orderkey = l_orderkey"), "left").selectExpr(
+    # never broadcast: the lines grow with the orders, and what follows needs the shuffle's partitions
+    return orders.join(lines.hint("shuffle_merge"), F.expr("o_orderkey = l_orderkey"), "left").selectExpr(
         "'CollectorPayload' AS schema",
         "concat('192.168.', o_custkey % 200, '.1') AS ipAddress",
         "unix_millis(CAST(o_orderdate AS TIMESTAMP)) AS timestamp",
