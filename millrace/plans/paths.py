@@ -23,7 +23,7 @@ from millrace.operators.enrich import Dimensions, Enrichment, process_raw, to_at
 from millrace.operators.errors import reason, to_errors, undecodable_to_errors
 from millrace.operators.geo import with_geo
 from millrace.plans import feed
-from millrace.plans.queries import _EXPECTED_EVENTS, _NUMBER, CONFIG, _atomic, _raw, feed_rules, query, scratch_dir
+from millrace.plans.queries import _EXPECTED_EVENTS, _NUMBER, CONFIG, _atomic, _raw, feed_rules, query
 from millrace.sources import codecs
 from millrace.sources.registry import Rules, builtin_documents, load_rules, registry_table, resolve
 from millrace.sources.store import read_atomic, write_atomic
@@ -431,6 +431,27 @@ def geo_wide_ranges(spark, sf):
     return with_geo(rows, narrow.unionByName(six).unionByName(wide), CONFIG).select("event_id", "geo_country")
 
 
+@query("""
+WITH r AS (SELECT o_orderkey % 1048576 AS k, max('o' || o_orderkey) AS country FROM orders GROUP BY 1)
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CASE WHEN event_id % 256 < 128 THEN 'low' END ELSE coalesce(country, 'net') END AS geo_country
+FROM events LEFT JOIN r ON event_id % 3 > 0 AND k = event_id * 7 % 1048576
+""")
+def geo_dense_ranges(spark, sf):
+    """A network for each order, all inside one, and a third of the events from one network: swept, not sent to tasks."""
+    block = "concat('2001:db8:', hex({0} div 16), ':', hex({0} % 16), '{1}')".format
+    key = "(o_orderkey % 1048576)"
+    dense = feed.table(spark, sf, "orders").selectExpr(
+        f"{block(key, '000::')} AS start_ip", f"{block(key, 'fff:ffff:ffff:ffff:ffff')} AS end_ip", "concat('o', o_orderkey) AS country", "'r' AS region", "'c' AS city",
+    )
+    wide = spark.sql(
+        "SELECT * FROM VALUES ('2001:db8::', '2001:db8:ffff:ffff:ffff:ffff:ffff:ffff', 'net', 'r', 'c'),"
+        " ('203.0.113.0', '203.0.113.127', 'low', 'r', 'c') AS t(start_ip, end_ip, country, region, city)"
+    )
+    address = f"IF(event_id % 3 = 0, concat('203.0.113.', event_id % 256), {block('(event_id * 7 % 1048576)', '123::5')})"
+    rows = feed.table(spark, sf, "events").selectExpr("event_id", f"{address} AS address")
+    return with_geo(rows, dense.unionByName(wide), CONFIG, sent_bytes=0).select("event_id", "geo_country")
+
+
 @query("""
 SELECT event_id, 'w' || event_id % 11 AS kept, 2::BIGINT AS sent FROM events
 """)

@@ -5,8 +5,6 @@ The SQL never goes through a payload: it states what the feed put in and what th
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,6 +18,7 @@ from millrace.operators.errors import outcome_counts, to_errors
 from millrace.operators.extract import campaign_params
 from millrace.operators.requests import requests_to_raw, sized_payloads
 from millrace.operators.shred import FieldTransformation, flatten_atomic, typed_data
+from millrace.operators.staging import scratch_dir
 from millrace.plans import feed
 from millrace.session import configure
 from millrace.sources import codecs
@@ -818,16 +817,6 @@ def error_json_round_trip(spark, sf):
     )
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder; only a local session may do without one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and spark.sparkContext.master.startswith("local["):
-        shared = tempfile.gettempdir()
-    if not shared:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{shared.rstrip('/')}/millrace-{uuid.uuid4().hex}"
-
-
 @query(f"""
 WITH x AS ({_EXPECTED_EVENTS})
 SELECT event_name, count(*) AS n, count(DISTINCT event_id) AS payloads FROM x GROUP BY 1

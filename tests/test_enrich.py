@@ -9,7 +9,7 @@ from millrace import PipelineConfig
 from millrace.operators.auth import rsa_numbers, signature_holds, with_auth_subject
 from millrace.operators.enrich import Dimensions, Enrichment, context_data, enrich_raw, process_raw, to_atomic
 from millrace.operators.errors import outcome_counts, to_errors
-from millrace.operators.geo import DIGITS, geo_blocks, with_geo
+from millrace.operators.geo import groups_of, with_geo
 from millrace.operators.lookup import lookup_join
 from millrace.plans.feed import CONTEXTS, LINK_CLICK, PAYLOAD, SESSION, UNSTRUCT, WEB_PAGE
 
@@ -194,19 +194,75 @@ def test_geo_without_broadcast(spark):
 
 
 def test_wide_and_nested_ranges(spark):
-    """Whatever their width, ranges are few rows; the innermost one counts and no row is multiplied."""
+    """The innermost range counts and no row is multiplied."""
     schema = "start_ip string, end_ip string, country string, region string, city string"
     ranges = [("0.0.0.0", "127.255.255.255", "low", "r", "c"), ("10.0.0.0", "10.255.255.255", "ten", "r", "c"), ("10.1.0.0", "10.1.255.255", "in", "r", "c"), ("10.1.0.7", "10.1.0.7", "one", "r", "c")]
     ranges += [("::", "ffff:ffff:ffff:ffff:ffff:ffff:ffff:ffff", "all6", "r", "c"), ("2000::", "3fff:ffff:ffff:ffff:ffff:ffff:ffff:ffff", "third", "r", "c"), ("2001:db8:1::", "2001:db8:1:ffff::", "doc", "r", "c")]
     ranges += [("9.0.0.9", "9.0.0.1", "turned", "r", "c"), ("x", "1.1.1.1", "bad", "r", "c"), ("10.0.0.0", "10.255.255.255", "ten", "r", "c")]
     table = spark.createDataFrame(ranges, schema)
-    assert sum(geo_blocks(table, d).count() for d in DIGITS) < 2000
     want = {"1.2.3.4": "low", "10.200.0.1": "ten", "10.1.3.4": "in", "10.1.0.7": "one", "10.1.0.8": "in", "200.0.0.1": None, "9.0.0.5": "low", "::1": "all6", "2002::1": "third", "2001:db8:1:5::": "doc", "2001:db8:2::": "third", "ffff::": "all6"}
     rows = spark.createDataFrame([(ip,) for ip in want], "address string")
     for config in (PipelineConfig(), PipelineConfig(broadcast_limit_rows=0)):
         assert sorted(map(tuple, with_geo(rows, table, config).select("address", "geo_country").collect()), key=str) == sorted(want.items(), key=str)
 
 
+def _address(number, six):
+    text = f"{number:032X}"
+    return ":".join(text[i : i + 4] for i in range(0, 32, 4)) if six else ".".join(str(number >> s & 255) for s in (24, 16, 8, 0))
+
+
+@pytest.mark.parametrize("six", [False, True])
+def test_ranges_against_all_pairs(spark, six):
+    """Dense, nested, overlapping, equal and covering ranges, by the sweep and sent to tasks, against each range tried."""
+    rng = random.Random(5 + six)
+    top = 2**128 if six else 2**32
+    base = 0x20010DB8 << 96 if six else 10 << 24
+    ranges = [(0, top - 1, "all", None, "c"), (base, base + 60_000, "net", "r", None), (base, base + 60_000, "net", None, None), (base + 5, base + 60_000, None, "r", "c")]
+    for i in range(1500):
+        lo = base + rng.randrange(60_000)
+        ranges.append((lo, lo + rng.choice([0, 1, 15, 15, 900, 40_000]), f"x{i % 700}", "r", f"c{i % 3}"))
+    ranges += [(base + 40 * i, base + 40 * i + 39, f"d{i}", "r", "c") for i in range(1000)] + ranges[:40]
+    numbers = [base + rng.randrange(70_000) for _ in range(2500)] + [base + 1] * 400 + [r[0] for r in ranges[:300]] + [r[1] for r in ranges[:300]] + [0, 7, top - 1]
+    table = spark.createDataFrame([(_address(a, six), _address(b, six), *g) for a, b, *g in ranges], "start_ip string, end_ip string, country string, region string, city string").repartition(4)
+    rows = spark.createDataFrame([(_address(n, six),) for n in numbers] + [(None,), ("x",)], "address string").repartition(3)
+    order = lambda r: (r[0], -r[1], *[(g is not None, g or "") for g in r[2:]])
+    ordered = sorted(ranges, key=order, reverse=True)
+    want = {n: next((r[2:] for r in ordered if r[0] <= n <= r[1]), (None, None, None)) for n in set(numbers)}
+    want = sorted([(_address(n, six), *want[n]) for n in numbers] + [(None,) * 4, ("x", None, None, None)], key=str)
+    assert len({w[1:] for w in want}) > 100
+    for sent in (0, 1 << 30):
+        found = with_geo(rows, table, PipelineConfig(), sent_bytes=sent)
+        assert sorted(map(tuple, found.select("address", "geo_country", "geo_region", "geo_city").collect()), key=str) == want
+
+
+def test_no_task_of_the_sweep_holds_all_ranges(spark):
+    """Ranges inside one network, each inside the one before: every partition gets about its share of the rows."""
+    ranges = spark.range(40_000).selectExpr(
+        "concat('10.', id div 65536, '.', id div 256 % 256, '.', id % 256) AS start_ip", "concat('10.255.', 255 - id div 256 % 256, '.', 255 - id % 256) AS end_ip",
+        "CAST(id AS STRING) AS country", "'r' AS region", "'c' AS city",
+    )
+    rows = spark.range(3000).selectExpr("concat('10.', id % 7, '.', id div 12 % 256, '.', id % 256) AS address")
+    small = sorted(map(tuple, with_geo(rows, ranges, PipelineConfig(), sent_bytes=1 << 30).collect()))
+    large = with_geo(rows, ranges, PipelineConfig(), sent_bytes=0)
+    assert sorted(map(tuple, large.collect())) == small
+
+
+@pytest.mark.parametrize("first,last", [(0, 0), (1, 1), (3, 2), (0, 7), (1, 6), (5, 22), (1, 1000)])
+def test_groups_of_partitions(first, last):
+    found = groups_of(first, last)
+    assert sorted(p for size, number in found for p in range(number << size, (number + 1) << size)) == list(range(first, last + 1))
+    assert len(found) <= 20
+
+
+@pytest.mark.parametrize("sent", [0, 1 << 20])
+def test_no_ranges_and_no_addresses(spark, sent):
+    schema = "start_ip string, end_ip string, country string, region string, city string"
+    none, one = spark.createDataFrame([], schema), spark.createDataFrame([("1.0.0.0", "1.0.0.9", "a", "b", "c")], schema)
+    rows = spark.createDataFrame([("1.0.0.1",)], "address string")
+    assert with_geo(rows, none, PipelineConfig(), sent_bytes=sent).first()["geo_country"] is None
+    assert with_geo(rows.limit(0), one, PipelineConfig(), sent_bytes=sent).collect() == []
+
+
 def test_host_config(spark, make_raw, config, rules):
     hosts = spark.createDataFrame([("full", True, False)], "hostname string, enable_full_ip boolean, enable_cookies boolean")
     raw = make_raw({"qs": "e=pv&url=x", "host": "full"}, {"qs": "e=pv&url=x", "host": "other"})
