@@ -12,6 +12,7 @@ from millrace.config import PipelineConfig
 from millrace.functions.sqltext import first_not_null, lit
 from millrace.model import ATOMIC, ATOMIC_COLUMNS, RAW_COLUMNS
 from millrace.operators import extract
+from millrace.operators.agents import with_agents
 from millrace.operators.auth import with_auth_subject
 from millrace.operators.errors import NO_ERROR, error, to_errors, value_error
 from millrace.operators.geo import with_geo, without_geo
@@ -72,6 +73,7 @@ class Dimensions:
     geo_ranges: DataFrame | None = None  # start_ip, end_ip, country, region, city
     host_config: DataFrame | None = None  # hostname, enable_full_ip, enable_cookies
     issuer_keys: DataFrame | None = None  # issuer, issuer_key
+    agent_rules: DataFrame | None = None  # kind, ord, pattern, family, major; without it the built-in rules count
     enrichments: Sequence[Enrichment] = field(default_factory=tuple)
 
 
@@ -99,10 +101,13 @@ def process_raw(
     if rules.looks_up:
         df = with_registry(df, rules, config)
     df = extract.with_items(df, rules)
+    agents = config.device_enabled and dims.agent_rules is not None
+    if agents:
+        df = with_agents(df, dims.agent_rules, config)
     df = extract.with_schema(df, config)
     df = extract.with_event_data(df, rules, config)
     df = extract.with_contexts(df, rules)
-    df = extract.with_derived_contexts(df, config)
+    df = extract.with_derived_contexts(df, config, agents)
     df = extract.with_atomic(df, config)
     df = with_enrichments(df, dims.enrichments)
     first_item_error = first_not_null("items.err")

@@ -391,20 +391,22 @@ def bad_url(url: str) -> str:
     )
 
 
-def device_params(params: str) -> str:
-    """Screen, viewport and user agent values; NULL when there are none."""
+def device_params(params: str, agents: bool = False) -> str:
+    """Screen, viewport and user agent values; NULL when there are none. With ``agents`` the payload's map of that name tells
+    of the user agents, else the built-in rules do."""
     sizes = (
         f"map_filter(map('screen_resolution', {params}['res'], 'viewport_resolution', {params}['vp']),"
         " (k, v) -> v IS NOT NULL)"
     )
-    agent = f"coalesce({net.user_agent_info(f'{params}[\'ua\']')}, {EMPTY_MAP})"
+    told = f"agents[{params}['ua']]" if agents else net.user_agent_info(f"{params}['ua']")
+    agent = f"coalesce({told}, {EMPTY_MAP})"
     return let(f"map_concat({sizes}, {agent})", "dm", "CASE WHEN size(dm) > 0 THEN dm END")
 
 
-def with_derived_contexts(df: DataFrame, config: PipelineConfig) -> DataFrame:
+def with_derived_contexts(df: DataFrame, config: PipelineConfig, agents: bool = False) -> DataFrame:
     """Append the campaign and device contexts; a schema the tracker already sent is an error."""
     campaign = campaign_params("pu") if config.campaign_enabled else "CAST(NULL AS MAP<STRING, STRING>)"
-    device = device_params("it.params") if config.device_enabled else "CAST(NULL AS MAP<STRING, STRING>)"
+    device = device_params("it.params", agents) if config.device_enabled else "CAST(NULL AS MAP<STRING, STRING>)"
     campaign_uri = iglu.builtin_uri(config.schema_vendor, "campaign_attribution")
     device_uri = iglu.builtin_uri(config.schema_vendor, "device_info")
     wrong_url = let(page_url(), "pu", bad_url("pu")) if config.campaign_enabled else "false"

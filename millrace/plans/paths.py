@@ -23,7 +23,7 @@ from millrace.operators.enrich import Dimensions, Enrichment, process_raw, to_at
 from millrace.operators.errors import reason, to_errors, undecodable_to_errors
 from millrace.operators.geo import with_geo
 from millrace.plans import feed
-from millrace.plans.queries import _EXPECTED_EVENTS, _NUMBER, CONFIG, _atomic, _raw, feed_rules, query
+from millrace.plans.queries import _EXPECTED_EVENTS, _NUMBER, CONFIG, DEVICE, _atomic, _context, _raw, feed_rules, query
 from millrace.sources import codecs
 from millrace.sources.registry import Rules, builtin_documents, load_rules, registry_table, resolve
 from millrace.sources.store import read_atomic, write_atomic
@@ -431,6 +431,43 @@ def geo_wide_ranges(spark, sf):
     return with_geo(rows, narrow.unionByName(six).unionByName(wide), CONFIG).select("event_id", "geo_country")
 
 
+_AGENT_RULES = """rules AS (
+  SELECT 'browser' AS kind, c_custkey AS ord, 'Client' || c_custkey || '/([0-9]+)[.]([0-9]+)' AS pattern, c_name AS family, '$1' AS major FROM customer
+  UNION ALL SELECT 'browser', 1000000000, 'Client([0-9]+)/([0-9]+)', 'Client $1', '$2'
+  UNION ALL SELECT 'browser', 1000000001, '^(?:x|y)+$', 'Letters', NULL
+  UNION ALL SELECT 'os', n_nationkey, '; N' || n_nationkey || '(;|$)', n_name, NULL FROM nation
+  UNION ALL SELECT 'device', r_regionkey, ' R' || r_regionkey || '$', r_name, '7' FROM region)"""
+_AGENT = """CASE WHEN event_id % 3 = 0 THEN 'Client5/7.0 (X; N3; R1' WHEN event_id % 7 = 0 THEN 'xyx' WHEN event_id % 7 = 1 THEN 'none'
+  ELSE 'Client' || (user_id % 60 * 50) || '/' || (user_id % 9) || '.1 (X; N' || (user_id % 30) || '; R' || (user_id % 8) END"""
+
+
+@query(f"""
+WITH {_AGENT_RULES}, e AS (SELECT event_id, {_AGENT} AS ua FROM events), agents AS (SELECT DISTINCT ua FROM e),
+fits AS (SELECT ua, kind, arg_min(struct_pack(p := pattern, f := family, m := major), ord) AS r FROM agents JOIN rules ON regexp_matches(ua, pattern) GROUP BY ua, kind),
+told AS (
+  SELECT ua, max(kind) AS _, max(replace(r.f, '$1', regexp_extract(ua, r.p, 1))) FILTER (kind = 'browser') AS browser,
+    max(CASE r.m WHEN '$1' THEN regexp_extract(ua, r.p, 1) WHEN '$2' THEN regexp_extract(ua, r.p, 2) END) FILTER (kind = 'browser') AS version,
+    max(r.f) FILTER (kind = 'os') AS os, max(r.f) FILTER (kind = 'device') AS device
+  FROM fits GROUP BY ua)
+SELECT event_id, CASE WHEN told.ua IS NOT NULL THEN coalesce(browser, 'Other') END AS browser, version, CASE WHEN told.ua IS NOT NULL THEN coalesce(os, 'Other') END AS os,
+  CASE WHEN told.ua IS NOT NULL THEN coalesce(device, 'Other') END AS device
+FROM e LEFT JOIN told USING (ua)
+""")
+def agent_rules(spark, sf):
+    """A rule for each customer and general ones after them; a third of all events have one agent."""
+    for name in ("customer", "nation", "region"):
+        feed.table(spark, sf, name).createOrReplaceTempView(name)
+    rules = spark.sql(f"WITH {_AGENT_RULES} SELECT kind, ord, pattern, family, major FROM rules")
+    views = feed.spread(feed.table(spark, sf, "events")).selectExpr(
+        "'CollectorPayload' AS schema", "'10.0.0.7' AS ipAddress", "0L AS timestamp", "'UTF-8' AS encoding", "'feed-1' AS collector", f"{_AGENT} AS userAgent", "CAST(NULL AS STRING) AS refererUri", "'/i' AS path",
+        "concat('e=pv&p=web&url=u&eid=ev-', event_id) AS querystring", "CAST(NULL AS BINARY) AS body", "array('Host: h') AS headers", "CAST(NULL AS STRING) AS contentType", "'h' AS hostname", "'n' AS networkUserId",
+    )
+    dims = Dimensions(agent_rules=rules)
+    events = to_atomic(process_raw(views.select(*RAW_COLUMNS), CONFIG, feed_rules(), dims), CONFIG, dims)
+    told = events.selectExpr(f"{_NUMBER} AS event_id", f"from_json({_context(DEVICE)}, 'MAP<STRING, STRING>') AS d")
+    return told.selectExpr("event_id", "d['browser_family'] AS browser", "d['browser_version'] AS version", "d['os_family'] AS os", "d['device_family'] AS device")
+
+
 @query("""
 WITH r AS (SELECT o_orderkey % 1048576 AS k, max('o' || o_orderkey) AS country FROM orders GROUP BY 1)
 SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CASE WHEN event_id % 256 < 128 THEN 'low' END ELSE coalesce(country, 'net') END AS geo_country
