@@ -19,6 +19,7 @@ from millrace.functions import net
 from millrace.functions.sqltext import lit
 from millrace.model import ATOMIC_COLUMNS, RAW_COLUMNS
 from millrace.operators.auth import with_auth_subject
+from millrace.operators.carry import SLICE_ROWS, ordered, with_last, with_sessions
 from millrace.operators.enrich import Dimensions, Enrichment, process_raw, to_atomic
 from millrace.operators.errors import reason, to_errors, undecodable_to_errors
 from millrace.operators.geo import with_geo
@@ -208,6 +209,31 @@ def header_maps(spark, sf):
     return m.selectExpr("event_id", "m['User-Agent'] AS agent", "m['X-Twice'] AS twice", "m['a.b'] AS odd", "CAST(size(m) AS BIGINT) AS n")
 
 
+@query("""
+SELECT event_id % 8 AS kind, count(*) AS n, count(*) FILTER (event_id % 8 = 0) AS events, count(*) FILTER (event_id % 8 > 0) AS dead FROM events GROUP BY 1
+""")
+def hostile_messages(spark, sf):
+    """Thrift messages that break the format in several ways are dead letters and leave the others alone."""
+    raw = feed.raw_from_events(feed.spread(feed.table(spark, sf, "events")))
+    # added before the mark of the record's end
+    added = (
+        "CASE kind WHEN 2 THEN unhex('0B015E000000026162') WHEN 3 THEN unhex('0F01900B00000000') WHEN 4 THEN unhex('0F015E08000000020000000100000002')"
+        " WHEN 5 THEN unhex(concat('0F00090F00000001', repeat('0F00000001', 3000))) WHEN 6 THEN unhex('0800C800000002') WHEN 7 THEN unhex('0B019000000001FF') ELSE unhex('') END"
+    )
+    body = "substring(value, 1, IF(kind = 1, octet_length(value) div 2, octet_length(value) - 1))"
+    kinds = raw.selectExpr(f"{codecs.raw_thrift()} AS value", "CAST(split(ipAddress, '[.]')[2] AS BIGINT) % 8 AS kind")
+    messages = kinds.selectExpr("kind", f"concat({body}, {added}, IF(kind = 1, unhex(''), unhex('00'))) AS value")
+    # the kind is the event's number modulo 256, modulo 8, which the message's address carries
+    read = codecs.decode_messages(messages, "thrift")
+    dead = undecodable_to_errors(read.where("err IS NOT NULL")).select(F.col("payload").alias("value"))
+    counts = messages.groupBy("kind", F.md5("value").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    seen = read.where("err IS NULL").select(F.md5("value").alias("name"), F.lit(1).alias("events"), F.lit(0).alias("dead")).unionByName(
+        dead.select(F.md5("value").alias("name"), F.lit(0).alias("events"), F.lit(1).alias("dead"))
+    )
+    by_name = seen.groupBy("name").agg(F.sum("events").alias("events"), F.sum("dead").alias("dead"))
+    return counts.join(by_name, "name").groupBy("kind").agg(F.sum("n").alias("n"), F.sum("events").alias("events"), F.sum("dead").alias("dead"))
+
+
 # --- Registry and validation ------------------------------------------------------------------------
 
 
@@ -625,14 +651,46 @@ SELECT p.event_id, (SELECT max(v.event_id) FROM v WHERE v.user_id = p.user_id AN
   SELECT max(w.ts) FROM v w WHERE w.user_id = p.user_id AND w.ts <= p.ts)) AS last_view FROM p
 """)
 def last_view_before_purchase(spark, sf):
-    """As-of join: each purchase with the user's last view up to then, by one window over both."""
-    rows = _atomic(spark, sf).where("event_name IN ('page_view', 'transaction')")
-    rows = rows.selectExpr("network_userid AS usr", "collector_tstamp AS at", "event_name", f"{_NUMBER} AS id", "IF(event_name = 'page_view', 0, 1) AS kind")
-    order = Window.partitionBy("usr").orderBy("at", "kind", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = rows.withColumn("last_view", F.last(F.when(F.col("kind") == 0, F.col("id")), ignorenulls=True).over(order))
+    """As-of join: each purchase with the user's last view up to then, both in one order."""
+    return _last_views(_atomic(spark, sf), "network_userid", SLICE_ROWS)
+
+
+def _last_views(atomic: DataFrame, user: str, slice_rows: int) -> DataFrame:
+    rows = atomic.where("event_name IN ('page_view', 'transaction')").selectExpr(
+        f"{user} AS usr", "unix_micros(collector_tstamp) AS at", f"{_NUMBER} AS id", "IF(event_name = 'page_view', 0, 1) AS kind", f"IF(event_name = 'page_view', {_NUMBER}, NULL) AS view"
+    )
+    seen = with_last(ordered(rows, "usr", "at", ["kind", "id"], CONFIG, slice_rows, 60_000_000), "view", "last_view")
     return seen.where("kind = 1").selectExpr("id AS event_id", "last_view")
 
 
+_HOT_USER = "IF({0} % 3 = 0, 'hot', 'n' || {1})"
+
+
+@query("""
+WITH e AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE 'n' || user_id END AS usr, ts, event_type FROM events WHERE event_type IN ('view', 'purchase'))
+SELECT event_id, last_view FROM (
+  SELECT event_id, event_type, last_value(CASE WHEN event_type = 'view' THEN event_id END IGNORE NULLS) OVER (
+    PARTITION BY usr ORDER BY ts, event_type = 'purchase', event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_view FROM e)
+WHERE event_type = 'purchase'
+""")
+def last_view_of_hot_user(spark, sf):
+    """The same where one user has a third of all events: the user's rows are cut into slices of time."""
+    return _last_views(_atomic(spark, sf), _HOT_USER.format(_NUMBER, "substring(network_userid, 2)"), 500)
+
+
+@query(f"""
+WITH x AS (SELECT DISTINCT event_id, ts, CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE 'n' || user_id END AS usr FROM ({_EXPECTED_EVENTS})),
+g AS (SELECT *, lag(ts) OVER o AS previous FROM x WINDOW o AS (PARTITION BY usr ORDER BY ts, event_id))
+SELECT event_id, sum((previous IS NULL OR epoch_us(ts) // 1000 - epoch_us(previous) // 1000 > 600000)::INT) OVER (PARTITION BY usr ORDER BY ts, event_id)::BIGINT AS session FROM g
+""")
+def session_numbers(spark, sf):
+    """The number of its user's session for each payload, by a gap of ten minutes; one user has a third of them."""
+    payloads = _atomic(spark, sf).selectExpr(f"{_NUMBER} AS event_id", "network_userid", "unix_micros(collector_tstamp) AS us").distinct()
+    rows = payloads.selectExpr("event_id", f"{_HOT_USER.format('event_id', 'substring(network_userid, 2)')} AS usr", "us", "us div 1000 AS at")
+    numbered = with_sessions(rows, "usr", "at", ["us", "event_id"], 600_000, CONFIG, slice_rows=500, stretch=60_000)
+    return numbered.select("event_id", "session")
+
+
 @query(f"""
 WITH x AS ({_EXPECTED_EVENTS}), c AS (SELECT user_id, count(*) AS n FROM x GROUP BY 1)
 SELECT 'n' || user_id AS usr, n FROM c WHERE n > (SELECT avg(n) FROM c)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from millrace.config import PipelineConfig
 from millrace.functions import iglu, net, text
 from millrace.functions.sqltext import lit
+from millrace.operators.carry import ordered, with_last
 from millrace.operators.enrich import Dimensions, process_raw, to_atomic
 from millrace.operators.errors import outcome_counts, to_errors
 from millrace.operators.extract import campaign_params
@@ -632,8 +633,7 @@ def sessions_by_gap(spark, sf):
     views = _atomic(spark, sf).selectExpr(
         "network_userid AS usr", "unix_millis(collector_tstamp) AS ms", f"{_NUMBER} AS id"
     )
-    order = Window.partitionBy("usr").orderBy("ms", "id")
-    gaps = views.withColumn("prev", F.lag("ms").over(order))
+    gaps = with_last(ordered(views, "usr", "ms", ["id"], CONFIG), "ms", "prev", inclusive=False)
     return gaps.groupBy("usr").agg(
         F.expr("count_if(prev IS NULL OR ms - prev > 1800000)").alias("sessions"), F.count("*").alias("views")
     )

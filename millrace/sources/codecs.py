@@ -1,12 +1,11 @@
 """Binary and JSON forms of the three record types.
 
-Encoding is SQL throughout. Decoding Avro and Thrift records, whose fields sit at positions known only while
-reading, is a small reader applied to Arrow batches.
+Encoding is SQL throughout. Avro and Thrift records, whose fields sit at positions known only while reading, are read by
+Arrow batches, all records of a batch at once (``records``).
 """
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,6 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from millrace.functions import text
 from millrace.functions.sqltext import let, lit
 from millrace.model import ATOMIC, ATOMIC_COLUMNS, ATOMIC_REQUIRED, RAW, RAW_COLUMNS
+from millrace.sources import records
 
 # The schema names a record carries in each format.
 AVRO_NAME = "CollectorPayload"
@@ -134,127 +134,31 @@ def encode_messages(raw: DataFrame, fmt: str) -> DataFrame:
 # --- Decoding ---------------------------------------------------------------------------------------
 
 
-class _Avro:
-    """Cursor over one schemaless datum."""
-
-    def __init__(self, data: bytes):
-        self.data, self.at = data, 0
-
-    def long(self) -> int:
-        shift = value = 0
-        while True:
-            if self.at >= len(self.data):
-                raise ValueError("message ends early")
-            byte = self.data[self.at]
-            self.at += 1
-            value |= (byte & 127) << shift
-            shift += 7
-            if byte < 128:
-                return (value >> 1) ^ -(value & 1)
-
-    def bytes(self) -> bytes:
-        size = self.long()
-        if size < 0 or self.at + size > len(self.data):
-            raise ValueError("message ends early")
-        self.at += size
-        return self.data[self.at - size : self.at]
-
-    def text(self) -> str:
-        return self.bytes().decode("utf-8")
-
-    def optional(self, read: Callable):
-        branch = self.long()
-        if branch not in (0, 1):
-            raise ValueError("unknown union branch")
-        return read() if branch else None
-
-    def array(self, read: Callable) -> list:
-        items = []
-        while count := self.long():
-            if count < 0:
-                count = -count
-                self.long()
-            if count > len(self.data):
-                raise ValueError("array is longer than the message")
-            items += [read() for _ in range(count)]
-        return items
-
-
-def _read_raw_avro(data: bytes) -> dict:
-    cursor = _Avro(data)
-    readers = {"timestamp": cursor.long, "body": cursor.bytes, "headers": lambda: cursor.array(cursor.text)}
-    record = {}
-    for field in RAW:
-        read = readers.get(field.name, cursor.text)
-        record[field.name] = cursor.optional(read) if field.nullable else read()
-    return record
-
-
-def _read_raw_thrift(data: bytes) -> dict:
-    names = {number: name for name, number in THRIFT_IDS.items()}
-    sizes = {2: 1, 3: 1, 4: 8, 6: 2, 8: 4, 10: 8}
-    at = 0
-
-    def take(n: int) -> bytes:
-        nonlocal at
-        if n < 0 or at + n > len(data):
-            raise ValueError("message ends early")
-        at += n
-        return data[at - n : at]
-
-    def number(n: int) -> int:
-        return int.from_bytes(take(n), "big", signed=True)
-
-    def value(kind: int):
-        if kind == _THRIFT_STRING:
-            return take(number(4))
-        if kind in sizes:
-            return number(sizes[kind])
-        if kind in (14, 15):
-            item, count = number(1), number(4)
-            if count > len(data):
-                raise ValueError("list is longer than the message")
-            return [value(item) for _ in range(count)]
-        raise ValueError(f"unexpected field type {kind}")
-
-    record = dict.fromkeys(RAW_COLUMNS)
-    while kind := number(1):
-        name, found = names.get(number(2)), value(kind)
-        if name == "headers":
-            record[name] = [h.decode("utf-8") for h in found]
-        elif name == "body" or isinstance(found, int):
-            record[name or ""] = found
-        elif name:
-            record[name] = found.decode("utf-8")
-    record.pop("", None)
-    for field in RAW:
-        if not field.nullable and record[field.name] is None:
-            raise ValueError(f"{field.name} is missing")
-    return record
+_KINDS = {"body": "bytes", "headers": "texts", "contexts": "pairs", "event": "pair"}
 
 
-def _read_atomic_avro(data: bytes) -> dict:
-    cursor = _Avro(data)
+def _kind(field: T.StructField) -> str:
+    return _KINDS.get(field.name, "long" if isinstance(field.dataType, T.LongType) else "text")
 
-    def pair() -> dict:
-        return {"schema": cursor.text(), "data": cursor.text()}
 
-    record = {}
-    for field in ATOMIC:
-        if field.name == "contexts":
-            record[field.name] = cursor.array(pair)
-        elif field.name == "event":
-            record[field.name] = pair()
-        else:
-            read = cursor.long if isinstance(field.dataType, T.LongType) else cursor.text
-            record[field.name] = cursor.optional(read) if field.nullable else read()
-    return record
+def _read_raw_avro(values: pa.Array) -> tuple[list[pa.Array], records.Records]:
+    return records.read_avro(values, [(f.name, _kind(f), f.nullable) for f in RAW])
+
+
+def _read_raw_thrift(values: pa.Array) -> tuple[list[pa.Array], records.Records]:
+    return records.read_thrift(values, [(f.name, _kind(f), f.nullable, THRIFT_IDS[f.name]) for f in RAW])
+
+
+def _read_atomic_avro(values: pa.Array) -> tuple[list[pa.Array], records.Records]:
+    # contexts and the event are never unions with null
+    return records.read_avro(values, [(f.name, _kind(f), f.nullable and f.name not in ("contexts", "event")) for f in ATOMIC])
 
 
 RAW_READERS = {"avro": _read_raw_avro, "thrift": _read_raw_thrift}
+Reader = Callable[[pa.Array], tuple[list[pa.Array], records.Records]]
 
 
-def _decode(df: DataFrame, read: Callable[[bytes], dict], fields: T.StructType) -> DataFrame:
+def _decode(df: DataFrame, read: Reader, fields: T.StructType) -> DataFrame:
     """Add ``record`` and ``err`` to a table with a binary ``value``."""
     nullable = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
     out = T.StructType(
@@ -265,18 +169,17 @@ def _decode(df: DataFrame, read: Callable[[bytes], dict], fields: T.StructType)
         ]
     )
     schema = to_arrow_schema(out)
-
-    def one(value: bytes | None) -> dict:
-        try:
-            if value is None:
-                raise ValueError("message is empty")
-            return {"value": value, "record": read(value), "err": None}
-        except (ValueError, struct.error, IndexError, OverflowError) as e:
-            return {"value": value, "record": None, "err": str(e)}
+    inner = schema.field("record").type
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_pylist([one(v) for v in batch.column(0).to_pylist()], schema=schema)
+            for values in records.slices(batch.column(0)):
+                columns, found = read(values)
+                columns = [c.cast(inner.field(i).type) for i, c in enumerate(columns)]
+                bad = found.reason > 0
+                record = pa.StructArray.from_arrays(columns, fields=list(inner), mask=pa.array(bad))
+                err = pa.array(found.reasons, pa.string()).take(pa.array(found.reason))
+                yield pa.RecordBatch.from_arrays([values.cast(schema.field("value").type), record, err], schema=schema)
 
     return df.select("value").mapInArrow(decode, out)
 
