@@ -1,14 +1,19 @@
 """Line dedup by a log-template tree (DataFrame operations only).
 
-A line's words that hold a digit are variable from the start and become ``<*>``. The tree has a fixed depth: a line goes
-to the leaf of its word count and its first three words. In a leaf the most frequent word of each position, over all
-documents, makes the leaf's template; a line that agrees with it in four fifths of the positions belongs to it, so the
-other positions are variable too, and any other line is a template of its own. A template that lines of several
-documents have is recurring: its lines stay in the first document only.
-
-Leaves, templates and documents are hashes until the end. Words are looked at again only in leaves that hold different
-lines. Everything per leaf or template is a count, a maximum or an equi-join, so a line that a third of all documents
-share is summed up where it is read.
+A line's words that hold a digit are variable from the start and become ``<*>``. The tree has a fixed depth. A line goes to the
+leaf of its word count and its first three words. In a leaf the most frequent word of each position, over all documents,
+makes the leaf's template; a line that agrees with it in four fifths of the positions belongs to it, so the other positions
+are variable too. Lines that do not belong go one level down. Two lines that agree in four fifths of the positions are equal in
+one of as many blocks of positions as they may differ in, and one more; each such line goes to the child of that block of its
+own which the most documents share, and the child has a template in the same way. Lines that fit none recur by their exact words,
+as do lines whose words are mostly variable. Positions that are variable in both are no agreement.
+
+A template that lines of several documents have is recurring: its lines stay in the first document only.
+
+Leaves, templates and documents are hashes until the end. A line's words are looked at again only in leaves that hold different
+lines, and then each distinct line once, fetched from one of its documents. Everything per leaf or template is a count, a
+maximum or an equi-join, and what is worked out for a line grows with its words, so a line that a third of all documents share is
+summed up where it is read.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BROADCAST_ROWS, free_name, semi_join, staged, table
+from millrace.llm.common import BROADCAST_ROWS, free_name, staged, table
 
 SPACES = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
@@ -24,7 +29,7 @@ WORD = r"[^\x20\x09-\x0D]"
 VARIABLE = rf"(?<!{WORD})[^\x20\x09-\x0D0-9]*+[0-9]{WORD}*+"
 
 DEPTH = 3
-MIN_WORDS = 8
+MIN_WORDS = 1
 MIN_DOCS = 2
 #: Positions of a hundred in which a line agrees with its template at least.
 AGREE = 80
@@ -49,76 +54,69 @@ def _exact(lines: Column) -> Column:
     return F.zip_with(_masked(lines), lines, one)
 
 
-def _lines(docs: DataFrame, min_words: int, exact_variable: bool) -> DataFrame:
-    """id, hash, no, masked, leaf and key of every line with enough words, blank lines left out."""
-    cut = F.split("text", "\n")
+def _lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """id, hash, no, leaf and key of every line with enough words, blank lines left out."""
     # masked before the explode: what is exploded is not worked out anew for each column made of it
-    lines = docs.select("id", "hash", F.posexplode(_exact(cut) if exact_variable else _masked(cut)).alias("no", "masked"))
+    lines = docs.select("id", "hash", F.posexplode(_exact(F.split("text", "\n"))).alias("no", "masked"))
     n = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
     lines = lines.withColumn("n", n).where((F.col("n") >= min_words) & (F.col("masked") != ""))
-    lead = F.substring_index("masked", " ", DEPTH)
-    lead = F.when(F.col("masked").startswith("\n"), F.col("masked")).otherwise(lead) if exact_variable else lead  # a leaf of its own
-    return lines.select("id", "hash", "no", "masked", F.xxhash64("n", lead).alias("leaf"), F.xxhash64("masked").alias("key"))
-
-
-def _agreeing(words: DataFrame, group: str, constants: bool) -> DataFrame:
-    """(group, leaf, key, docs) of the lines of each group that agree with the most frequent words of its positions.
-
-    With ``constants`` positions that are variable in both don't count. ``words`` has a row per position of each line."""
-    mode = (
-        words.groupBy(group, "pos", "word")
+    lead = F.when(F.col("masked").startswith("\n"), F.col("masked")).otherwise(F.substring_index("masked", " ", DEPTH))  # mostly variable ones: a leaf of their own
+    return lines.select("id", "hash", "no", F.xxhash64("n", lead).alias("leaf"), F.xxhash64("masked").alias("key"))
+
+
+def _fetched(docs: DataFrame, wanted: DataFrame, limit: int) -> DataFrame:
+    """leaf, key, docs and words of the lines that ``wanted`` names by the hash of a text and a line number."""
+    of_text = F.sort_array(F.collect_list(F.struct("no", "leaf", "key", "docs"))).alias("wanted")  # lines of one text
+    by_text = staged(wanted.groupBy("hash").agg(of_text), "wanted")
+    few = wanted.count() <= limit
+    rows = docs.select("hash", "text").join(F.broadcast(by_text) if few else by_text, "hash")
+    picked = F.filter(F.split("text", "\n"), lambda x, i: F.array_contains("wanted.no", i))
+    lines = rows.select(F.explode(F.arrays_zip(_exact(picked).alias("masked"), F.col("wanted").alias("of"))).alias("line"))
+    # copies give the same lines, and texts that only share a hash others
+    right = lines.where(F.xxhash64("line.masked") == F.col("line.of.key"))
+    return right.select("line.of.leaf", "line.of.key", "line.of.docs", F.split("line.masked", " ").alias("words")).dropDuplicates(["leaf", "key"])
+
+
+def _agreeing(lines: DataFrame, group: str, name: str) -> DataFrame:
+    """The rows of ``lines`` (words, docs) that agree with the most frequent words of their group's positions."""
+    constants = (
+        lines.select(group, "docs", F.posexplode("words").alias("pos", "word"))
+        .groupBy(group, "pos", "word")
         .agg(F.sum("docs").alias("docs"))
         .groupBy(group, "pos")
         .agg(F.max(F.struct("docs", "word")).alias("most"))
-        .select(group, "pos", F.col("most.word").alias("constant"))
+        .groupBy(group)
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "most.word"))).alias("most"))  # as long as a line
     )
-    same = F.col("word") == F.col("constant")
-    counts = ~(same & (F.col("word") == "<*>")) if constants else F.lit(True)
-    by = ["leaf", "key"] if group == "leaf" else [group, "leaf", "key"]
-    agreed = words.join(mode, [group, "pos"]).groupBy(*by).agg(F.sum((same & counts).cast("long")).alias("same"), F.sum(counts.cast("long")).alias("n"), F.first("docs").alias("docs"))
-    return agreed.where(100 * F.col("same") >= AGREE * F.col("n")).select(*by, "docs")
-
+    pairs = F.zip_with("words", "most.word", lambda w, c: F.when(w != c, 0).when(w == "<*>", 1).otherwise(2))
+    found = lines.join(staged(constants, name), group).withColumn("pairs", pairs)
+    counted, same = F.size(F.filter("pairs", lambda p: p != 1)), F.size(F.filter("pairs", lambda p: p == 2))
+    return found.where(100 * same >= AGREE * counted).drop("pairs", "most")
 
-def _further_templates(left: DataFrame, constants: bool) -> DataFrame:
-    """(leaf, key, template) of the lines that fit further templates of their leaf; ``left`` has those without one.
 
-    Two lines that agree in four fifths of the positions are equal in one of as many blocks of positions as they may
-    differ in, and one more. So lines with an equal block are a child of the leaf, each child has the template of its own
-    most frequent words, and a line goes to the heaviest that it fits. Lines that are alone with theirs try again among
-    what is left, until no child has two.
-    """
-    words = F.split("masked", " ")
-    left = staged(left.select("leaf", "key", "docs", words.alias("words"), F.floor(F.size(words) * (100 - AGREE) / 100).cast("int").alias("spare")).where(F.size("words") > DEPTH), "left")
+def _child_templates(left: DataFrame) -> DataFrame:
+    """(leaf, key, template) of the lines that fit the child of their most shared block; ``left`` has those without a template."""
+    spare = F.floor(F.size("words") * (100 - AGREE) / 100).cast("int")
+    left = staged(left.where(F.size("words") > DEPTH).withColumn("spare", spare), "left")
     start = f"{DEPTH} + j * (size(words) - {DEPTH}) div (spare + 1)"
     end = f"{DEPTH} + (j + 1) * (size(words) - {DEPTH}) div (spare + 1)"
-    blocks = F.expr(f"transform(sequence(0, spare), j -> xxhash64(leaf, j, slice(words, cast({start} + 1 as int), cast(({end}) - ({start}) as int))))")
-    found = None
-    while True:
-        spread = staged(left.select("leaf", "key", F.explode(blocks).alias("child")), "children")
-        shared = spread.groupBy("child").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("child")
-        members = spread.join(shared, "child", "left_semi").join(left, ["leaf", "key"])
-        fits = staged(_agreeing(staged(members.select("child", "leaf", "key", "docs", F.posexplode("words").alias("pos", "word")), "child_words"), "child", constants), "child_fits")
-        weight = fits.groupBy("child").agg(F.sum("docs").alias("weight"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        best = staged(fits.join(weight, "child").groupBy("leaf", "key").agg(F.max(F.struct("weight", "child")).alias("best")).select("leaf", "key", F.col("best.child").alias("template")), "best")
-        several = best.groupBy("template").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("template")
-        new = staged(best.join(several, "template", "left_semi").select("leaf", "key", "template"), "templates")
-        found = new if found is None else found.union(new)
-        if new.isEmpty():
-            return found
-        left = staged(left.join(new, ["leaf", "key"], "left_anti"), "left")
-
-
-def _template_lines(lines: DataFrame, weights: DataFrame, limit: int, several: bool, constants: bool) -> DataFrame:
+    blocks = F.expr(f"transform(sequence(0, spare), j -> xxhash64(leaf, j, array_join(slice(words, cast({start} + 1 as int), cast(({end}) - ({start}) as int)), ' ')))")
+    spread = staged(left.select("leaf", "key", "docs", F.posexplode(blocks).alias("j", "child")), "children")
+    shared = spread.groupBy("child").agg(F.sum("docs").alias("weight"), F.count(F.lit(1)).alias("n")).where("n > 1").select("child", "weight")
+    own = F.max(F.struct("weight", (-F.col("j")).alias("j"), "child")).alias("own")
+    chosen = spread.join(shared, "child").groupBy("leaf", "key").agg(own).select("leaf", "key", F.col("own.child").alias("template"))
+    fits = staged(_agreeing(staged(left.join(chosen, ["leaf", "key"]), "chosen"), "template", "child_words").select("leaf", "key", "template"), "child_fits")
+    several = fits.groupBy("template").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("template")
+    return fits.join(several, "template", "left_semi").select("leaf", "key", "template")
+
+
+def _template_lines(docs: DataFrame, weights: DataFrame, limit: int) -> DataFrame:
     """(leaf, key, template) of the lines that belong to a template of their leaf, in leaves with different lines."""
-    varied = staged(weights.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("leaf"), "varied")
-    texts = semi_join(lines.select("leaf", "key", "masked"), varied, "leaf", limit).dropDuplicates(["leaf", "key"]).join(weights, ["leaf", "key"])
-    texts = staged(texts, "texts") if several else texts
-    words = staged(texts.select("leaf", "key", "docs", F.posexplode(F.split("masked", " ")).alias("pos", "word")), "words")
-    first = _agreeing(words, "leaf", constants).select("leaf", "key", F.lit(0).cast("long").alias("template"))
-    if not several:
-        return first
-    first = staged(first, "first")
-    return first.union(_further_templates(texts.join(first, ["leaf", "key"], "left_anti"), constants))
+    varied = weights.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("leaf")
+    wanted = staged(weights.join(varied, "leaf", "left_semi").select("leaf", "key", "docs", "place.hash", "place.no"), "varied")
+    lines = staged(_fetched(docs, wanted, limit), "texts")
+    first = staged(_agreeing(lines, "leaf", "leaf_words").select("leaf", "key", F.lit(0).cast("long").alias("template")), "first")
+    return first.union(_child_templates(lines.join(first, ["leaf", "key"], "left_anti")))
 
 
 def drop_recurring_lines(
@@ -130,28 +128,25 @@ def drop_recurring_lines(
     lines_out: str = "n_lines",
     dropped_out: str = "n_dropped",
     broadcast_rows: int = BROADCAST_ROWS,
-    exact_variable: bool = False,
-    several: bool = False,
 ) -> DataFrame:
     """All rows and columns of ``docs`` with recurring lines cut from the text, plus the counts of lines and of dropped ones.
 
-    Lines end at line feeds. A line of fewer than ``min_words`` words never goes, nor does a blank one. With
-    ``exact_variable`` a line whose words are mostly variable recurs only by its exact words, and others agree by
-    their constant words; short ones need that. With ``several`` lines that do not fit their leaf's template may have further ones in common. A template recurs when ``min_docs`` documents have it; the document with the smallest id keeps its lines (null ids are
-    smallest, of equal ids the smaller hash of the text). Rows with one id and text are one document and lose the same
-    lines. Null texts stay null with no lines; an empty text is one line. A column that already has an output's name keeps
-    it, and the output's gets underscores in front. An empty table gives no rows.
+    Lines end at line feeds. A line of fewer than ``min_words`` words never goes, nor does a blank one. A template recurs
+    when ``min_docs`` documents have it; the document with the smallest id keeps its lines (null ids are smallest, of
+    equal ids the smaller hash of the text). Rows with one id and text are one document and lose the same lines. Null
+    texts stay null with no lines; an empty text is one line. A column that already has an output's name keeps it, and
+    the output's gets underscores in front. An empty table gives no rows.
     """
     names = {c: free_name(docs, c) for c in ("__id", "__hash", "__drop", lines_out, dropped_out)}
     rows = docs.withColumns({names["__id"]: F.col(id_col), names["__hash"]: F.xxhash64(text_col)})
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
-    lines = _lines(source, min_words, exact_variable)
-    light = staged(lines.drop("masked"), "lines")
-    in_docs = light.select("leaf", "key", "id", "hash").distinct()
-    shared = in_docs.select("leaf", "id", "hash").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("leaf")
+    light = staged(_lines(source, min_words), "lines")
+    doc = F.xxhash64("id", "hash")
+    shared = light.groupBy("leaf").agg(F.min(doc).alias("low"), F.max(doc).alias("high")).where("low <> high").select("leaf") if min_docs > 1 else light.select("leaf").distinct()
     candidates = staged(light.join(shared, "leaf", "left_semi"), "candidates")
-    weights = staged(candidates.select("leaf", "key", "id", "hash").distinct().groupBy("leaf", "key").agg(F.count(F.lit(1)).alias("docs")), "weights")
-    fitting = _template_lines(lines, weights, broadcast_rows, several, exact_variable)
+    in_docs = candidates.groupBy("leaf", "key", "id", "hash").agg(F.min("no").alias("no"))
+    weights = staged(in_docs.groupBy("leaf", "key").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("hash", "no")).alias("place")), "weights")
+    fitting = _template_lines(source, weights, broadcast_rows)
     placed = candidates.join(fitting, ["leaf", "key"], "left").select("id", "hash", "no", "leaf", F.coalesce("template", "key").alias("template"), F.col("template").isNotNull().alias("fits"))
     placed = staged(placed, "placed")
     same = ["leaf", "template", "fits"]
@@ -162,10 +157,10 @@ def drop_recurring_lines(
     found = by_doc.select(F.col("id").alias("drop_id"), F.col("hash").alias("drop_hash"), F.col("drop").alias(names["__drop"]))
     out = rows.join(found, F.col(names["__id"]).eqNullSafe(F.col("drop_id")) & (F.col(names["__hash"]) == F.col("drop_hash")), "left").drop("drop_id", "drop_hash")
     text, drop = f"`{text_col}`", f"`{names['__drop']}`"
-    # the stretches between dropped lines, one after the other
-    kept = f"""array_join(flatten(transform(sequence(0, size({drop})), i -> slice(split({text}, '\\n'),
+    # the stretches between dropped lines, one after the other; the text is cut once
+    kept = f"""transform(array(split({text}, '\\n')), c -> array_join(flatten(transform(sequence(0, size({drop})), i -> slice(c,
         if(i = 0, 1, {drop}[i - 1] + 2),
-        if(i = size({drop}), size(split({text}, '\\n')), {drop}[i]) - if(i = 0, 0, {drop}[i - 1] + 1)))), '\\n')"""
+        if(i = size({drop}), size(c), {drop}[i]) - if(i = 0, 0, {drop}[i - 1] + 1)))), '\\n'))[0]"""
     out = out.withColumns({
         names[lines_out]: F.expr(f"if({text} is null, 0, size(split({text}, '\\n')))"),
         names[dropped_out]: F.expr(f"if({drop} is null, 0, size({drop}))"),
@@ -182,21 +177,42 @@ def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP5_SQL = r"""
 WITH cut AS (
   SELECT doc_id, generate_subscripts(l, 1) - 1 AS no, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
-masked AS (
-  SELECT doc_id, no, line, [CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END FOR w IN string_split_regex(line, '[\x20\x09-\x0D]+') IF w <> ''] AS words
-  FROM cut),
-filed AS (SELECT *, array_to_string(words[1:3], ' ') AS lead, len(words) AS n, array_to_string(words, ' ') AS key FROM masked WHERE len(words) >= 8),
-weights AS (SELECT n, lead, key, any_value(words) AS words, count(DISTINCT doc_id) AS docs FROM filed GROUP BY n, lead, key),
-positions AS (SELECT n, lead, key, docs, generate_subscripts(words, 1) AS pos, unnest(words) AS word FROM weights),
+plain AS (SELECT doc_id, no, [w FOR w IN string_split_regex(line, '[\x20\x09-\x0D]+') IF w <> ''] AS own FROM cut),
+masked AS (SELECT doc_id, no, own, [CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END FOR w IN own] AS m FROM plain WHERE len(own) > 0),
+filed AS (
+  SELECT doc_id, no, len(own) AS n, CASE WHEN 2 * len([w FOR w IN m IF w = '<*>']) > len(m) THEN chr(10) || array_to_string(own, ' ') END AS mostly, m AS words,
+    coalesce(mostly, array_to_string(m, ' ')) AS key, coalesce(mostly, array_to_string(m[1:3], ' ')) AS lead FROM masked),
+weights AS (SELECT n, lead, key, any_value(words) AS words, any_value(mostly) AS mostly, count(DISTINCT doc_id) AS docs FROM filed GROUP BY n, lead, key),
+positions AS (SELECT n, lead, key, docs, generate_subscripts(words, 1) AS pos, unnest(words) AS word FROM weights WHERE mostly IS NULL),
 modes AS (
   SELECT n, lead, pos, word AS constant FROM (SELECT n, lead, pos, word, sum(docs) AS docs FROM positions GROUP BY ALL)
   QUALIFY row_number() OVER (PARTITION BY n, lead, pos ORDER BY docs DESC, word DESC) = 1),
 agreed AS (
-  SELECT n, lead, key, 100 * count(*) FILTER (word = constant) >= 80 * n AS fits FROM positions JOIN modes USING (n, lead, pos) GROUP BY n, lead, key),
-placed AS (SELECT doc_id, no, n, lead, fits, CASE WHEN fits THEN '' ELSE key END AS template FROM filed JOIN agreed USING (n, lead, key)),
+  SELECT n, lead, key, 100 * count(*) FILTER (word = constant AND word <> '<*>') >= 80 * count(*) FILTER (word <> constant OR word <> '<*>') AS fits
+  FROM positions JOIN modes USING (n, lead, pos) GROUP BY n, lead, key),
+remaining AS (SELECT w.n, w.lead, w.key, docs, words, w.n * 20 // 100 AS spare FROM weights w JOIN agreed USING (n, lead, key) WHERE NOT fits AND w.n > 3),
+blocks AS (
+  SELECT n, lead, key, docs, words, j, array_to_string(words[3 + j * (n - 3) // (spare + 1) + 1 : 3 + (j + 1) * (n - 3) // (spare + 1)], ' ') AS block
+  FROM (SELECT *, unnest(range(spare + 1)) AS j FROM remaining)),
+children AS (SELECT n, lead, j, block, sum(docs) AS weight FROM blocks GROUP BY n, lead, j, block HAVING count(*) > 1),
+chosen AS (
+  SELECT n, lead, key, docs, words, j, block FROM blocks JOIN children USING (n, lead, j, block)
+  QUALIFY row_number() OVER (PARTITION BY n, lead, key ORDER BY weight DESC, j) = 1),
+child_positions AS (SELECT n, lead, key, docs, j, block, generate_subscripts(words, 1) AS pos, unnest(words) AS word FROM chosen),
+child_modes AS (
+  SELECT n, lead, j, block, pos, word AS constant FROM (SELECT n, lead, j, block, pos, word, sum(docs) AS docs FROM child_positions GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY n, lead, j, block, pos ORDER BY docs DESC, word DESC) = 1),
+child_fits AS (
+  SELECT n, lead, key, j, block FROM child_positions JOIN child_modes USING (n, lead, j, block, pos) GROUP BY n, lead, key, j, block
+  HAVING 100 * count(*) FILTER (word = constant AND word <> '<*>') >= 80 * count(*) FILTER (word <> constant OR word <> '<*>')
+  QUALIFY count(*) OVER (PARTITION BY n, lead, j, block) > 1),
+placed AS (
+  SELECT doc_id, no, f.n, f.lead, CASE WHEN coalesce(a.fits, false) THEN 'leaf' WHEN c.j IS NOT NULL THEN 'child ' || c.j ELSE 'line' END AS kind,
+    CASE WHEN coalesce(a.fits, false) THEN '' WHEN c.j IS NOT NULL THEN c.block ELSE f.key END AS template
+  FROM filed f LEFT JOIN agreed a USING (n, lead, key) LEFT JOIN child_fits c USING (n, lead, key)),
 dropped AS (
-  SELECT doc_id, no FROM placed JOIN (
-    SELECT n, lead, fits, template, min(doc_id) AS first FROM placed GROUP BY ALL HAVING count(DISTINCT doc_id) >= 2) USING (n, lead, fits, template)
+  SELECT DISTINCT doc_id, no FROM placed JOIN (
+    SELECT n, lead, kind, template, min(doc_id) AS first FROM placed GROUP BY ALL HAVING count(DISTINCT doc_id) >= 2) USING (n, lead, kind, template)
   WHERE doc_id <> first),
 kept AS (
   SELECT doc_id, count(*) AS n_lines, count(d.no) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY cut.no) FILTER (d.no IS NULL), '') AS text

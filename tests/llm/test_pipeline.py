@@ -66,7 +66,7 @@ def test_run_is_the_stages_one_after_the_other(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_against_their_sql(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = db.execute(ORACLES[name])
     columns = [d[0] for d in want.description]
