@@ -29,8 +29,9 @@ from millrace.llm.common import free_name, table
 SAMPLE_ROWS = 1_500
 #: Lengths of the n-grams that are tried, longest first. Length 0 stands for whole words.
 GRAMS = (5, 4, 3, 2, 1)
-#: Characters of text whose words are scored at once, and characters of words that are cut into n-grams at once.
-SLICE, STRETCH = 2_000_000, 500_000
+#: Rows that are taken out of a batch together, characters of text whose words are scored at once, and characters of words
+#: that are cut into n-grams at once: a worker stays small beside what Spark itself needs.
+ROWS, SLICE, STRETCH = 500, 500_000, 200_000
 
 UNKNOWN = "und"
 _LETTERS = regex.compile(r"\p{L}+")
@@ -89,6 +90,14 @@ def entries(words: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield n, *gram_keys(words, n)
 
 
+def _parts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Small parts of the batches, and their texts."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield from slices(iter([batch.slice(start, ROWS)]), text, SLICE)
+    pa.default_memory_pool().release_unused()
+
+
 class Entries:
     """Scores by language of words or of n-grams of one length: ascending keys beside a matrix, keys x languages."""
 
@@ -201,7 +210,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", by_col:
     sample = labelled.join(F.broadcast(n), "lang").where(F.col("lot") * F.col("n") < rows * 1_000_000).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, "text", SLICE):
+        for part, texts in _parts(batches, "text"):
             found = Counter((lang, w) for lang, t in zip(part.column("lang").to_pylist(), texts) for w in ["", *letters(t)])
             yield pa.RecordBatch.from_pydict({"lang": [lang for lang, _ in found], "word": [w for _, w in found], "n": pa.array(found.values(), pa.int64())})
 
@@ -235,7 +244,7 @@ def with_language(docs: DataFrame, model: WordBackoff, text_col: str = "text", l
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in slices(batches, text_col, SLICE):
+        for rows, texts in _parts(batches, text_col):
             found = shared.value.predict(texts)
             columns = [*rows.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
