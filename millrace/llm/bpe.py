@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -98,6 +97,7 @@ class Bpe:
         spaces = pattern.replace(r"(?!\S)", r"(?!\P{White_Space})").replace(r"\s", r"\p{White_Space}")
         self.matches = regex.compile(spaces).findall
         self.of_byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
+        self.decimal = [b"%d" % i for i in range(max(self.ranks.values()) + 1)]
         self.db = duckdb.connect(config={"threads": 1})
         self._load()
         self.texts = ChunkEncoder(self._encode_chunks)
@@ -224,7 +224,7 @@ def round_trip_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: s
         for rows, texts in slices(batches, "text"):
             ids = [np.frombuffer(i, "<u4") for i in vocabulary.texts(texts)]
             decoded = vocabulary.decode(ids)
-            written = [hashlib.sha256(re.sub(rb"[\[\],]+", b"", str(i.tolist()).encode())).hexdigest() for i in ids]
+            written = [hashlib.sha256(b" ".join(map(vocabulary.decimal.__getitem__, i.tolist()))).hexdigest() for i in ids]
             columns = [rows.column("id"), pa.array(map(len, ids), pa.int64()), pa.array(written), pa.array([hashlib.sha256(d).hexdigest() for d in decoded])]
             yield pa.RecordBatch.from_arrays(columns, ["id", *[f.name for f in more]])
 
