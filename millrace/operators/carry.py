@@ -99,3 +99,26 @@ def with_sessions(
     starts = before.withColumn("_start", (F.coalesce(first, F.lit(False)) | F.coalesce(F.col(at) - F.col("_previous") > gap, F.lit(False))).cast("long")).drop("_previous")
     counted = with_running(ordered(starts, key, at, order, config, slice_rows, stretch), "_start", out)
     return counted.withColumn(out, F.greatest(F.col(out), F.lit(1))).drop("_start")
+
+
+def with_rank(rows: DataFrame, by: str, config: PipelineConfig, out: str = "rank") -> DataFrame:
+    """All rows plus ``out``: one more than the rows with a greater ``by``, over the whole table; nulls come last.
+
+    Equal values are one row before anything is sorted. The distinct values are range-partitioned, what each partition adds up
+    to is carried to the ones after it, and inside a partition the counts run on: no task sorts them all.
+    """
+    rows = staged(rows, "rows")
+    counts = rows.groupBy(F.col(by).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    parts = counts.repartitionByRange(F.col("_value").desc_nulls_last()).withColumn("_part", F.spark_partition_id())
+    parts = staged(parts, "values")
+    before, offsets = 0, []
+    for r in parts.groupBy("_part").agg(F.sum("_n").alias("n")).orderBy("_part").toLocalIterator():  # a row for each partition
+        offsets.append((r["_part"], before))
+        before += r["n"]
+    above = Window.partitionBy("_part").orderBy(F.col("_value").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    spark = rows.sparkSession
+    ranked = parts.join(F.broadcast(spark.createDataFrame(offsets, "_part int, _before long")), "_part")
+    ranked = ranked.select("_value", (F.coalesce(F.sum("_n").over(above), F.lit(0)) + F.col("_before") + 1).alias(out))
+    ranked = staged(ranked, "ranks")
+    few = ranked.limit(config.broadcast_limit_rows + 1).count() <= config.broadcast_limit_rows
+    return rows.join(F.broadcast(ranked) if few else ranked, rows[by].eqNullSafe(ranked["_value"]), "left").drop("_value")

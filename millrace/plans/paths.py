@@ -10,6 +10,7 @@ import base64
 import hashlib
 import json
 import random
+import time
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,16 +20,18 @@ from millrace.functions import net
 from millrace.functions.sqltext import lit
 from millrace.model import ATOMIC_COLUMNS, RAW_COLUMNS
 from millrace.operators.auth import with_auth_subject
-from millrace.operators.carry import SLICE_ROWS, ordered, with_last, with_sessions
+from millrace.operators.carry import SLICE_ROWS, ordered, with_last, with_rank, with_sessions
 from millrace.operators.enrich import Dimensions, Enrichment, process_raw, to_atomic
 from millrace.operators.errors import reason, to_errors, undecodable_to_errors
 from millrace.operators.geo import with_geo
+from millrace.operators.sketches import REGISTERS, daily_sketches, distinct_over
+from millrace.operators.staging import scratch_dir
 from millrace.plans import feed
 from millrace.plans.queries import _EXPECTED_EVENTS, _NUMBER, CONFIG, DEVICE, _atomic, _context, _raw, feed_rules, query
 from millrace.sources import codecs
 from millrace.sources.registry import Rules, builtin_documents, load_rules, registry_table, resolve
 from millrace.sources.store import read_atomic, write_atomic
-from millrace.streaming.jobs import consume_errors, consume_events, enrich_stream, parquet_batch_writer
+from millrace.streaming.jobs import consume_errors, consume_events, enrich_stream, parquet_batch_writer, without_repeats
 
 _META = "https://json-schema.org/draft/2020-12/schema"
 SOCIAL = "iglu:org.example/social/jsonschema/1-0-0"
@@ -756,3 +759,90 @@ def campaign_funnel(spark, sf):
     lasts = atomic.where("event_name = 'transaction'").groupBy(F.col("network_userid").alias("buyer")).agg(F.max("collector_tstamp").alias("last"))
     funnel = firsts.join(lasts, F.expr("usr = buyer AND last >= first"), "left")
     return funnel.groupBy("campaign").agg(F.count("*").alias("users"), F.count("buyer").alias("buyers"))
+
+
+@query(f"""
+WITH x AS ({_EXPECTED_EVENTS}), c AS (SELECT user_id, count(*) AS n FROM x GROUP BY 1)
+SELECT 'n' || user_id AS usr, n, rank() OVER (ORDER BY n DESC) AS rnk FROM c
+""")
+def user_ranks(spark, sf):
+    """All users by their events, without a task that sorts them all."""
+    counted = _atomic(spark, sf).groupBy(F.col("network_userid").alias("usr")).agg(F.count("*").alias("n"))
+    return with_rank(counted, "n", CONFIG, "rnk")
+
+
+@query(f"""
+WITH x AS ({_EXPECTED_EVENTS})
+SELECT event_name, count(*)::BIGINT AS n, true AS close FROM x WHERE ts::DATE > (SELECT min(ts)::DATE FROM x) GROUP BY 1
+""")
+def users_over_days(spark, sf):
+    """Distinct users of all days but the first from stored daily sketches, held against the exact number: four standard errors."""
+    events = _atomic(spark, sf).selectExpr("event_name", "network_userid AS usr", "to_date(collector_tstamp) AS day")
+    path = f"{scratch_dir(spark)}/sketches"
+    daily_sketches(events, "day", ["event_name"], "usr").write.partitionBy("day").parquet(path)
+    stored = spark.read.parquet(path)
+    first = stored.agg(F.min("day")).first()[0]
+    found = distinct_over(stored.where(F.col("day") > F.lit(first)), ["event_name"])
+    exact = events.where(F.col("day") > F.lit(first)).groupBy("event_name").agg(F.countDistinct("usr").alias("exact"))
+    near = F.abs(F.col("about") - F.col("exact")) <= F.greatest(F.lit(1.0), 4 * 1.04 / 2 ** (REGISTERS / 2) * F.col("exact"))
+    return found.join(exact, "event_name").select("event_name", "n", near.alias("close"))
+
+
+@query(f"""
+WITH x AS ({_EXPECTED_EVENTS})
+SELECT 'success' AS outcome, count(DISTINCT event_id) AS n FROM x UNION ALL SELECT 'error', count(*) FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'undecodable', count(*) FROM events WHERE event_id % 10 = 9
+""")
+def stream_metrics(spark, sf):
+    """Payloads and messages by outcome, as each micro-batch of an enrichment stream counts them while they pass."""
+    rows = feed.spread(feed.table(spark, sf, "events")).withColumn("cut", F.explode(F.expr("IF(event_id % 10 = 9, array(false, true), array(false))")))
+    raw = feed.raw_from_events(rows.withColumn("ts", F.expr("IF(cut, NULL, ts)"))).withColumn("whole", F.expr("timestamp IS NOT NULL"))
+    messages = raw.withColumn("timestamp", F.expr("coalesce(timestamp, 0)")).select(F.expr(f"IF(whole, {codecs.raw_avro()}, unhex('20'))").alias("value"))
+    stream, out = _queue_stream(spark, messages)
+    seen: list[dict[str, int]] = []
+    _run(
+        enrich_stream(
+            stream, CONFIG, feed_rules, parquet_batch_writer(f"{out}/events"), parquet_batch_writer(f"{out}/errors"), f"{out}/checkpoint", on_metrics=lambda found, batch: seen.append(found)
+        )
+    )
+    totals = [(k, sum(found[k] for found in seen)) for k in ("success", "error", "undecodable")]
+    return spark.createDataFrame(totals, "outcome string, n long")
+
+
+_TURNS = "least(CAST(floor(4 * (unix_micros(ts) - low) / (high - low + 1)) AS INT), 3)"
+_SQL_TURNS = """
+e AS (SELECT event_id, user_id, ts, floor(4 * (epoch_us(ts) - min(epoch_us(ts)) OVER ()) / (max(epoch_us(ts)) OVER () - min(epoch_us(ts)) OVER () + 1)::DOUBLE)::INT AS turn FROM events),
+arrived AS (SELECT *, turn + CASE WHEN event_id % 11 = 3 THEN 2 ELSE 0 END AS batch FROM e),
+latest AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS seen FROM arrived GROUP BY batch),
+kept AS (
+  SELECT arrived.* FROM arrived JOIN latest USING (batch)
+  WHERE seen IS NULL OR epoch_us(ts) > (epoch_us(seen) // 1000 - 3600000) * 1000)"""
+
+
+def _turns(spark: SparkSession, sf: str):
+    """Events as a stream of files in the order of their time: every fifth is repeated at once, every seventh in the next file,
+    and every eleventh only comes two files later. What a file holds is late by the watermark of the file before the last one."""
+    events = feed.table(spark, sf, "events").selectExpr("event_id", "user_id", "CAST(ts AS TIMESTAMP) AS ts")
+    span = events.selectExpr("min(unix_micros(ts)) AS low", "max(unix_micros(ts)) AS high")
+    at = events.join(F.broadcast(span)).withColumn("turn", F.expr(_TURNS))  # one row
+    first = at.withColumn("turn", F.expr("turn + IF(event_id % 11 = 3, 2, 0)"))
+    repeats = first.where("event_id % 5 = 0").unionByName(first.where("event_id % 7 = 0").withColumn("turn", F.expr("turn + 1")))
+    sent = first.unionByName(repeats).select("turn", "event_id", "user_id", "ts")
+    out = scratch_dir(spark)
+    for turn in range(7):
+        sent.where(f"turn = {turn}").drop("turn").coalesce(1).write.mode("append").parquet(f"{out}/queue")
+        time.sleep(0.05)  # files are read in the order of their times
+    return spark.readStream.schema("event_id long, user_id long, ts timestamp").option("maxFilesPerTrigger", "1").parquet(f"{out}/queue"), out
+
+
+@query(f"""
+WITH {_SQL_TURNS}
+SELECT event_id, turn FROM kept
+""")
+def stream_without_repeats(spark, sf):
+    """Each event once, those that come over an hour late left out; the state is what the last hour holds."""
+    stream, out = _turns(spark, sf)
+    once = without_repeats(stream, "event_id", "ts", "1 hour")
+    _run(once.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(f"{out}/once"))
+    span = feed.table(spark, sf, "events").selectExpr("min(unix_micros(CAST(ts AS TIMESTAMP))) AS low", "max(unix_micros(CAST(ts AS TIMESTAMP))) AS high")
+    return spark.read.schema("event_id long, user_id long, ts timestamp").parquet(f"{out}/once").join(F.broadcast(span)).selectExpr("event_id", f"{_TURNS} AS turn")

@@ -18,6 +18,7 @@ from millrace.functions import text
 from millrace.functions.sqltext import let, lit
 from millrace.model import ATOMIC, ATOMIC_COLUMNS, ATOMIC_REQUIRED, RAW, RAW_COLUMNS
 from millrace.sources import records
+from millrace.sources.queues import check_queue
 
 # The schema names a record carries in each format.
 AVRO_NAME = "CollectorPayload"
@@ -334,11 +335,13 @@ def decode_errors(df: DataFrame) -> DataFrame:
 
 
 def to_queue_body(df: DataFrame, queue: str) -> DataFrame:
-    """Bodies of a text-only queue: raw records as base64, everything else as UTF-8 text."""
+    """Bodies of a text-only queue: raw records as base64, everything else as UTF-8 text. Other queues are an error."""
+    check_queue(queue)
     return df.selectExpr("base64(value) AS body" if queue == "raw" else "CAST(value AS STRING) AS body")
 
 
 def from_queue_body(df: DataFrame, queue: str) -> DataFrame:
+    check_queue(queue)
     return df.selectExpr(
         "try_to_binary(body, 'base64') AS value" if queue == "raw" else "CAST(body AS BINARY) AS value"
     )
