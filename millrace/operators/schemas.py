@@ -7,8 +7,6 @@ of rows; the sets' schemas are broadcast only where their documents are few byte
 
 from __future__ import annotations
 
-import json
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +14,7 @@ from pyspark.sql import types as T
 
 from millrace.config import PipelineConfig
 from millrace.functions import text
-from millrace.functions.schema_checker import read_document
+from millrace.functions.schema_checker import violation
 from millrace.functions.sqltext import let, lits
 from millrace.operators.lookup import lookup_join
 from millrace.sources.registry import Rules, describe
@@ -65,16 +63,7 @@ def open_document(uri: str, value: str) -> str:
 @F.arrow_udf(T.ArrayType(T.ArrayType(T.StringType())))
 def _violations(rows: pa.Array) -> pa.Array:
     """The first broken rule of each document's data, NULL where there is none."""
-    checkers: dict = {}
-
-    def one(found: dict | None) -> str | None:
-        if found is None:
-            return None
-        if found["document"] not in checkers:
-            checkers[found["document"]] = read_document(found["document"])[0]
-        return checkers[found["document"]].violation(json.loads(found["data"]))
-
-    return pa.array([[[one(d) for d in item or []] for item in row or []] for row in rows.to_pylist()], pa.list_(pa.list_(pa.string())))
+    return pa.array([[[d and violation(d["document"], d["data"]) for d in item or []] for item in row or []] for row in rows.to_pylist()], pa.list_(pa.list_(pa.string())))
 
 
 #: Marked as not deterministic so that it stays a column of its own: the optimizer would else move it into lambdas that

@@ -9,7 +9,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
-import random
 import time
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -358,26 +357,20 @@ def atomic_row_validation(spark, sf):
     return checked.selectExpr("event_id", "bad IS NULL AS valid", "IF(startswith(bad, 'event:'), 'event', bad) AS about")
 
 
-def _signing_key(bits: int = 512) -> tuple[int, int, str]:
-    """A key pair for the query's own tokens, the same at each call: modulus, private exponent and public key as PEM."""
-    rng, primes = random.Random(11), []
-    while len(primes) < 2:
-        n = rng.getrandbits(bits) | 1 | 3 << (bits - 2)
-        if n % 65537 != 1 and all(pow(a, n - 1, n) == 1 for a in (2, 3, 5, 7, 11)):
-            primes.append(n)
-    p, q = primes
-
-    def der(tag: int, content: bytes) -> bytes:
-        size = len(content).to_bytes((len(content).bit_length() + 7) // 8, "big")
-        return bytes([tag, *([len(content)] if len(content) < 128 else [128 + len(size), *size])]) + content
-
-    def number(n: int) -> bytes:
-        return der(2, n.to_bytes(n.bit_length() // 8 + 1, "big"))
-
-    algorithm = der(0x30, bytes.fromhex("06092a864886f70d010101") + b"\x05\x00")
-    public = der(0x30, algorithm + der(3, b"\x00" + der(0x30, number(p * q) + number(65537))))
-    pem = f"-----BEGIN PUBLIC KEY-----\n{base64.b64encode(public).decode()}\n-----END PUBLIC KEY-----"
-    return p * q, pow(65537, -1, (p - 1) * (q - 1)), pem
+# The key pair of the queries' own tokens (RSA, 1,024 bits): modulus and private exponent in hex, and the public key.
+_MODULUS = (
+    "ebd0ac511895a07cf4c0891b7482d9ce3f029c77d0812887e0e0fc500a19a8311aebdcb3668ae42aa3a38b09c06fb0dcd5bfd0bace5c504e33751e4b6a45064a2a2d68833ff23f3178ac29"
+    "73042aa04b505758fc49501d68c3e48c81864e3b583495eb9927225762c9a4e37bfd879e3bf87495af59ce8379367a5d6e1114888d"
+)
+_EXPONENT = (
+    "4b761f6e641b9d9bdf06add967536837a3da460fe15d338727e3575a95a0d83dbe8bb3b8851bf51fdff5b9cc891434d8b65e07817ffff282d3dcaab11f74af29f74b21cc8e549f88353344"
+    "7b89f88f74bfcacb8fb7bf3eea316065e36da9cde3a14985a5831a712698828ca0302df1b58ea7f190cc7c82e0a0b1e6de10d9da01"
+)
+_PUBLIC_KEY = (
+    "MIGfMA0GCSqGSIb3DQEBAQUAA4GNADCBiQKBgQDr0KxRGJWgfPTAiRt0gtnOPwKcd9CBKIfg4PxQChmoMRrr3LNmiuQqo6OLCcBvsNzVv9C6zlxQTjN1HktqRQZKKi1ogz/yPzF4rClzBCqgS1BXWP"
+    "xJUB1ow+SMgYZOO1g0leuZJyJXYsmk43v9h547+HSVr1nOg3k2el1uERSIjQIDAQAB"
+)
+_SIGNING_KEY = (int(_MODULUS, 16), int(_EXPONENT, 16), f"-----BEGIN PUBLIC KEY-----\n{_PUBLIC_KEY}\n-----END PUBLIC KEY-----")
 
 
 def _signed_token(claims: dict, key: tuple[int, int, str]) -> str:
@@ -396,7 +389,7 @@ SELECT event_id, CASE user_id % 8 WHEN 0 THEN 'user0' WHEN 1 THEN 'user1' WHEN 2
 """)
 def bearer_subjects(spark, sf):
     """Subjects of signed tokens: valid, forged, expired, for others, by an unknown issuer, nonsense, none."""
-    key = _signing_key()
+    key = _SIGNING_KEY
     good = [_signed_token({"iss": "https://a", "sub": f"user{i}", "aud": "me"}, key) for i in range(4)]
     tokens = good[:3] + [
         ".".join([*good[3].split(".")[:2], good[0].split(".")[2]]),

@@ -61,13 +61,14 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return feed.spread(feed.table(spark, sf, "events"))
 
 
-def _raw(spark: SparkSession, sf: str, types: tuple[str, ...] = ()) -> DataFrame:
-    events = _events(spark, sf)
-    return feed.raw_from_events(events.where(F.col("event_type").isin(*types)) if types else events)
+def _raw(spark: SparkSession, sf: str) -> DataFrame:
+    return feed.raw_from_events(_events(spark, sf))
 
 
-def _atomic(spark: SparkSession, sf: str, types: tuple[str, ...] = (), with_position: bool = False) -> DataFrame:
-    return to_atomic(process_raw(_raw(spark, sf, types), CONFIG, feed_rules()), CONFIG, with_position=with_position)
+def _atomic(spark: SparkSession, sf: str, *names: str, with_position: bool = False) -> DataFrame:
+    """Events of all payloads; with ``names`` those of these names."""
+    events = to_atomic(process_raw(_raw(spark, sf), CONFIG, feed_rules()), CONFIG, with_position=with_position)
+    return events.where(F.col("event_name").isin(*names)) if names else events
 
 
 def _context(uri: str) -> str:
@@ -262,7 +263,7 @@ SELECT event_id, 'web' AS platform, 'js-3' AS v_tracker, '{CONFIG.schema_vendor}
 FROM events WHERE event_type = 'view'
 """)
 def page_view_events(spark, sf):
-    return _atomic(spark, sf, ("view",)).selectExpr(
+    return _atomic(spark, sf, "page_view").selectExpr(
         f"{_NUMBER} AS event_id",
         "platform",
         "v_tracker",
@@ -281,7 +282,7 @@ SELECT event_id, 'account' AS category, 'signup' AS action, 'plan' || user_id %
 FROM events WHERE event_type = 'signup'
 """)
 def structured_events(spark, sf):
-    return _atomic(spark, sf, ("signup",)).selectExpr(
+    return _atomic(spark, sf, "structured_event").selectExpr(
         f"{_NUMBER} AS event_id", "category", "action", "label", "CAST(value AS DOUBLE) AS amount"
     )
 
@@ -291,7 +292,7 @@ SELECT event_id, 'tr_cu,tr_id,tr_tt,txn_id' AS keys, event_id::VARCHAR AS txn_id
 FROM events WHERE event_type = 'purchase'
 """)
 def transaction_events(spark, sf):
-    rows = _atomic(spark, sf, ("purchase",)).where("event_name = 'transaction'")
+    rows = _atomic(spark, sf, "transaction")
     return rows.selectExpr(
         f"{_NUMBER} AS event_id",
         "array_join(array_sort(json_object_keys(event.data)), ',') AS keys",
@@ -331,7 +332,7 @@ SELECT event_id, 'com.snowplowanalytics.snowplow' AS event_vendor, '1-0-1' AS ev
 FROM events WHERE event_type = 'click'
 """)
 def self_describing_events(spark, sf):
-    return _atomic(spark, sf, ("click",)).selectExpr(
+    return _atomic(spark, sf, "link_click").selectExpr(
         f"{_NUMBER} AS event_id",
         "event_vendor",
         "event_version",
@@ -346,7 +347,7 @@ SELECT event_id, 'w' || event_id % 11 AS page, 's' || user_id AS session_id, eve
 FROM events WHERE event_type = 'click'
 """)
 def tracker_contexts(spark, sf):
-    return _atomic(spark, sf, ("click",)).selectExpr(
+    return _atomic(spark, sf, "link_click").selectExpr(
         f"{_NUMBER} AS event_id",
         f"get_json_object({_context(feed.WEB_PAGE)}, '$.id') AS page",
         "session_id",
@@ -363,7 +364,7 @@ _ORACLE_CAMPAIGN = """CASE event_id % 4
 
 @query(f"SELECT event_id, {_ORACLE_CAMPAIGN} AS campaign FROM events WHERE event_type = 'view'")
 def campaign_contexts(spark, sf):
-    return _atomic(spark, sf, ("view",)).selectExpr(f"{_NUMBER} AS event_id", f"{_context(CAMPAIGN)} AS campaign")
+    return _atomic(spark, sf, "page_view").selectExpr(f"{_NUMBER} AS event_id", f"{_context(CAMPAIGN)} AS campaign")
 
 
 _ORACLE_DEVICE = """CASE WHEN user_id % 6 < 5 THEN '{"browser_family":' || CASE user_id % 6
@@ -544,7 +545,7 @@ FROM events WHERE event_type = 'click' GROUP BY 1
 """)
 def typed_session_contexts(spark, sf):
     column = iglu.context_column_name(feed.SESSION)
-    flat = flatten_atomic(_atomic(spark, sf, ("click",)), schema_names=["com.snowplowanalytics.snowplow/client_session"], columns=[column])
+    flat = flatten_atomic(_atomic(spark, sf, "link_click"), schema_names=["com.snowplowanalytics.snowplow/client_session"], columns=[column])
     typed = flat.select(typed_data(column, feed.FEED_DOCUMENTS[feed.SESSION]).alias("s"))
     return typed.groupBy(F.col("s.sessionId").alias("session_id")).agg(
         F.count("*").alias("n"), F.sum("s.sessionIndex").alias("visits")
@@ -597,7 +598,7 @@ SELECT {_ORACLE_URL} AS page_url, count(*) AS n FROM events WHERE event_type = '
 GROUP BY 1 ORDER BY n DESC, page_url LIMIT 10
 """)
 def top_pages(spark, sf):
-    pages = _atomic(spark, sf, ("view",)).selectExpr("get_json_object(event.data, '$.page_url') AS page_url")
+    pages = _atomic(spark, sf, "page_view").selectExpr("get_json_object(event.data, '$.page_url') AS page_url")
     return pages.groupBy("page_url").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "page_url").limit(10)
 
 

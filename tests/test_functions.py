@@ -3,7 +3,7 @@ import json
 import pytest
 from sqlvalue import value
 
-from millrace.functions.schema_checker import Checker, read_document
+from millrace.functions.schema_checker import Checker, read_document, violation
 from millrace.functions import iglu, jsonschema, net, text
 
 
@@ -195,3 +195,19 @@ def test_rules_that_are_checked_as_data(document, data, found):
 def test_odd_headers(spark):
     assert value(spark, net.header_value("array('cookie', 'a: b')", "cookie")) is None
     assert value(spark, net.headers_map("array('nothing')")) == {}
+
+
+@pytest.mark.parametrize(
+    "schema,data,found",
+    [
+        ({"type": "integer"}, "1" + "0" * 400, None),
+        ({"type": "integer", "multipleOf": 7}, "1" + "0" * 400, "number breaks multipleOf"),
+        ({"multipleOf": 0.5}, "1" + "0" * 400, "number breaks multipleOf"),
+        ({"const": 1}, "1" + "0" * 400, "value is not the expected value"),
+        ({"type": "integer"}, "1" + "0" * 5000, "value cannot be read"),
+        ({"type": "array"}, "[" * 100_000 + "]" * 100_000, "value is nested too deeply"),
+        ({"maximum": 5}, "1e999", "number breaks maximum"),
+    ],
+)
+def test_data_that_would_end_a_job(schema, data, found):
+    assert violation(json.dumps({"$schema": "x", **schema}), data) == found
