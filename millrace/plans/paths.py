@@ -29,7 +29,7 @@ from millrace.plans import feed
 from millrace.plans.queries import _EXPECTED_EVENTS, _NUMBER, CONFIG, DEVICE, _atomic, _context, _raw, feed_rules, query
 from millrace.sources import codecs
 from millrace.sources.registry import Rules, builtin_documents, load_rules, registry_table, resolve
-from millrace.sources.store import read_atomic, write_atomic
+from millrace.sources.store import read_atomic, write_atomic, write_bucketed
 from millrace.streaming.jobs import consume_errors, consume_events, enrich_stream, parquet_batch_writer, without_repeats
 
 _META = "https://json-schema.org/draft/2020-12/schema"
@@ -839,3 +839,20 @@ def stream_without_repeats(spark, sf):
     _run(once.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(f"{out}/once"))
     span = feed.table(spark, sf, "events").selectExpr("min(unix_micros(CAST(ts AS TIMESTAMP))) AS low", "max(unix_micros(CAST(ts AS TIMESTAMP))) AS high")
     return spark.read.schema("event_id long, user_id long, ts timestamp").parquet(f"{out}/once").join(F.broadcast(span)).selectExpr("event_id", f"{_TURNS} AS turn")
+
+
+@query(f"""
+WITH x AS ({_EXPECTED_EVENTS}), v AS (SELECT user_id, count(*) AS views FROM x WHERE event_name = 'page_view' GROUP BY 1),
+b AS (SELECT user_id, count(*) AS bought FROM x WHERE event_name = 'transaction_item' GROUP BY 1)
+SELECT 'n' || user_id AS usr, views, bought FROM v JOIN b USING (user_id)
+""")
+def views_and_items_per_user(spark, sf):
+    """Two stored tables joined per user where their buckets lie, without a shuffle."""
+    events, out = _atomic(spark, sf), scratch_dir(spark)
+    name = f"millrace_{out.rsplit('-', 1)[1]}"
+    columns = ["event_id", "event_name", "network_userid"]
+    views = write_bucketed(events.where("event_name = 'page_view'").select(columns), f"{name}_views", f"{out}/views", buckets=8)
+    items = write_bucketed(events.where("event_name = 'transaction_item'").select(columns), f"{name}_items", f"{out}/items", buckets=8)
+    viewed = views.groupBy("network_userid").agg(F.count("*").alias("views"))
+    bought = items.groupBy("network_userid").agg(F.count("*").alias("bought"))
+    return viewed.join(bought.hint("merge"), "network_userid").selectExpr("network_userid AS usr", "views", "bought")

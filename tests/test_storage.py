@@ -20,7 +20,7 @@ from millrace.operators.shred import (
 from millrace.plans.feed import PAYLOAD
 from millrace.sources import codecs, queues
 from millrace.sources.registry import builtin_documents, describe, load_rules, oversized, read_schema_files, registry_table
-from millrace.sources.store import read_atomic, register_atomic, write_atomic
+from millrace.sources.store import read_atomic, register_atomic, write_atomic, write_bucketed
 from millrace.streaming.jobs import consume_errors, consume_events, enrich_stream, parquet_batch_writer
 from plainrecords import Avro
 
@@ -272,3 +272,17 @@ def test_streams(spark, make_raw, config, rules, tmp_path):
     assert spark.table("dev_events").count() == 1
     assert queues.written_bytes(codecs.encode_messages(raw, "avro")).first().bytes > 0
     assert set(RAW_COLUMNS) == set(raw.columns)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("concat('u', id % 90) AS network_userid", "id AS event_id")
+    more = spark.range(500).selectExpr("IF(id % 3 = 0, 'u1', concat('u', id % 120)) AS network_userid", "id AS n")
+    one = write_bucketed(rows, "bucketed_one", str(tmp_path / "one"), buckets=4)
+    two = write_bucketed(more, "bucketed_two", str(tmp_path / "two"), buckets=4)
+    joined = one.join(two.hint("merge"), "network_userid").groupBy("network_userid").agg(F.count("*").alias("n"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    want = rows.join(more, "network_userid").groupBy("network_userid").agg(F.count("*").alias("n"))
+    assert sorted(joined.collect()) == sorted(want.collect())
+    for table in ("bucketed_one", "bucketed_two"):
+        spark.sql(f"DROP TABLE {table}")
