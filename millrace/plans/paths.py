@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.config import PipelineConfig
-from millrace.functions import net
+from millrace.functions import iglu, net
 from millrace.functions.sqltext import lit
 from millrace.model import ATOMIC_COLUMNS, RAW_COLUMNS
 from millrace.operators.auth import with_auth_subject
@@ -23,13 +23,14 @@ from millrace.operators.carry import SLICE_ROWS, ordered, with_last, with_rank,
 from millrace.operators.enrich import Dimensions, Enrichment, process_raw, to_atomic
 from millrace.operators.errors import reason, to_errors, undecodable_to_errors
 from millrace.operators.geo import with_geo
+from millrace.operators.shred import flatten_atomic
 from millrace.operators.sketches import REGISTERS, daily_sketches, distinct_over
 from millrace.operators.staging import scratch_dir
 from millrace.plans import feed
 from millrace.plans.queries import _EXPECTED_EVENTS, _NUMBER, CONFIG, DEVICE, _atomic, _context, _raw, feed_rules, query
 from millrace.sources import codecs
 from millrace.sources.registry import Rules, builtin_documents, load_rules, registry_table, resolve
-from millrace.sources.store import read_atomic, write_atomic, write_bucketed
+from millrace.sources.store import read_atomic, write_atomic, write_bucketed, write_wide
 from millrace.streaming.jobs import consume_errors, consume_events, enrich_stream, parquet_batch_writer, without_repeats
 
 _META = "https://json-schema.org/draft/2020-12/schema"
@@ -516,9 +517,6 @@ SELECT event_id, 'w' || event_id % 11 AS kept, 2::BIGINT AS sent FROM events
 """)
 def context_collision(spark, sf):
     """Two versions of a context share a column: the last one is kept."""
-    from millrace.functions import iglu
-    from millrace.operators.shred import flatten_atomic
-
     newer = feed.WEB_PAGE.replace("1-0-0", "1-0-1")
     contexts = (
         f"array(named_struct('schema', {lit(feed.WEB_PAGE)}, 'data', '{{\"id\":\"first\"}}'),"
@@ -856,3 +854,16 @@ def views_and_items_per_user(spark, sf):
     viewed = views.groupBy("network_userid").agg(F.count("*").alias("views"))
     bought = items.groupBy("network_userid").agg(F.count("*").alias("bought"))
     return viewed.join(bought.hint("merge"), "network_userid").selectExpr("network_userid AS usr", "views", "bought")
+
+
+@query("""
+SELECT event_type AS kind, 'w' || event_id % 11 AS page, count(*) AS n, sum(event_id % 9)::BIGINT AS visits FROM events WHERE event_type = 'click' GROUP BY 1, 2
+""")
+def stored_context_paths(spark, sf):
+    """Events stored with a VARIANT column for each context; two paths are read and nothing else of the contexts."""
+    web, session = (iglu.context_column_name(u) for u in (feed.WEB_PAGE, feed.SESSION))
+    path = f"{scratch_dir(spark)}/wide"
+    write_wide(flatten_atomic(_atomic(spark, sf), all_schemas=True), path)
+    stored = spark.read.parquet(path)
+    paths = stored.selectExpr(f"variant_get({web}, '$.id', 'string') AS page", f"variant_get({session}, '$.sessionIndex', 'bigint') AS visits")
+    return paths.where("page IS NOT NULL").groupBy(F.lit("click").alias("kind"), "page").agg(F.count("*").alias("n"), F.sum("visits").alias("visits"))

@@ -43,3 +43,14 @@ def write_bucketed(events: DataFrame, table: str, path: str, by: str = "network_
     parted = events.repartition(buckets, by)  # one file a bucket, not one for each task and bucket
     parted.write.mode(mode).option("path", path).bucketBy(buckets, by).sortBy(by).saveAsTable(table)
     return events.sparkSession.table(table)
+
+
+def write_wide(flat: DataFrame, path: str, mode: str = "append") -> None:
+    """Wide rows (``shred.flatten_atomic``) with the event's data and each context as a VARIANT column, by day and event name.
+
+    Parquet keeps the paths that a file's values have in common as columns of their own (``spark.sql.variant.writeShredding``,
+    on by default), so ``variant_get`` of one path of one context reads that column and no other. Text that is not JSON is null.
+    """
+    data = [c for c in flat.columns if c == "event" or c.startswith("context_")]
+    table = flat.withColumns({c: F.try_parse_json(c) for c in data}).withColumns({"event_date": F.to_date("tstamp"), "name": F.col("event_name")})
+    table.hint("rebalance", "event_date", "name").write.mode(mode).partitionBy("event_date", "name").parquet(path)

@@ -20,7 +20,7 @@ from millrace.operators.shred import (
 from millrace.plans.feed import PAYLOAD
 from millrace.sources import codecs, queues
 from millrace.sources.registry import builtin_documents, describe, load_rules, oversized, read_schema_files, registry_table
-from millrace.sources.store import read_atomic, register_atomic, write_atomic, write_bucketed
+from millrace.sources.store import read_atomic, register_atomic, write_atomic, write_bucketed, write_wide
 from millrace.streaming.jobs import consume_errors, consume_events, enrich_stream, parquet_batch_writer
 from plainrecords import Avro
 
@@ -286,3 +286,17 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     assert sorted(joined.collect()) == sorted(want.collect())
     for table in ("bucketed_one", "bucketed_two"):
         spark.sql(f"DROP TABLE {table}")
+
+
+def test_a_path_of_a_stored_context_is_read_alone(spark, tmp_path):
+    rows = spark.range(3000).selectExpr(
+        "CAST(id AS STRING) AS event_id", "IF(id % 2 = 0, 'a', 'b') AS event_name", "TIMESTAMP'2024-05-01 10:00:00' AS tstamp", "concat('{\"x\":', id, '}') AS event",
+        "IF(id % 3 = 0, NULL, concat('{\"id\":\"p', id, '\",\"deep\":{\"n\":', id, ',\"s\":\"', repeat('y', 50), '\"}}')) AS context_org_page_1", "IF(id % 5 = 0, 'no json', '{}') AS context_org_other_1",
+    )
+    write_wide(rows, str(tmp_path / "wide"))
+    stored = spark.read.parquet(str(tmp_path / "wide"))
+    assert stored.schema["context_org_page_1"].dataType.simpleString() == "variant" and stored.where("context_org_other_1 IS NULL").count() == 600
+    path = stored.selectExpr("variant_get(context_org_page_1, '$.deep.n', 'bigint') AS n")
+    plan = path._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<context_org_page_1:struct<0:bigint>>" in plan
+    assert path.agg(F.sum("n"), F.count("n")).first() == (sum(i for i in range(3000) if i % 3), 2000)
