@@ -29,6 +29,7 @@ from millrace.operators.staging import scratch_dir
 from millrace.plans import feed
 from millrace.plans.queries import _EXPECTED_EVENTS, _NUMBER, CONFIG, DEVICE, _atomic, _context, _raw, feed_rules, query
 from millrace.sources import codecs
+from millrace.sources.queues import batch_limit, read_queue
 from millrace.sources.registry import Rules, builtin_documents, load_rules, registry_table, resolve
 from millrace.sources.store import read_atomic, write_atomic, write_bucketed, write_wide
 from millrace.streaming.jobs import consume_errors, consume_events, enrich_stream, parquet_batch_writer, without_repeats
@@ -867,3 +868,22 @@ def stored_context_paths(spark, sf):
     stored = spark.read.parquet(path)
     paths = stored.selectExpr(f"variant_get({web}, '$.id', 'string') AS page", f"variant_get({session}, '$.sessionIndex', 'bigint') AS visits")
     return paths.where("page IS NOT NULL").groupBy(F.lit("click").alias("kind"), "page").agg(F.count("*").alias("n"), F.sum("visits").alias("visits"))
+
+
+@query(f"""
+WITH x AS ({_EXPECTED_EVENTS}) SELECT event_name, count(*) AS n, count(DISTINCT event_id) AS payloads FROM x GROUP BY 1
+""")
+def queue_dump_stream(spark, sf):
+    """A dump of the raw queue, read a third of its messages at a time, with a restart after the first micro-batch."""
+    out = scratch_dir(spark)
+    messages = _raw(spark, sf).select(F.expr(codecs.raw_avro()).alias("value"))
+    messages.write.parquet(f"{out}/queue")
+    limit = spark.read.parquet(f"{out}/queue").count() // 3 + 1
+    for trigger in ({"once": True}, {"processingTime": "0 seconds"}):  # one micro-batch, then the others
+        stream = read_queue(spark, "raw", "queue_dump", {"path": f"{out}/queue", **batch_limit("queue_dump", limit)})
+        writers = parquet_batch_writer(f"{out}/events"), parquet_batch_writer(f"{out}/errors")
+        running = enrich_stream(stream, CONFIG, feed_rules, *writers, f"{out}/checkpoint", trigger=trigger)
+        running.processAllAvailable()
+        running.stop()
+    events = spark.read.parquet(f"{out}/events").selectExpr("event_name", f"{_NUMBER} AS id")
+    return events.groupBy("event_name").agg(F.count("*").alias("n"), F.countDistinct("id").alias("payloads"))

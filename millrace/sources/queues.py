@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
+from millrace.sources.dump import QueueDump
+
 QUEUES = ("raw", "events", "errors")
 
 
@@ -40,8 +42,8 @@ def kafka_sink_options(brokers: str, topic: str | None, queue: str) -> dict[str,
 
 
 def batch_limit(fmt: str, n: int) -> dict[str, str]:
-    """Read option that bounds a micro-batch: messages of Kafka, files of a folder."""
-    return {"maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger": str(n)}
+    """Read option that bounds a micro-batch: messages of Kafka and of a queue's dump, files of a folder."""
+    return {{"kafka": "maxOffsetsPerTrigger", "queue_dump": "limit"}.get(fmt, "maxFilesPerTrigger"): str(n)}
 
 
 def read_queue(
@@ -50,6 +52,9 @@ def read_queue(
     """Messages of a queue as one binary column ``value``."""
     check_queue(queue)
     options = dict(options)
+    if fmt == QueueDump.name():
+        spark.dataSource.register(QueueDump)
+        return spark.readStream.format(fmt).options(**options).load()
     reader = spark.readStream if streaming else spark.read
     path = options.pop("path", None)
     reader = reader.format(fmt).options(**options)

@@ -1,8 +1,11 @@
 """Event-time state of streams, counts per micro-batch, sketches and ranks."""
 
 import random
+import time
 from datetime import datetime, timedelta
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +13,8 @@ from millrace import PipelineConfig
 from millrace.operators.carry import with_rank
 from millrace.operators.sketches import daily_sketches, distinct_over
 from millrace.sources import codecs
+from millrace.sources.dump import DumpReader, QueueDump
+from millrace.sources.queues import batch_limit, read_queue
 from millrace.streaming.jobs import enrich_stream, session_counts, without_repeats
 
 START = datetime(2024, 1, 1)
@@ -96,3 +101,47 @@ def test_queue_names_are_checked(spark):
     for fn in (codecs.to_queue_body, codecs.from_queue_body):
         with pytest.raises(ValueError, match="Unknown queue type"):
             fn(df, "others")
+
+
+def test_dump_is_read_ten_messages_at_a_time_and_goes_on_after_a_restart(spark, tmp_path):
+    queue = str(tmp_path / "queue")
+    spark.range(57).selectExpr("CAST(CAST(id AS STRING) AS BINARY) AS value").repartition(4).write.parquet(queue)
+    seen = {}
+
+    def each(df, batch):
+        assert batch not in seen or seen[batch] == sorted(int(bytes(r["value"])) for r in df.collect())
+        seen[batch] = sorted(int(bytes(r["value"])) for r in df.collect())
+
+    def run(until):
+        stream = read_queue(spark, "raw", "queue_dump", {"path": queue, **batch_limit("queue_dump", 10)})
+        query = stream.writeStream.foreachBatch(each).option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="0 seconds").start()
+        while until and query.isActive and len(seen) < until:
+            time.sleep(0.05)
+        if not until:
+            query.processAllAvailable()
+        query.stop()
+
+    run(2)
+    run(4)
+    run(None)
+    assert sorted(sum(seen.values(), [])) == list(range(57)) and max(map(len, seen.values())) == 10 and len(seen) == 6
+    spark.createDataFrame([(b"57",), (b"58",)], "value binary").coalesce(1).write.parquet(str(tmp_path / "more"))
+    (part,) = (tmp_path / "more").glob("*.parquet")
+    part.rename(tmp_path / "queue" / "z.parquet")  # a later file
+    run(None)
+    assert sorted(sum(seen.values(), [])) == list(range(59))
+
+
+def test_stretches_of_a_dump(spark, tmp_path):
+    for name, n in (("a", 5), ("b", 0), ("c", 7)):
+        pq.write_table(pa.table({"value": pa.array([f"{name}{i}".encode() for i in range(n)], pa.binary())}), tmp_path / f"{name}.parquet", row_group_size=2)
+    reader = DumpReader(str(tmp_path), 4)
+    offsets = [reader.initialOffset()]
+    while (end := reader.latestOffset()) != offsets[-1]:
+        offsets.append(end)
+    assert offsets[1:] == [{"file": "a.parquet", "row": 4}, {"file": "c.parquet", "row": 3}, {"file": "c.parquet", "row": 7}]
+    got = [[v.as_py() for s in reader.partitions(a, b) for batch in reader.read(s) for v in batch.column(0)] for a, b in zip(offsets, offsets[1:])]
+    assert got == [[b"a0", b"a1", b"a2", b"a3"], [b"a4", b"c0", b"c1", b"c2"], [b"c3", b"c4", b"c5", b"c6"]]
+    assert DumpReader(str(tmp_path / "nowhere"), 4).latestOffset() == {"file": "", "row": 0}
+    with pytest.raises(ValueError):
+        QueueDump({"path": "x", "limit": "0"}).streamReader(None)
