@@ -109,12 +109,14 @@ def best_two_fit(counts: dict[int, int], capacity: int) -> list[tuple[list[int],
             gap -= size * used[size]
             end -= 1
         shortest = min(used)
+        looked_at = dict(used)  # pieces that have to be there for the next sequence to be filled and mended alike
         if pair := _tighter_pair(sizes, left, used, gap + shortest, shortest):
             used[shortest] -= 1
             for size in pair:
                 used[size] = used.get(size, 0) + 1
+                looked_at[size] = looked_at.get(size, 0) + 1
         used = {size: n for size, n in used.items() if n}
-        times = min(left[size] // n for size, n in used.items())
+        times = 1 + min((left[size] - looked_at[size]) // n for size, n in used.items())
         for size, n in used.items():
             left[size] -= n * times
             if not left[size]:

@@ -82,6 +82,38 @@ def test_two_fit_exchanges_the_smallest():
     assert packing.best_two_fit({}, 10) == []
 
 
+def two_fit_by_documents(lengths, capacity):
+    """The bins, document by document: fill with the longest that fits, then the smallest goes for two unpacked documents
+    that fill its expanded gap more, of equal sums the pair with the longest one."""
+    left, bins = sorted(lengths, reverse=True), []
+    while left:
+        own, gap = [], capacity
+        for size in left:
+            if size <= gap:
+                own.append(size)
+                gap -= size
+        free = list(left)
+        for size in own:
+            free.remove(size)
+        room = gap + own[-1]
+        pairs = [(a + b, a, b) for i, a in enumerate(free) for b in free[i + 1 :] if own[-1] < a + b <= room]
+        if pairs:
+            own = [*own[:-1], *max(pairs)[1:]]
+        for size in own:
+            left.remove(size)
+        bins.append(tuple(sorted(own, reverse=True)))
+    return Counter(bins)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 6), max_size=10), st.integers(40, 60))
+def test_two_fit_document_by_document(counts, capacity):
+    got = Counter()
+    for lengths, times in packing.best_two_fit(counts, capacity):
+        got[tuple(lengths)] += times
+    assert got == two_fit_by_documents(list(Counter(counts).elements()), capacity)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 30), max_size=20))
 def test_plans_use_every_piece_once(counts):
