@@ -31,19 +31,24 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Recurring lines of any length stay in their first document; a document that loses all its words goes."""
+    """Recurring lines of any length stay in their first document; a document that loses all its words goes.
+
+    Null, empty and blank texts lose nothing and stay. No rows give none."""
     dropped = free_name(docs, "n_dropped")
     left = line_templates.drop_recurring_lines(docs, dropped_out=dropped)
     return left.where((F.col(dropped) == 0) | F.col("text").rlike(line_templates.WORD)).select(docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, a similarity of 0.8."""
+    """One document of each group of near duplicates: five-word shingles, a similarity of 0.8.
+
+    Of a group the row with the smallest id stays, rows without an id only where none has one. Null, empty and blank texts are
+    alike with nothing and stay. No rows give none."""
     return near_dedup.drop_near_duplicates(docs, k=5, percent=80).select(docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequence and place."""
+    """The pieces of all documents with their sequence and place. Null and empty texts are one end mark; no rows give none."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
