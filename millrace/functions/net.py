@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from millrace.functions.sqltext import if_chain, let, lit, lits
 from millrace.functions.text import query_param
 
@@ -140,7 +142,8 @@ def headers_map(headers: str) -> str:
 
 
 def cookie_value(headers: str, name: str) -> str:
-    pattern = f"(?:^|.*;)\\s*{name}=([^;]*)"
+    escaped = re.sub(r"([^A-Za-z0-9_])", r"\\\1", name)
+    pattern = f"(?:^|.*;)\\s*{escaped}=([^;]*)"
     return f"nullif(regexp_extract({header_value(headers, 'cookie')}, {lit(pattern)}, 1), '')"
 
 

@@ -211,3 +211,22 @@ def test_odd_headers(spark):
 )
 def test_data_that_would_end_a_job(schema, data, found):
     assert violation(json.dumps({"$schema": "x", **schema}), data) == found
+
+
+def test_cookie_names_are_no_patterns(spark):
+    headers = "array('Cookie: spxid=1; sp.id=2; a+b=3')"
+    assert value(spark, net.cookie_value(headers, "sp.id")) == "2" and value(spark, net.cookie_value(headers, "a+b")) == "3"
+
+
+def test_closed_flat_objects_are_checked_alike_both_ways(spark):
+    """The short test of an object's type text, and the rules one by one, which a title makes the checker take."""
+    names = ["a", "b", "c", "d", "e", "f", "g", "h"]
+    kinds = ["string", "integer", ["string", "null"], "boolean", "string", "integer", ["integer", "null"], "string"]
+    schema = {"type": "object", "properties": {n: {"type": k} for n, k in zip(names, kinds)}, "required": ["a", "b"], "additionalProperties": False}
+    good = {"a": "x", "b": 1, "c": None, "d": True, "e": "", "f": -5, "g": None, "h": "y"}
+    values = [good, {"a": "x", "b": 2}, {"a": "x"}, {"b": 1}, {}, [], None, "a", {**good, "i": 1}, {"a": "x", "b": 1.5}, {"a": "x", "b": 1.0}, {"a": "x", "b": 10**18}]
+    values += [{**good, n: v} for n in names for v in (None, True, 3, 2.5, "t", [1], {"a": "x"})]
+    docs = spark.createDataFrame([(json.dumps(v),) for v in values], "d string").selectExpr("parse_json(d) AS v")
+    both = docs.selectExpr(f"{jsonschema.violation(schema, 'v')} AS short", f"{jsonschema.violation({**schema, 'title': 't'}, 'v')} AS long").collect()
+    assert [r["short"] for r in both] == [r["long"] for r in both]
+    assert sum(r["short"] is None for r in both) > 10
