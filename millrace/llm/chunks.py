@@ -42,6 +42,15 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, chars: int = SLICE) ->
             yield batch.slice(start), texts[start:]
 
 
+def small_slices(batches: Iterator[pa.RecordBatch], text: str, rows: int, chars: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """As ``slices``, with at most ``rows`` rows taken out of a batch together, and what Arrow holds given back at the end: a
+    worker stays small beside what Spark itself needs, also while it waits for the next stage."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield from slices(iter([batch.slice(start, rows)]), text, chars)
+    pa.default_memory_pool().release_unused()
+
+
 class ChunkEncoder:
     """Encodes texts by chunks. ``encode(list of str)`` gives the ids of each str, as bytes."""
 

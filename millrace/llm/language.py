@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.chunks import slices
+from millrace.llm.chunks import small_slices
 from millrace.llm.common import free_name, table
 
 #: Labelled rows of each language that the model is fitted on, on average over samples; their whole texts are used.
@@ -90,14 +90,6 @@ def entries(words: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield n, *gram_keys(words, n)
 
 
-def _parts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Small parts of the batches, and their texts."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, ROWS):
-            yield from slices(iter([batch.slice(start, ROWS)]), text, SLICE)
-    pa.default_memory_pool().release_unused()
-
-
 class Entries:
     """Scores by language of words or of n-grams of one length: ascending keys beside a matrix, keys x languages."""
 
@@ -210,7 +202,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", by_col:
     sample = labelled.join(F.broadcast(n), "lang").where(F.col("lot") * F.col("n") < rows * 1_000_000).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in _parts(batches, "text"):
+        for part, texts in small_slices(batches, "text", ROWS, SLICE):
             found = Counter((lang, w) for lang, t in zip(part.column("lang").to_pylist(), texts) for w in ["", *letters(t)])
             yield pa.RecordBatch.from_pydict({"lang": [lang for lang, _ in found], "word": [w for _, w in found], "n": pa.array(found.values(), pa.int64())})
 
@@ -244,7 +236,7 @@ def with_language(docs: DataFrame, model: WordBackoff, text_col: str = "text", l
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in _parts(batches, text_col):
+        for rows, texts in small_slices(batches, text_col, ROWS, SLICE):
             found = shared.value.predict(texts)
             columns = [*rows.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, schema.names)

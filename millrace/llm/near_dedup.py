@@ -22,13 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import shingles
-from millrace.llm.chunks import slices
+from millrace.llm.chunks import small_slices
 from millrace.llm.common import BROADCAST_ROWS, free_name, semi_join, staged, table
 from millrace.llm.links import linked
 
 BANDS, ROWS = 48, 7
 #: Minima of which two bits are kept, a multiple of 32.
 SIGNED = 320
+#: Rows and characters of text that are worked on at once.
+TOGETHER, SLICE = 500, 500_000
 #: Sets of fewer shingles have no packed signature.
 LEAST_SIGNED = 32
 
@@ -65,7 +67,7 @@ def _signed(docs: DataFrame, k: int) -> DataFrame:
     fields = [T.StructField("id", docs.schema["id"].dataType), *(T.StructField(c, T.LongType()) for c in ("hash", "n", "key")), T.StructField("bands", longs), T.StructField("sig", longs)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in slices(batches, "text"):
+        for rows, texts in small_slices(batches, "text", TOGETHER, SLICE):
             hashes, many = shingles.shingle_hashes(texts, k)
             sets = shingles.shingle_sets(hashes, many)
             n = np.array([len(s) for s in sets], np.int64)
@@ -85,7 +87,7 @@ def _sets(texts: DataFrame, k: int) -> DataFrame:
     """key and shingles (array of long) of every row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, part in slices(batches, "text"):
+        for _, part in small_slices(batches, "text", TOGETHER, SLICE):
             sets = shingles.shingle_sets(*shingles.shingle_hashes(part, k))
             ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
             values = pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))
