@@ -2,9 +2,24 @@
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
-from millrace.plans import feed
+from millrace.operators.enrich import process_raw, to_atomic
+from millrace.plans import feed, paths
+from millrace.sources import codecs
+from millrace.streaming.jobs import consume_events
+
+
+@pytest.fixture(scope="module")
+def sf(spark, tmp_path_factory):
+    """Own rows: 200 events of all types on three days."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    kind = "element_at(array('view', 'click', 'purchase', 'signup', 'error'), CAST(1 + id % 5 AS INT))"
+    at = "CAST(timestamp_seconds(1704067200 + id * 1200) AS TIMESTAMP_NTZ)"
+    events = spark.range(200).selectExpr("id AS event_id", f"{at} AS ts", "id % 7 AS user_id", f"{kind} AS event_type", "id / 4 AS value", "'{}' AS props")
+    events.coalesce(1).write.parquet(f"{folder}/events.parquet")
+    return folder
 
 
 def rows_by_task(df):
@@ -31,3 +46,42 @@ def test_well_cut_tables_and_empty_ones(spark, tmp_path):
     assert feed.spread(cut).rdd.getNumPartitions() == 2 * cores
     assert feed.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
     assert feed.spread(spark.range(0)).count() == 0
+
+
+def batches_of(stream, tmp_path):
+    rows = []
+    stream.writeStream.foreachBatch(lambda df, n: rows.append(df.count())).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    return rows
+
+
+def test_a_queue_of_many_files_is_several_micro_batches(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    messages = spark.range(0, 500, 1, 5 * cores).selectExpr("CAST(CAST(id AS STRING) AS BINARY) AS value")
+    rows = batches_of(paths._queue_stream(spark, messages)[0], tmp_path)
+    assert len(rows) == 2 and sum(rows) == 500
+
+
+def test_a_micro_batch_of_messages_has_files_for_all_cores(spark, sf, tmp_path):
+    stream, out = paths._message_stream(spark, sf)
+    files = spark.read.parquet(f"{out}/messages").inputFiles()
+    assert len(files) == 4 * spark.sparkContext.defaultParallelism
+    rows = batches_of(stream, tmp_path)
+    assert len(rows) == 4 and sum(rows) == 200
+
+
+def test_a_consumer_decodes_a_message_once(spark, make_raw, config, rules, tmp_path):
+    atomic = to_atomic(process_raw(make_raw({"qs": "e=pv&p=web&url=u&eid=a"}), config, rules), config)
+    noise = spark.sql("SELECT CAST('no event' AS BINARY) AS value")
+    codecs.encode_atomic(atomic).unionByName(noise).write.parquet(str(tmp_path / "queue"))
+    seen = {}
+
+    def writer(name):
+        def write(df, batch_id):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            seen[name] = df.count(), "InMemoryTableScan" in plan
+
+        return write
+
+    stream = spark.readStream.schema("value binary").parquet(str(tmp_path / "queue"))
+    consume_events(stream, writer("events"), str(tmp_path / "c"), write_errors=writer("errors")).awaitTermination()
+    assert seen == {"events": (1, True), "errors": (1, True)}
