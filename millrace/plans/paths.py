@@ -25,7 +25,7 @@ from millrace.operators.errors import reason, to_errors, undecodable_to_errors
 from millrace.operators.geo import with_geo
 from millrace.operators.shred import flatten_atomic
 from millrace.operators.sketches import REGISTERS, daily_sketches, distinct_over
-from millrace.operators.staging import scratch_dir
+from millrace.operators.staging import scratch_dir, staged
 from millrace.plans import feed
 from millrace.plans.queries import _EXPECTED_EVENTS, _NUMBER, CONFIG, DEVICE, _atomic, _context, _raw, feed_rules, query
 from millrace.sources import codecs
@@ -425,7 +425,7 @@ def enrichment_verdict(spark, sf):
         Enrichment(values={"tenant_id": f"get_json_object(try_element_at(filter(it.contexts, c -> c.schema = {lit(note)}), 1).data, '$.user')"}),
     ]
     dims = Dimensions(enrichments=steps)
-    processed = process_raw(_raw(spark, sf), CONFIG, feed_rules(), dims)
+    processed = staged(process_raw(_raw(spark, sf), CONFIG, feed_rules(), dims), "processed")  # judged once, read twice
     good = to_atomic(processed, CONFIG, dims).groupBy("event_name").agg(
         F.count("*").alias("n"), F.count("tenant_id").alias("noted"), F.sum(F.col("tenant_id").cast("bigint")).alias("total")
     )
@@ -703,7 +703,8 @@ SELECT 'n' || user_id AS usr, n FROM c WHERE n > (SELECT avg(n) FROM c)
 """)
 def busy_new_users(spark, sf):
     """A common table expression, a scalar and a correlated subquery over the events."""
-    _atomic(spark, sf).createOrReplaceTempView("atomic_for_subqueries")
+    events = _atomic(spark, sf).select("event_name", "network_userid")
+    staged(events, "events").createOrReplaceTempView("atomic_for_subqueries")  # read three times
     return spark.sql(
         "WITH c AS (SELECT network_userid AS usr, count(*) AS n FROM atomic_for_subqueries GROUP BY 1)"
         " SELECT usr, n FROM c WHERE n > (SELECT avg(n) FROM c)"
@@ -717,7 +718,7 @@ UNION ALL SELECT 'more views', count(*) FROM (SELECT user_id FROM events WHERE e
 """)
 def view_and_click_sets(spark, sf):
     """Users with both kinds, and views beyond a user's clicks, by set operations."""
-    atomic = _atomic(spark, sf)
+    atomic = staged(_atomic(spark, sf).select("event_name", "network_userid"), "events")  # read four times
     views, clicks = (atomic.where(f"event_name = '{n}'").select("network_userid") for n in ("page_view", "link_click"))
     both = views.intersect(clicks).agg(F.count("*").alias("n")).selectExpr("'both' AS how", "n")
     return both.unionByName(views.exceptAll(clicks).agg(F.count("*").alias("n")).selectExpr("'more views' AS how", "n"))
@@ -755,8 +756,9 @@ def campaign_funnel(spark, sf):
     """Users a campaign brought, and those of them who bought later."""
     from millrace.plans.queries import CAMPAIGN, _context
 
-    atomic = _atomic(spark, sf)
-    views = atomic.selectExpr("network_userid AS usr", f"get_json_object({_context(CAMPAIGN)}, '$.campaign') AS campaign", "collector_tstamp AS at")
+    campaign = f"get_json_object({_context(CAMPAIGN)}, '$.campaign') AS campaign"
+    atomic = staged(_atomic(spark, sf).selectExpr("event_name", "network_userid", "collector_tstamp", campaign), "events")  # read twice
+    views = atomic.selectExpr("network_userid AS usr", "campaign", "collector_tstamp AS at")
     firsts = views.where("campaign IS NOT NULL").groupBy("usr", "campaign").agg(F.min("at").alias("first"))
     lasts = atomic.where("event_name = 'transaction'").groupBy(F.col("network_userid").alias("buyer")).agg(F.max("collector_tstamp").alias("last"))
     funnel = firsts.join(lasts, F.expr("usr = buyer AND last >= first"), "left")
@@ -779,7 +781,7 @@ SELECT event_name, count(*)::BIGINT AS n, true AS close FROM x WHERE ts::DATE >
 """)
 def users_over_days(spark, sf):
     """Distinct users of all days but the first from stored daily sketches, held against the exact number: four standard errors."""
-    events = _atomic(spark, sf).selectExpr("event_name", "network_userid AS usr", "to_date(collector_tstamp) AS day")
+    events = staged(_atomic(spark, sf).selectExpr("event_name", "network_userid AS usr", "to_date(collector_tstamp) AS day"), "events")  # read twice
     path = f"{scratch_dir(spark)}/sketches"
     daily_sketches(events, "day", ["event_name"], "usr").write.partitionBy("day").parquet(path)
     stored = spark.read.parquet(path)
@@ -857,11 +859,10 @@ SELECT 'n' || user_id AS usr, views, bought FROM v JOIN b USING (user_id)
 """)
 def views_and_items_per_user(spark, sf):
     """Two stored tables joined per user where their buckets lie, without a shuffle."""
-    events, out = _atomic(spark, sf), scratch_dir(spark)
+    events, out = staged(_atomic(spark, sf).select("event_id", "event_name", "network_userid"), "events"), scratch_dir(spark)  # read twice
     name = f"millrace_{out.rsplit('-', 1)[1]}"
-    columns = ["event_id", "event_name", "network_userid"]
-    views = write_bucketed(events.where("event_name = 'page_view'").select(columns), f"{name}_views", f"{out}/views", buckets=8)
-    items = write_bucketed(events.where("event_name = 'transaction_item'").select(columns), f"{name}_items", f"{out}/items", buckets=8)
+    views = write_bucketed(events.where("event_name = 'page_view'"), f"{name}_views", f"{out}/views", buckets=8)
+    items = write_bucketed(events.where("event_name = 'transaction_item'"), f"{name}_items", f"{out}/items", buckets=8)
     viewed = views.groupBy("network_userid").agg(F.count("*").alias("views"))
     bought = items.groupBy("network_userid").agg(F.count("*").alias("bought"))
     return viewed.join(bought.hint("merge"), "network_userid").selectExpr("network_userid AS usr", "views", "bought")

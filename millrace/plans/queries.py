@@ -19,7 +19,7 @@ from millrace.operators.errors import outcome_counts, to_errors
 from millrace.operators.extract import campaign_params
 from millrace.operators.requests import requests_to_raw, sized_payloads
 from millrace.operators.shred import FieldTransformation, flatten_atomic, typed_data
-from millrace.operators.staging import scratch_dir
+from millrace.operators.staging import scratch_dir, staged
 from millrace.plans import feed
 from millrace.session import configure
 from millrace.sources import codecs
@@ -646,7 +646,7 @@ EXCEPT SELECT 'n' || user_id, ts::DATE FROM events WHERE event_type = 'click'
 """)
 def buyers_without_clicks(spark, sf):
     """Buyers and the days on which they bought and did not click."""
-    atomic = _atomic(spark, sf).selectExpr("event_name", "network_userid AS usr", "to_date(collector_tstamp) AS day")
+    atomic = staged(_atomic(spark, sf).selectExpr("event_name", "network_userid AS usr", "to_date(collector_tstamp) AS day"), "events")  # read twice
     buyers = atomic.where("event_name = 'transaction'").select("usr", "day")
     clickers = atomic.where("event_name = 'link_click'").select("usr", "day")
     return buyers.distinct().join(clickers, ["usr", "day"], "left_anti")

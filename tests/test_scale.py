@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.enrich import process_raw, to_atomic
 from millrace.plans import feed, paths
+from millrace.plans.queries import QUERIES
 from millrace.sources import codecs
 from millrace.streaming.jobs import consume_events
 
@@ -85,3 +86,9 @@ def test_a_consumer_decodes_a_message_once(spark, make_raw, config, rules, tmp_p
     stream = spark.readStream.schema("value binary").parquet(str(tmp_path / "queue"))
     consume_events(stream, writer("events"), str(tmp_path / "c"), write_errors=writer("errors")).awaitTermination()
     assert seen == {"events": (1, True), "errors": (1, True)}
+
+
+@pytest.mark.parametrize("name", ["busy_new_users", "view_and_click_sets", "campaign_funnel", "users_over_days", "views_and_items_per_user", "buyers_without_clicks", "enrichment_verdict"])
+def test_queries_that_read_the_events_more_than_once_work_them_out_once(spark, sf, name):
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "parseJson" not in plan
