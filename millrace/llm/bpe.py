@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.chunks import ChunkEncoder, slices
+from millrace.llm.chunks import ChunkEncoder, Recent, slices
 from millrace.llm.common import remembered, table
 
 #: Bytes of distinct matches that one recursive query gets at most (or one match).
@@ -31,6 +31,9 @@ QUERY_IDS = 1_000_000
 #: Bytes from which a match counts as long.
 LONG = 48
 
+#: Chunks, and as many matches that took merges, that a worker remembers about; some 300 MB.
+REMEMBERED = 1_000_000
+
 CONTRACT = """
 WITH RECURSIVE tokens(done, w, pos, npos, tok, ntok) AS (
   SELECT false, w, pos, pos + 1, tok, ntok FROM bytes
@@ -100,7 +103,8 @@ class Bpe:
         self.decimal = [b"%d" % i for i in range(max(self.ranks.values()) + 1)]
         self.db = duckdb.connect(config={"threads": 1})
         self._load()
-        self.texts = ChunkEncoder(self._encode_chunks)
+        self.texts = ChunkEncoder(self._encode_chunks, REMEMBERED)
+        self.merged = Recent(REMEMBERED)
 
     def _load(self) -> None:
         ranks = self.ranks
@@ -142,8 +146,10 @@ class Bpe:
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
         cut = [[m.encode() for m in self.matches(c)] for c in chunks]
-        ids = {w: self.ranks[w].to_bytes(4, "little") if w in self.ranks else b"" for c in cut for w in c}
-        new = [w for w, known in ids.items() if not known]
+        distinct = {w for c in cut for w in c}
+        ids = {w: self.ranks[w].to_bytes(4, "little") for w in distinct if w in self.ranks}
+        new = self.merged.missing(distinct.difference(ids))
+        ids.update((w, self.merged[w]) for w in distinct if w in self.merged)
         for query, words in ((CONTRACT, [w for w in new if len(w) < LONG]), (CONTRACT_LONG, [w for w in new if len(w) >= LONG])):
             todo, size = [], 0
             for w in words:
@@ -154,6 +160,7 @@ class Bpe:
                 size += len(w)
             if todo:
                 ids.update(zip(todo, self.contract(todo, query)))
+        self.merged.update((w, ids[w]) for w in new if len(w) < LONG)
         return [b"".join([ids[w] for w in c]) for c in cut]
 
     def decode(self, docs: list[np.ndarray]) -> list[bytes]:

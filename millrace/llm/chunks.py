@@ -16,7 +16,7 @@ import pyarrow as pa
 INSIDE = re.compile(r" (?:\s|\Z)")
 STARTS = re.compile(r" (?=\S)")
 
-#: Chunks that a worker remembers, each up to LONGEST characters; about 100 MB. It starts anew when they are reached.
+#: Chunks that a worker remembers about, each up to LONGEST characters; about 100 MB.
 REMEMBERED = 400_000
 LONGEST = 64
 #: Characters of text that are worked on at once.
@@ -51,21 +51,39 @@ def small_slices(batches: Iterator[pa.RecordBatch], text: str, rows: int, chars:
     pa.default_memory_pool().release_unused()
 
 
+class Recent(dict):
+    """What was found lately, about ``limit`` entries: at half of them a new half begins, and what the one before has is taken
+    over when it is asked for. So what comes often stays."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit = limit
+        self.before: dict = {}
+
+    def missing(self, keys: set) -> list:
+        """The keys that are not here, after a look at the half before."""
+        if len(self) > self.limit // 2:
+            self.before = dict(self)
+            self.clear()
+        new = keys.difference(self)
+        again = [k for k in new if k in self.before]
+        self.update(zip(again, map(self.before.__getitem__, again)))
+        return list(new.difference(again))
+
+
 class ChunkEncoder:
     """Encodes texts by chunks. ``encode(list of str)`` gives the ids of each str, as bytes."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], remembered: int = REMEMBERED):
         self.encode = encode
-        self.after_space: dict[str, bytes] = {}
+        self.after_space = Recent(remembered)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.after_space) > REMEMBERED:
-            self.after_space = {}
         cut = [chunked(t) for t in texts]
         heads = [c[0] for c in cut]
-        new = list({p for c in cut for p in c[1:]}.difference(self.after_space))
-        ids = self.encode(heads + [f" {p}" for p in new])
         known = self.after_space
+        new = known.missing({p for c in cut for p in c[1:]})
+        ids = self.encode(heads + [f" {p}" for p in new])
         known.update(zip(new, ids[len(heads) :]))
         out = [head + b"".join([known[p] for p in c[1:]]) for head, c in zip(ids, cut)]
         for p in new:

@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm import bpe, packing
+from millrace.llm import bpe, chunks, packing
 
 RANKS, JSON = P.path("byte_bpe_50k.tiktoken"), P.path("byte_bpe_50k.json")
 
@@ -152,3 +152,28 @@ def test_packed_documents(docs_of, odd_rows, tokenizer):
 
 def test_nothing_to_pack(docs_of):
     assert packing.pack(docs_of([]), JSON).collect() == []
+
+
+def test_what_comes_often_is_encoded_once():
+    """However many other chunks come, beyond what is remembered."""
+    seen = []
+    encoder = chunks.ChunkEncoder(lambda texts: seen.extend(texts) or [chunks.as_bytes([len(t)]) for t in texts], 10)
+    for i in range(20):
+        assert encoder([f"x often a{i} b{i}"]) == [chunks.as_bytes([1, 6, 2 + len(str(i)), 2 + len(str(i))])]
+    assert seen.count(" often") == 1
+    assert len(encoder.after_space) + len(encoder.after_space.before) <= 10 + 2 * 3
+
+
+def test_merged_matches_are_remembered():
+    """A match that took merges isn't merged again in another chunk."""
+    merged = []
+
+    class Counted(bpe.Bpe):
+        def contract(self, words, query=bpe.CONTRACT):
+            merged.extend(words)
+            return super().contract(words, query)
+
+    vocabulary = Counted(RANKS, P.PATTERN)
+    first = vocabulary.texts(["a qzxvkwj, b"])
+    assert vocabulary.texts(["a qzxvkwj; b", "a qzxvkwj, b"])[1] == first[0]
+    assert merged.count(b" qzxvkwj") == 1
