@@ -24,13 +24,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.chunks import ChunkEncoder, as_bytes, slices
+from millrace.llm.chunks import ChunkEncoder, as_bytes, small_slices
 from millrace.llm.common import remembered, staged, table
 
 #: Fixed value: how byte-level tokenizers cut a text before they merge.
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Fixed value: a byte-level vocabulary writes these bytes as themselves, and all others as the characters from 256 up.
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: Rows and characters that a worker takes at once, and chunks that it remembers: other stages need the memory as well.
+TOGETHER = 500
+SLICE = 1_000_000
+REMEMBERED = 300_000
 
 
 def _by_rank(tokenizer, spec: dict) -> Callable[[list[str]], list[bytes]] | None:
@@ -89,7 +93,7 @@ def chunk_encoder(path: str) -> ChunkEncoder:
         tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             quick = _by_rank(tokenizer, json.load(file))
-        return ChunkEncoder(quick or (lambda chunks: [as_bytes(e.ids) for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]))
+        return ChunkEncoder(quick or (lambda chunks: [as_bytes(e.ids) for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]), REMEMBERED)
 
     return remembered(("chunk encoder", path), make)
 
@@ -156,7 +160,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, i
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = chunk_encoder(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for rows, texts in slices(batches, "text"):
+        for rows, texts in small_slices(batches, "text", TOGETHER, SLICE):
             row, piece, start, length, crc, nth, kept = [], [], [], [], [], [], []
             for i, ids in enumerate(encoder(texts)):
                 ids += end

@@ -177,3 +177,15 @@ def test_merged_matches_are_remembered():
     first = vocabulary.texts(["a qzxvkwj, b"])
     assert vocabulary.texts(["a qzxvkwj; b", "a qzxvkwj, b"])[1] == first[0]
     assert merged.count(b" qzxvkwj") == 1
+
+
+def test_packing_takes_few_rows_at_once(spark, monkeypatch):
+    """An Arrow batch of 10,000 rows isn't encoded as a whole."""
+
+    def few(texts):
+        assert len(texts) <= 500 and sum(map(len, texts)) <= 1_000_000
+        return [chunks.as_bytes([7]) for _ in texts]
+
+    monkeypatch.setattr(packing, "chunk_encoder", lambda path: few)
+    docs = spark.range(2_000, numPartitions=1).selectExpr("id AS doc_id", "repeat('x ', 5000) AS text")
+    assert packing.encode_pieces(docs, "", 2, 1024).count() == 2_000
