@@ -34,7 +34,7 @@ PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: Rows and characters that a worker takes at once, and chunks that it remembers: other stages need the memory as well.
 TOGETHER = 500
 SLICE = 1_000_000
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
 def _by_rank(tokenizer, spec: dict) -> Callable[[list[str]], list[bytes]] | None:
