@@ -66,14 +66,18 @@ def _by_rank(tokenizer, spec: dict) -> Callable[[list[str]], list[bytes]] | None
 
     def encode(chunks: list[str]) -> list[bytes]:
         out = [b""] * len(chunks)
-        lone = [i for i, c in enumerate(chunks) if c[:1] != " " or c[1:2].isspace() or len(c) < 2 or any(a in c for a in added)]
+        text = "".join(chunks)
+        told = [a for a in added if a in text]  # mostly none, then no chunk has to be searched for them
+        lone = [i for i, c in enumerate(chunks) if c[:1] != " " or c[1:2].isspace() or len(c) < 2 or (told and any(a in c for a in told))]
         for i in lone:
-            own = any(a in chunks[i] for a in added)
+            own = any(a in chunks[i] for a in told)
             out[i] = as_bytes(tokenizer.encode(chunks[i], add_special_tokens=False).ids if own else quick.encode_ordinary(chunks[i]))
         known = set(lone)
         rest = [i for i in range(len(chunks)) if i not in known]  # each starts a token, so they can follow one another
-        ids = np.array(quick.encode_ordinary("".join([chunks[i] for i in rest])), "<u4")
-        ends = np.cumsum([len(chunks[i].encode()) for i in rest])
+        follow = [chunks[i] for i in rest]
+        text = "".join(follow)
+        ids = np.array(quick.encode_ordinary(text), "<u4")
+        ends = np.cumsum(np.fromiter(map(len, follow if text.isascii() else map(str.encode, follow)), np.int64, len(follow)))
         cuts = (4 * (np.searchsorted(np.cumsum(size[ids]), ends) + 1)).tolist()
         whole = ids.tobytes()
         for i, a, b in zip(rest, [0, *cuts], cuts):

@@ -189,3 +189,23 @@ def test_packing_takes_few_rows_at_once(spark, monkeypatch):
     monkeypatch.setattr(packing, "chunk_encoder", lambda path: few)
     docs = spark.range(2_000, numPartitions=1).selectExpr("id AS doc_id", "repeat('x ', 5000) AS text")
     assert packing.encode_pieces(docs, "", 2, 1024).count() == 2_000
+
+
+def test_chunks_are_not_searched_for_added_tokens_that_no_text_has(tokenizer):
+    asked = []
+
+    class Chunk(str):
+        def __contains__(self, part):
+            asked.append(part)
+            return super().__contains__(part)
+
+    path = P.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    encode = packing._by_rank(tokenizer, spec)
+    texts = ["a", " b", " ünd", " 日本", " ", "  x", " word"]
+    assert encode([Chunk(t) for t in texts]) == [chunks.as_bytes(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert not asked
+    added = spec["added_tokens"][0]["content"]
+    texts += [f" a{added}b", added, " c"]
+    assert encode(texts) == [chunks.as_bytes(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
