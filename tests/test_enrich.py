@@ -51,6 +51,25 @@ def test_page_view_with_campaign_and_device(make_raw, config, rules):
     assert len(event.event_id) == 36
 
 
+def test_user_agents_are_read_once_for_a_payload(spark, make_raw, config, rules):
+    se = {"e": "se", "se_ca": "a", "se_ac": "b"}
+    firefox = "Mozilla/5.0 (X11; Linux x86_64; rv:109.0) Gecko/20100101 Firefox/118.0"
+    body = payload(se, se | {"ua": firefox}, se | {"ua": "odd"}, se | {"ua": "odd", "res": "1x2"})
+    requests = [{"body": body}, {"body": body, "ua": None}, {"body": body, "ua": "odd"}]
+    told = []
+    for row in run(make_raw, config, rules, *requests):
+        assert row.err is None
+        told.append([[json.loads(c.data) for c in event.contexts] for event in row["items"]])
+    families = [[[d.get("browser_family") for d in event] for event in row] for row in told]
+    assert families == [[["Chrome"], ["Firefox"], [], [None]], [[], ["Firefox"], [], [None]], [[], ["Firefox"], [], [None]]]
+    assert told[0][3] == [{"screen_resolution": "1x2"}]
+    # the payload's own agent stays a column beside the lambdas over its events
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    plan = process_raw(make_raw(*requests), config, rules)._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert "AS own_agent" in plan
+
+
 def test_several_events_in_one_payload(make_raw, config, rules):
     body = payload(
         {"e": "pv", "url": "u", "dtm": "1702884076562", "stm": "1702884076000"},
