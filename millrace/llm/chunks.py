@@ -7,6 +7,7 @@ unsigned 32-bit bytes: joining them is one call, and checksums need no conversio
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterator
 
@@ -43,12 +44,22 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, chars: int = SLICE) ->
 
 
 def small_slices(batches: Iterator[pa.RecordBatch], text: str, rows: int, chars: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """As ``slices``, with at most ``rows`` rows taken out of a batch together, and what Arrow holds given back at the end: a
+    """As ``slices``, with at most ``rows`` rows taken out of a batch together, and free memory given back at the end: a
     worker stays small beside what Spark itself needs, also while it waits for the next stage."""
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield from slices(iter([batch.slice(start, rows)]), text, chars)
+        del batch  # else it is held while the next one is read
+    give_back()
+
+
+def give_back() -> None:
+    """Free memory that Arrow and the C library hold goes back to the system. What numpy and Python have freed is otherwise kept
+    as long as anything above it is in use, which a worker that waits does not need."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim:
+        trim(0)
 
 
 class Recent(dict):

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.chunks import small_slices
+from millrace.llm.chunks import give_back, small_slices
 from millrace.llm.common import free_name, table
 
 #: Labelled rows of each language that the model is fitted on, on average over samples; their whole texts are used.
@@ -216,6 +216,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", by_col:
             for length, keys, of in entries(words.column("word").to_pylist()):
                 at = pa.array(of)
                 yield pa.RecordBatch.from_arrays([words.column("lang").take(at), pa.array(np.full(len(keys), length, np.int32)), pa.array(keys.view(np.int64)), words.column("n").take(at)], names)
+        give_back()
 
     names = ["lang", "length", "key", "n"]
     found = counted.mapInArrow(cut, "lang string, length int, key long, n long").groupBy("lang", "length", "key").agg(F.sum("n").alias("n")).toArrow()

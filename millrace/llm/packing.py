@@ -35,6 +35,8 @@ PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 TOGETHER = 500
 SLICE = 1_000_000
 REMEMBERED = 500_000
+#: Of the pieces of one length, those from number ``first`` on lie ``each`` to a sequence, from sequence and offset on.
+SPAN = ("first", "each", "sequence", "at")
 
 
 def _by_rank(tokenizer, spec: dict) -> Callable[[list[str]], list[bytes]] | None:
@@ -218,9 +220,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 1024,
             taken[size] += n * times
             offset += n * size
         sequence += times
-    span = T.StructType([T.StructField(c, T.LongType()) for c in ("first", "each", "sequence", "at")])
-    schema = T.StructType([T.StructField("length", T.LongType()), T.StructField("spans", T.ArrayType(span))])
-    places = spark.createDataFrame([(size, s) for size, s in spans.items()], schema)
+    span = pa.struct([(c, pa.int64()) for c in SPAN])
+    # as Arrow, since rows of Python objects would start workers of another kind on the executors, which stay
+    places = spark.createDataFrame(pa.table({"length": pa.array(spans, pa.int64()), "spans": pa.array([[dict(zip(SPAN, x)) for x in s] for s in spans.values()], pa.list_(span))}))
 
     numbered = pieces.join(offsets, ["part", "length"]).withColumn("number", F.col("nth") + F.col("before"))
     placed = numbered.join(F.broadcast(places), "length").withColumn(  # a row per length, up to `capacity`

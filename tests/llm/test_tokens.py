@@ -1,5 +1,6 @@
 import base64
 import json
+import resource
 import zlib
 from collections import Counter, defaultdict
 
@@ -191,6 +192,27 @@ def test_packing_takes_few_rows_at_once(spark, monkeypatch):
     assert packing.encode_pieces(docs, "", 2, 1024).count() == 2_000
 
 
+def test_places_come_without_python_rows(docs_of):
+    """Rows of Python objects start another Python daemon with workers of its own on each executor."""
+    packed = packing.pack(docs_of([(1, "a b"), (2, "c")]), JSON)
+    assert "ExistingRDD" not in packed._jdf.queryExecution().toString()
+
+
+def test_free_memory_is_given_back_after_the_last_batch():
+    """Also where the newest block is still in use, so that the C library's heap cannot shrink from its end."""
+
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * resource.getpagesize() / 1e6
+
+    blocks = [np.ones(8_000) for _ in range(3_000)]  # 192 MB in pieces too small to be mapped by themselves
+    last = blocks[-1]
+    del blocks
+    before = resident()
+    assert list(chunks.small_slices(iter([]), "text", 10, 10)) == []
+    assert resident() < before - 100 and last[0] == 1
+
+
 def test_chunks_are_not_searched_for_added_tokens_that_no_text_has(tokenizer):
     asked = []
 
