@@ -529,7 +529,7 @@ FROM x
 def shred_all_schemas(spark, sf):
     """Every context schema as a column, the columns being looked up in the data."""
     flat = flatten_atomic(
-        _atomic(spark, sf),
+        staged(_atomic(spark, sf), "events"),  # read twice
         all_schemas=True,
         event_fields=[FieldTransformation("targetUrl", "target")],
         context_fields=[FieldTransformation("browser_family", "browser")],

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.enrich import process_raw, to_atomic
-from millrace.plans import feed, paths
+from millrace.operators.shred import flatten_atomic
+from millrace.plans import feed, paths, queries
 from millrace.plans.queries import QUERIES
 from millrace.sources import codecs
 from millrace.streaming.jobs import consume_events
@@ -92,3 +93,16 @@ def test_a_consumer_decodes_a_message_once(spark, make_raw, config, rules, tmp_p
 def test_queries_that_read_the_events_more_than_once_work_them_out_once(spark, sf, name):
     plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "parseJson" not in plan
+
+
+@pytest.mark.parametrize("module, name", [(queries, "shred_all_schemas")])
+def test_context_columns_are_looked_up_in_events_worked_out_once(spark, sf, monkeypatch, module, name):
+    read = []
+
+    def flatten(events, **options):
+        read.extend(events.inputFiles())
+        return flatten_atomic(events, **options)
+
+    monkeypatch.setattr(module, "flatten_atomic", flatten)
+    QUERIES[name](spark, sf).count()
+    assert read and not any("events.parquet" in f for f in read)
