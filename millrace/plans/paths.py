@@ -875,7 +875,7 @@ def stored_context_paths(spark, sf):
     """Events stored with a VARIANT column for each context; two paths are read and nothing else of the contexts."""
     web, session = (iglu.context_column_name(u) for u in (feed.WEB_PAGE, feed.SESSION))
     path = f"{scratch_dir(spark)}/wide"
-    write_wide(flatten_atomic(_atomic(spark, sf), all_schemas=True), path)
+    write_wide(flatten_atomic(staged(_atomic(spark, sf), "events"), all_schemas=True), path)  # read twice
     stored = spark.read.parquet(path)
     paths = stored.selectExpr(f"variant_get({web}, '$.id', 'string') AS page", f"variant_get({session}, '$.sessionIndex', 'bigint') AS visits")
     return paths.where("page IS NOT NULL").groupBy(F.lit("click").alias("kind"), "page").agg(F.count("*").alias("n"), F.sum("visits").alias("visits"))

@@ -95,7 +95,7 @@ def test_queries_that_read_the_events_more_than_once_work_them_out_once(spark, s
     assert "parseJson" not in plan
 
 
-@pytest.mark.parametrize("module, name", [(queries, "shred_all_schemas")])
+@pytest.mark.parametrize("module, name", [(queries, "shred_all_schemas"), (paths, "stored_context_paths")])
 def test_context_columns_are_looked_up_in_events_worked_out_once(spark, sf, monkeypatch, module, name):
     read = []
 
