@@ -55,17 +55,18 @@ def _bytes(x: str) -> str:
 
 
 def varint(n: str) -> str:
-    """Zig-zag variable length form of a BIGINT."""
+    """Zig-zag variable length form of a BIGINT. One and two bytes, which nearly all lengths take, do without a lambda."""
     groups = "ceil(greatest(length(conv(hex(zz), 16, 2)), 1) / 7)"
     group = "shiftrightunsigned(zz, 7 * gi) & 127"
     byte = f"lpad(hex(IF(gi < {groups} - 1, ({group}) | 128, {group})), 2, '0')"
-    short = "lpad(hex(zz), 2, '0')"
-    long = f"array_join(transform(sequence(0, CAST({groups} AS INT) - 1), gi -> {byte}), '')"
-    return let(
+    one = f"lpad(hex(2 * {n}), 2, '0')"
+    two = f"hex(((2 * {n}) & 127 | 128) * 256 + shiftright({n}, 6))"
+    many = let(
         f"shiftleft(CAST({n} AS BIGINT), 1) ^ shiftright(CAST({n} AS BIGINT), 63)",
         "zz",
-        f"unhex(IF(zz BETWEEN 0 AND 127, {short}, {long}))",
+        f"array_join(transform(sequence(0, CAST({groups} AS INT) - 1), gi -> {byte}), '')",
     )
+    return f"unhex(IF({n} BETWEEN 0 AND 63, {one}, IF({n} BETWEEN 64 AND 8191, {two}, {many})))"
 
 
 def _avro_text(x: str) -> str:

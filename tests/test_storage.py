@@ -300,3 +300,19 @@ def test_a_path_of_a_stored_context_is_read_alone(spark, tmp_path):
     plan = path._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<context_org_page_1:struct<0:bigint>>" in plan
     assert path.agg(F.sum("n"), F.count("n")).first() == (sum(i for i in range(3000) if i % 3), 2000)
+
+
+def test_lengths_of_one_and_two_bytes_need_no_lambda(spark):
+    numbers = [0, 1, 63, 64, 65, 127, 128, 8191, 8192, -1, -64, -65, 1 << 40, (1 << 63) - 1, -(1 << 63)]
+    rows = spark.createDataFrame([(n,) for n in numbers], "n long").selectExpr("n", f"{codecs.varint('n')} AS b").collect()
+
+    def plain(n):
+        zz, out = (n << 1 ^ n >> 63) & (1 << 64) - 1, []
+        while zz > 127:
+            out.append(zz & 127 | 128)
+            zz >>= 7
+        return bytes([*out, zz])
+
+    assert [(r.n, bytes(r.b)) for r in rows] == [(n, plain(n)) for n in numbers]
+    sql = codecs.varint("n")
+    assert sql.index("BETWEEN 64 AND 8191") < sql.index("transform(")
